@@ -53,22 +53,37 @@ class Encoders:
     def load(spark: SparkSession, path: str) -> Encoders:
         table = spark.read.parquet(path)
         names = [r["column_name"] for r in table.select("column_name").distinct().collect()]
+        return Encoders.of(table, sorted(names))
+
+    @staticmethod
+    def of(table: DataFrame, columns: Sequence[str]) -> Encoders:
+        """Encoders in a written table that is partitioned by column."""
         return Encoders({
-            name: table.filter(F.col("column_name") == name).select("value", "code") for name in sorted(names)
+            c: table.filter(F.col("column_name") == c).select("value", "code") for c in columns
         })
 
 
-def fit_codes(df: DataFrame, column: str, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
-    """Table of (value, code) in sorted order of the distinct values."""
-    values = df.select(as_text(column).alias("value")).distinct().withColumn("__one", F.lit(1))
+def fit_encoders(df: DataFrame, columns: Sequence[str], one_task_rows: int = ONE_TASK_ROWS) -> Encoders:
+    """Codes of all the columns, from one pass over ``df``."""
+    if not columns:
+        return Encoders({})
+    values = (
+        df.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), as_text(c).alias("value")) for c in columns
+        ])))
+        .distinct()
+        .withColumn("__one", F.lit(1))
+    )
     run = running_totals(
-        values, ["value"], Running(sums={"__rank": "__one"}), one_task_rows=one_task_rows
+        values, ["value"], Running(sums={"__rank": "__one"}), ["column_name"], one_task_rows=one_task_rows
     )
-    return stored(run.select("value", (F.col("__rank") - 1).cast("int").alias("code")))
+    code = (F.col("__rank") - 1).cast("int").alias("code")
+    return Encoders.of(stored(run.select("value", code, "column_name"), partition_by="column_name"), columns)
 
 
-def fit_encoders(df: DataFrame, columns: Sequence[str], one_task_rows: int = ONE_TASK_ROWS) -> Encoders:
-    return Encoders({c: fit_codes(df, c, one_task_rows) for c in columns})
+def fit_codes(df: DataFrame, column: str, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+    """Table of (value, code) in sorted order of the distinct values."""
+    return fit_encoders(df, [column], one_task_rows).codes[column]
 
 
 def apply_codes(df: DataFrame, column: str, codes: DataFrame, unseen: str = "error") -> DataFrame:

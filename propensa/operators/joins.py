@@ -1,10 +1,18 @@
-"""Subscriber-level joins: tag counts and the purchase flag."""
+"""Subscriber-level joins: tag counts and the purchase flag.
+
+The side that is looked up is reduced to one row per key and written before the
+join. Its size is then known, so Catalyst broadcasts it only when it is small,
+and otherwise adaptive execution can split a hot key on the subscriber side,
+which it does not do when that side's partner is still being aggregated.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from propensa.session import stored
+
 
 def tag_counts(tags: DataFrame, key: str = "mailchimp_id") -> DataFrame:
     """Number of non-null tags per subscriber."""
@@ -14,7 +22,7 @@ def tag_counts(tags: DataFrame, key: str = "mailchimp_id") -> DataFrame:
 def with_tag_count(subscribers: DataFrame, tags: DataFrame, key: str = "mailchimp_id") -> DataFrame:
     """Left join of the counts; subscribers without tags get 0."""
     _no_collision(subscribers, ["tag_count"])
-    counts = tag_counts(tags, key)
+    counts = stored(tag_counts(tags, key))
     return subscribers.join(counts, key, "left").withColumn(
         "tag_count", F.coalesce("tag_count", F.lit(0).cast("bigint"))
     )
@@ -27,7 +35,9 @@ def with_purchase_flag(subscribers: DataFrame, transactions: DataFrame, email: s
     very many transactions is one row of it.
     """
     _no_collision(subscribers, ["made_purchase"])
-    buyers = transactions.select(F.col(email).alias("__buyer")).distinct().withColumn("made_purchase", F.lit(1))
+    buyers = stored(
+        transactions.select(F.col(email).alias("__buyer")).distinct().withColumn("made_purchase", F.lit(1))
+    )
     return (
         subscribers.join(buyers, subscribers[email].eqNullSafe(buyers["__buyer"]), "left")
         .drop("__buyer")

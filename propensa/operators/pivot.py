@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propensa.functions.names import tag_columns
+from propensa.session import stored
 
 MAX_TAGS_CONF = "spark.sql.pivotMaxValues"
 
@@ -51,4 +52,4 @@ def with_tags(leads: DataFrame, wide_tags: DataFrame, key: str = "mailchimp_id")
     clash = (set(leads.columns) & set(wide_tags.columns)) - {key}
     if clash:
         raise ValueError(f"tag columns already present in the leads: {sorted(clash)}")
-    return leads.join(wide_tags, key, "left")
+    return leads.join(stored(wide_tags), key, "left")

@@ -20,7 +20,7 @@ from propensa.session import stored
 
 # Up to this many rows are windowed directly: a counted, bounded amount of work for a task.
 ONE_TASK_ROWS = 500_000
-MAX_RANGES = 10_000
+MAX_RANGES = 4_000
 
 RANGE = "__range"
 
@@ -120,7 +120,11 @@ def _ranged(
         *[F.lead(src).over(within).alias(f"__ahead_{src}") for src in firsts],
         F.count(F.lit(1)).over(after).alias("__more"),
     )
-    same_key = reduce(and_, [summed[g].eqNullSafe(offsets[f"__key_{g}"]) for g in [*groups, RANGE]])
+    same_key = reduce(
+        and_,
+        [summed[g].eqNullSafe(offsets[f"__key_{g}"]) for g in groups],
+        summed[RANGE] == offsets[f"__key_{RANGE}"],
+    )
     return summed.join(offsets, same_key, "left").select(
         *table.columns,
         *[

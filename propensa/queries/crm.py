@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensa.operators import joins
 from propensa.plans.ingest import join_subscribers, typed
 from propensa.queries.twins import with_tables
-from propensa.session import work_folder
+from propensa.session import scratch_path
 from propensa.sources import schemas, standins, tables
 from propensa.sources.registry import latest_artifacts
 
@@ -42,13 +40,9 @@ def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _union([tables.profile(getattr(crm, name), name) for name in CRM_NAMES])
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{work_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined table written as CSV with a header and scanned back under its schema."""
-    path = _scratch(spark, "joined-csv")
+    path = scratch_path(spark, "joined-csv")
     tables.write_table(joined(spark, sf_dir), path, "csv")
     return tables.read_table(spark, path, "csv", schemas.SUBSCRIBERS_JOINED)
 

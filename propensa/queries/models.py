@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 from functools import cache
 
@@ -15,7 +14,7 @@ from propensa.plans import evaluate as ev
 from propensa.plans import learning as ln
 from propensa.plans import scoring
 from propensa.queries import leads as lead_queries
-from propensa.session import ensure_checkpoint_dir, stored, work_folder
+from propensa.session import ensure_checkpoint_dir, scratch_path, stored
 from propensa.sources.registry import ModelRegistry, ScoringModel
 from propensa.streaming.scoring import lead_stream, start_scoring
 
@@ -27,10 +26,6 @@ COMPARE = ln.CompareSetup(folds=2, iterations=5)
 LOOKED_UP_ID = 5
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    return f"{work_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
 @cache
 def _leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All leads with their folds, written once per session and data folder."""
@@ -51,7 +46,7 @@ def _model(spark: SparkSession, sf_dir: str) -> ScoringModel:
     featurizer, table = _featurized(spark, sf_dir)
     ensure_checkpoint_dir(spark)
     fitted = ln.refit(table, PARAMS)
-    registry = ModelRegistry(spark, _folder(spark, "registry"))
+    registry = ModelRegistry(spark, scratch_path(spark, "registry"))
     registry.register(
         PipelineModel(stages=[*featurizer.pipeline.stages, fitted]),
         features=featurizer.features,
@@ -111,7 +106,7 @@ def evaluation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All leads scored as a stream of files, read back from the sink."""
     model, leads = _model(spark, sf_dir), _leads(spark, sf_dir).drop("fold")
-    source, sink, marks = (_folder(spark, n) for n in ("stream-in", "stream-out", "stream-marks"))
+    source, sink, marks = (scratch_path(spark, n) for n in ("stream-in", "stream-out", "stream-marks"))
     leads.write.option("maxRecordsPerFile", 100_000).parquet(source)
     query = start_scoring(model, lead_stream(spark, source, leads.schema), sink, marks)
     query.awaitTermination()

@@ -50,14 +50,7 @@ def dq_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(subscriber, tag) pairs that occur more than once among the events."""
-    pairs = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        F.col("user_id").alias("mailchimp_id"),
-        F.concat(
-            "event_type", F.lit("-"),
-            F.lpad((F.get_json_object("props", "$.k").cast("int") % 10).cast("string"), 2, "0"),
-        ).alias("tag"),
-    )
-    return q.repeated_rows(pairs, ["mailchimp_id", "tag"])
+    return q.repeated_rows(standins.event_tags(spark, sf_dir), ["mailchimp_id", "tag"])
 
 
 def dq_failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,9 +54,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(work_folder(spark))
 
 
-def stored(df: DataFrame) -> DataFrame:
+def scratch_path(spark: SparkSession, name: str = "table") -> str:
+    """New path in the shared folder, under the id of the application."""
+    return f"{work_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table."""
     spark = df.sparkSession
-    path = f"{work_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = scratch_path(spark)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

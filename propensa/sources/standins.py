@@ -38,18 +38,19 @@ def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tag per event, repeats included."""
     number = F.get_json_object("props", "$.k").cast("int") % 10
-    return (
-        spark.read.parquet(f"{sf_dir}/events.parquet")
-        .select(
-            F.col("user_id").alias("mailchimp_id"),
-            F.concat("event_type", F.lit("-"), F.lpad(number.cast("string"), 2, "0")).alias("tag"),
-        )
-        .distinct()
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        F.col("user_id").alias("mailchimp_id"),
+        F.concat("event_type", F.lit("-"), F.lpad(number.cast("string"), 2, "0")).alias("tag"),
     )
 
 
+def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_tags(spark, sf_dir).distinct()
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = F.col("o_custkey")
     padded = F.lpad(customer.cast("string"), 9, "0")
