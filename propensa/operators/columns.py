@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from propensa.functions.names import TAG_PREFIX
@@ -53,14 +52,4 @@ def fill_tags(df: DataFrame) -> DataFrame:
 def fill_missing(df: DataFrame, value: int = MISSING) -> DataFrame:
     """Missing (or NaN) numbers become ``value``; each column keeps its type."""
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-
-    def column(name: str) -> Column:
-        if name not in numeric:
-            return F.col(name)
-        dtype = df.schema[name].dataType
-        known = F.col(name)
-        if isinstance(dtype, (T.DoubleType, T.FloatType)):
-            known = F.when(~F.isnan(known), known)
-        return F.coalesce(known, F.lit(value)).cast(dtype).alias(name)
-
-    return df.select(*[column(c) for c in df.columns])
+    return df.fillna(value, subset=numeric)

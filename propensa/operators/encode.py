@@ -68,9 +68,8 @@ def fit_encoders(df: DataFrame, columns: Sequence[str], one_task_rows: int = ONE
     if not columns:
         return Encoders({})
     values = (
-        df.select(F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), as_text(c).alias("value")) for c in columns
-        ])))
+        df.select(F.explode(F.create_map(*[x for c in columns for x in (F.lit(c), as_text(c))])))
+        .toDF("column_name", "value")
         .distinct()
         .withColumn("__one", F.lit(1))
     )
@@ -98,9 +97,10 @@ def apply_codes(df: DataFrame, column: str, codes: DataFrame, unseen: str = "err
         fallback = F.raise_error(message).cast("int")
     else:
         fallback = codes.agg((F.coalesce(F.max("code"), F.lit(-1)) + 1).alias("next")).scalar().cast("int")
-    code = F.coalesce(F.col("__code"), fallback).alias(column)
-    return df.join(lookup, text == lookup["__value"], "left").select(
-        *[code if c == column else F.col(f"`{c}`") for c in df.columns]
+    return (
+        df.join(lookup, text == lookup["__value"], "left")
+        .withColumn(column, F.coalesce("__code", fallback))
+        .drop("__value", "__code")
     )
 
 

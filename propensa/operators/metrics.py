@@ -22,54 +22,54 @@ def predict(df: DataFrame, score: str = SCORE, threshold: float = 0.5) -> DataFr
     return df.withColumn(PREDICTION, (F.col(score) > threshold).cast("int"))
 
 
-def _ratio(top: Column, bottom: Column) -> Column:
+def _ratio(top: str, bottom: str) -> str:
     """0 when there is nothing to divide by."""
-    return F.coalesce(F.try_divide(top, bottom), F.lit(0.0))
+    return f"coalesce(try_divide({top}, {bottom}), 0D)"
 
 
-def _outcomes() -> dict[str, Column]:
-    actual, predicted = F.col(LABEL) == 1, F.col(PREDICTION) == 1
-    return {
-        "tp": F.count_if(actual & predicted),
-        "fp": F.count_if(~actual & predicted),
-        "fn": F.count_if(actual & ~predicted),
-        "tn": F.count_if(~actual & ~predicted),
-    }
+def _struct(names: Sequence[str], values: Sequence[str]) -> str:
+    return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in zip(names, values)) + ")"
+
+
+def _outcomes(df: DataFrame) -> DataFrame:
+    """True and false positives and negatives: one row."""
+    actual, predicted = f"{LABEL} = 1", f"{PREDICTION} = 1"
+    return df.selectExpr(
+        f"cast(count_if({actual} and {predicted}) as double) as tp",
+        f"cast(count_if(not {actual} and {predicted}) as double) as fp",
+        f"cast(count_if({actual} and not {predicted}) as double) as fn",
+        f"cast(count_if(not {actual} and not {predicted}) as double) as tn",
+    )
 
 
 def classification_metrics(df: DataFrame) -> DataFrame:
     """Accuracy, and precision, recall and F1 of class 1: one row."""
-    counts = df.agg(*[c.alias(name) for name, c in _outcomes().items()])
-    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
-    return counts.select(
-        F.try_divide(tp + tn, tp + fp + fn + tn).alias("accuracy"),
-        _ratio(tp, tp + fp).alias("precision"),
-        _ratio(tp, tp + fn).alias("recall"),
-        _ratio(2 * tp, 2 * tp + fp + fn).alias("f1_score"),
+    return _outcomes(df).selectExpr(
+        "try_divide(tp + tn, tp + fp + fn + tn) as accuracy",
+        f"{_ratio('tp', 'tp + fp')} as precision",
+        f"{_ratio('tp', 'tp + fn')} as recall",
+        f"{_ratio('2 * tp', '2 * tp + fp + fn')} as f1_score",
     )
 
 
 def agreement_metrics(df: DataFrame) -> DataFrame:
     """Cohen's kappa and Matthews correlation from the four counts: one row."""
-    counts = df.agg(*[c.cast("double").alias(name) for name, c in _outcomes().items()])
-    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
-    rows = tp + fp + fn + tn
-    agreed = (tp + tn) / rows
-    chance = ((tp + fp) * (tp + fn) + (tn + fn) * (tn + fp)) / (rows * rows)
-    spread = F.sqrt(tp + fp) * F.sqrt(tp + fn) * F.sqrt(tn + fp) * F.sqrt(tn + fn)
-    return counts.select(
-        _ratio(agreed - chance, 1 - chance).alias("kappa"), _ratio(tp * tn - fp * fn, spread).alias("mcc")
+    chances = _outcomes(df).selectExpr(
+        "*",
+        "try_divide(tp + tn, tp + fp + fn + tn) as agreed",
+        "try_divide((tp + fp) * (tp + fn) + (tn + fn) * (tn + fp), pow(tp + fp + fn + tn, 2)) as chance",
+        "sqrt(tp + fp) * sqrt(tp + fn) * sqrt(tn + fp) * sqrt(tn + fn) as spread",
+    )
+    return chances.selectExpr(
+        f"{_ratio('agreed - chance', '1 - chance')} as kappa", f"{_ratio('tp * tn - fp * fn', 'spread')} as mcc"
     )
 
 
 def confusion_matrix(df: DataFrame) -> DataFrame:
     """All four cells, empty ones included."""
-    counts = df.agg(*[c.alias(name) for name, c in _outcomes().items()])
-    cells = [(0, 0, "tn"), (0, 1, "fp"), (1, 0, "fn"), (1, 1, "tp")]
-    rows = [
-        F.struct(F.lit(a).alias(LABEL), F.lit(p).alias(PREDICTION), F.col(c).alias("count")) for a, p, c in cells
-    ]
-    return counts.select(F.explode(F.array(*rows)).alias("cell")).select("cell.*")
+    cells = {"tn": "0, 0", "fp": "0, 1", "fn": "1, 0", "tp": "1, 1"}
+    rows = ", ".join(f"struct({cell}, cast({name} as bigint))" for name, cell in cells.items())
+    return _outcomes(df).selectExpr(f"inline(array({rows})) as ({LABEL}, {PREDICTION}, count)")
 
 
 def classification_report(df: DataFrame) -> DataFrame:
@@ -78,22 +78,18 @@ def classification_report(df: DataFrame) -> DataFrame:
     The accuracy row holds its value in the F1 column, as in the printed report.
     """
     pairs = df.groupBy(LABEL, PREDICTION).agg(F.count("*").alias("n"))
-    hit = F.when(F.col(LABEL) == F.col(PREDICTION), F.col("n")).otherwise(0)
-    sides = F.array(
-        F.struct(F.col(LABEL).alias("class"), F.col("n").alias("support"),
-                 F.lit(0).cast("bigint").alias("predicted"), hit.alias("hits")),
-        F.struct(F.col(PREDICTION).alias("class"), F.lit(0).cast("bigint").alias("support"),
-                 F.col("n").alias("predicted"), F.lit(0).cast("bigint").alias("hits")),
-    )
+    hits = f"if({LABEL} = {PREDICTION}, n, 0L)"
     classes = (
-        pairs.select(F.inline(sides))
+        pairs.selectExpr(
+            f"stack(2, {LABEL}, n, 0L, {hits}, {PREDICTION}, 0L, n, 0L) as (class, support, predicted, hits)"
+        )
         .groupBy("class")
         .agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
-        .select(
-            F.col("class").cast("string").alias("class"), "support", "hits",
-            _ratio(F.col("hits"), F.col("predicted")).alias("precision"),
-            _ratio(F.col("hits"), F.col("support")).alias("recall"),
-            _ratio(2 * F.col("hits"), F.col("predicted") + F.col("support")).alias("f1_score"),
+        .selectExpr(
+            "cast(class as string) as class", "support", "hits",
+            f"{_ratio('hits', 'predicted')} as precision",
+            f"{_ratio('hits', 'support')} as recall",
+            f"{_ratio('2 * hits', 'predicted + support')} as f1_score",
         )
     )
     measures = ("precision", "recall", "f1_score")
@@ -102,23 +98,17 @@ def classification_report(df: DataFrame) -> DataFrame:
         F.sum("support").alias("support"),
         F.sum("hits").alias("hits"),
         *[F.avg(m).alias(m) for m in measures],
-        *[F.sum(F.col(m) * F.col("support")).alias(f"w_{m}") for m in measures],
+        *[F.expr(f"try_divide(sum({m} * support), sum(support))").alias(f"w_{m}") for m in measures],
     )
-
-    def row(name: Column, precision: Column, recall: Column, f1: Column) -> Column:
-        return F.struct(
-            name.alias("class"), precision.alias("precision"), recall.alias("recall"),
-            f1.alias("f1_score"), F.col("support").alias("support"),
-        )
-
-    nothing = F.lit(None).cast("double")
-    one_class = F.array(row(F.col("class"), *[F.col(m) for m in measures]))
-    averages = F.array(
-        row(F.lit("accuracy"), nothing, nothing, F.try_divide("hits", "support")),
-        row(F.lit("macro avg"), *[F.col(m) for m in measures]),
-        row(F.lit("weighted avg"), *[F.try_divide(f"w_{m}", "support") for m in measures]),
-    )
-    return both.select(F.inline(F.when(F.col("overall") == 1, averages).otherwise(one_class)))
+    columns = ["class", *measures, "support"]
+    nothing = "cast(null as double)"
+    one_class = _struct(columns, columns)
+    averages = [
+        _struct(columns, ["'accuracy'", nothing, nothing, "try_divide(hits, support)", "support"]),
+        _struct(columns, ["'macro avg'", *measures, "support"]),
+        _struct(columns, ["'weighted avg'", *[f"w_{m}" for m in measures], "support"]),
+    ]
+    return both.selectExpr(f"inline(if(overall = 1, array({', '.join(averages)}), array({one_class})))")
 
 
 def score_steps(df: DataFrame, by: Sequence[str] = (), one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
@@ -171,33 +161,26 @@ def average_precision(df: DataFrame, by: Sequence[str] = (), one_task_rows: int
     return ranking_metrics(df, by, one_task_rows).drop("roc_auc")
 
 
+# The step of the highest score has nothing counted before it.
+_TOP = "(tp = pos and fp = neg)"
+
+
 def roc_curve(df: DataFrame, drop_intermediate: bool = True, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
     """ROC points from (0, 0) up. Points on the straight line between their neighbours are
     left out by default, as they do not change the curve."""
     steps = score_steps(df, one_task_rows=one_task_rows)
-    top = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
-    bottom = F.col("next_pos").isNull()
-    bends = (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))
-    point = F.struct(
-        F.try_divide("fp", "all_neg").alias("fpr"),
-        F.try_divide("tp", "all_pos").alias("tpr"),
-        F.col(SCORE).alias("threshold"),
-    )
-    origin = F.struct(F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"), F.lit(float("inf")).alias("threshold"))
-    kept = steps.filter(top | bottom | bends) if drop_intermediate else steps
-    return kept.select(F.inline(F.when(top, F.array(origin, point)).otherwise(F.array(point))))
+    if drop_intermediate:
+        steps = steps.filter(f"{_TOP} or next_pos is null or pos <> next_pos or neg <> next_neg")
+    columns = ("fpr", "tpr", "threshold")
+    point = _struct(columns, ["try_divide(fp, all_neg)", "try_divide(tp, all_pos)", SCORE])
+    origin = _struct(columns, ["0D", "0D", "double('infinity')"])
+    return steps.selectExpr(f"inline(if({_TOP}, array({origin}, {point}), array({point})))")
 
 
 def pr_curve(df: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
     """Precision and recall at every threshold, closed by the point (1, 0) without one."""
     steps = score_steps(df, one_task_rows=one_task_rows)
-    top = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
-    point = F.struct(
-        (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-        F.coalesce(F.try_divide("tp", "all_pos"), F.lit(1.0)).alias("recall"),
-        F.col(SCORE).alias("threshold"),
-    )
-    end = F.struct(
-        F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"), F.lit(None).cast("double").alias("threshold")
-    )
-    return steps.select(F.inline(F.when(top, F.array(point, end)).otherwise(F.array(point))))
+    columns = ("precision", "recall", "threshold")
+    point = _struct(columns, ["tp / (tp + fp)", "coalesce(try_divide(tp, all_pos), 1D)", SCORE])
+    end = _struct(columns, ["1D", "0D", "cast(null as double)"])
+    return steps.selectExpr(f"inline(if({_TOP}, array({point}, {end}), array({point})))")

@@ -42,9 +42,7 @@ def tag_pivot(
     else:
         mark = F.max(present)
     wide = tags.groupBy(key).pivot("tag", vocabulary).agg(mark)
-    return wide.select(
-        key, *[F.coalesce(F.col(f"`{tag}`"), F.lit(0)).alias(name) for tag, name in names.items()]
-    )
+    return wide.toDF(key, *names.values()).fillna(0, subset=list(names.values()))
 
 
 def with_tags(leads: DataFrame, wide_tags: DataFrame, key: str = "mailchimp_id") -> DataFrame:

@@ -13,9 +13,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from propensa.functions.features import sql_text
 
 # Patterns of the checked text columns.
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
@@ -99,113 +100,102 @@ def share_at_most(column: str, share: float) -> Check:
     return Check("share_at_most", column, {"share": share})
 
 
-def _text(column: str) -> Column:
-    return F.col(column).cast("string")
+def _literal(value: Any) -> str:
+    return sql_text(value) if isinstance(value, str) else str(value)
 
 
-def is_unexpected(check: Check) -> Column:
-    """True on the rows that break a row check, never null."""
-    value = F.col(check.column)
+def is_unexpected(check: Check) -> str:
+    """SQL condition, never null, that is true on the rows that break a row check."""
+    column, args = f"`{check.column}`", check.args
+    text = f"cast({column} as string)"
     if check.kind == "not_null":
-        return value.isNull()
+        return f"{column} is null"
     if check.kind == "matches":
-        bad = ~_text(check.column).rlike(check.args["pattern"])
+        bad = f"not {text} rlike {sql_text(args['pattern'])}"
     elif check.kind == "in_set":
-        bad = ~value.isin(check.args["values"])
+        bad = f"{column} not in ({', '.join(_literal(v) for v in args['values'])})"
     elif check.kind == "between":
-        bad = ~value.between(check.args["low"], check.args["high"])
+        bad = f"{column} not between {args['low']} and {args['high']}"
     elif check.kind == "date_format":
-        text = _text(check.column)
-        bad = ~text.rlike(DATE_PATTERN) | F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).isNull()
+        shape = f"{text} rlike {sql_text(DATE_PATTERN)}"
+        bad = f"(not {shape} or try_to_timestamp({text}, 'yyyy-MM-dd') is null)"
     else:
         raise ValueError(f"{check.kind} does not mark rows")
-    return value.isNotNull() & bad
-
-
-def _result(
-    check: Check, success: Column, observed: Column, elements: Column, missing: Column, unexpected: Column
-) -> Column:
-    return F.struct(
-        F.lit(check.name).alias("check"),
-        F.lit(check.column).cast("string").alias("column"),
-        success.alias("success"),
-        observed.cast("double").alias("observed"),
-        elements.cast("bigint").alias("element_count"),
-        missing.cast("bigint").alias("missing_count"),
-        unexpected.cast("bigint").alias("unexpected_count"),
-    )
+    return f"({column} is not null and {bad})"
 
 
-def _nothing() -> Column:
-    return F.lit(None)
+RESULT_FIELDS = (
+    "position int, check string, column string, success boolean, observed double, "
+    "element_count bigint, missing_count bigint, unexpected_count bigint"
+)
 
 
-def _schema_result(df: DataFrame, check: Check) -> Column:
-    observed: Any = None
+def _result(
+    position: int, check: Check, success: str, observed: str = "null", elements: str = "null",
+    missing: str = "null", unexpected: str = "null",
+) -> str:
+    """SQL struct of one result row."""
+    column = "null" if check.column is None else sql_text(check.column)
+    values = [str(position), sql_text(check.name), column, success, observed, elements, missing, unexpected]
+    fields = [field.split() for field in RESULT_FIELDS.split(", ")]
+    named = ", ".join(f"'{name}', cast({v} as {dtype})" for (name, dtype), v in zip(fields, values))
+    return f"named_struct({named})"
+
+
+def _schema_result(df: DataFrame, position: int, check: Check) -> str:
     if check.kind == "column_count":
-        observed = len(df.columns)
-        success = observed == check.args["count"]
-    elif check.kind == "column_order":
-        success = df.columns == check.args["names"]
-    else:
-        success = df.schema[check.column].dataType.simpleString() == check.args["dtype"]
-    return _result(check, F.lit(success), F.lit(observed), _nothing(), _nothing(), _nothing())
+        success = len(df.columns) == check.args["count"]
+        return _result(position, check, str(success), observed=str(len(df.columns)))
+    if check.kind == "column_order":
+        return _result(position, check, str(df.columns == check.args["names"]))
+    return _result(position, check, str(df.schema[check.column].dataType.simpleString() == check.args["dtype"]))
 
 
 def _one_pass(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
     """Results of every check that needs no grouping, from one aggregate."""
-    measures: dict[str, Column] = {"rows": F.count("*")}
-    for i, check in checks:
-        if check.column is not None and check.kind not in SCHEMA_KINDS:
-            measures[f"null_{check.column}"] = F.count_if(F.col(check.column).isNull())
-        if check.kind in ROW_KINDS:
-            measures[f"bad_{i}"] = F.count_if(is_unexpected(check))
-        elif check.kind == "min_between":
-            measures[f"seen_{i}"] = F.min(check.column)
-        elif check.kind == "mean_between":
-            measures[f"seen_{i}"] = F.avg(check.column)
-    counts = df.agg(*[c.alias(name) for name, c in measures.items()])
-
-    rows = F.col("rows")
+    measures = {"n_rows": "count(*)"}
     results = []
     for i, check in checks:
+        args, missing = check.args, f"null_{check.column}"
+        if check.column is not None and check.kind not in SCHEMA_KINDS:
+            measures[missing] = f"count_if(`{check.column}` is null)"
         if check.kind in SCHEMA_KINDS:
-            outcome = _schema_result(df, check)
+            outcome = _schema_result(df, i, check)
         elif check.kind == "row_count":
-            success = rows.between(check.args["low"], check.args["high"])
-            outcome = _result(check, success, rows, _nothing(), _nothing(), _nothing())
+            outcome = _result(i, check, f"n_rows between {args['low']} and {args['high']}", observed="n_rows")
         elif check.kind in ROW_KINDS:
-            bad = F.col(f"bad_{i}")
-            missing = F.col(f"null_{check.column}")
-            outcome = _result(check, bad == 0, _nothing(), rows, missing, bad)
+            measures[f"bad_{i}"] = f"count_if({is_unexpected(check)})"
+            outcome = _result(
+                i, check, f"bad_{i} = 0", elements="n_rows", missing=f"`{missing}`", unexpected=f"bad_{i}"
+            )
         else:
-            seen = F.col(f"seen_{i}")
-            success = F.coalesce(seen.between(check.args["low"], check.args["high"]), F.lit(False))
-            outcome = _result(check, success, seen, rows, F.col(f"null_{check.column}"), _nothing())
-        results.append(F.struct(F.lit(i).alias("position"), outcome.alias("r")))
-    return counts.select(F.inline(F.array(*results))).select("position", "r.*")
+            function = "min" if check.kind == "min_between" else "avg"
+            measures[f"seen_{i}"] = f"{function}(`{check.column}`)"
+            success = f"coalesce(seen_{i} between {args['low']} and {args['high']}, false)"
+            outcome = _result(i, check, success, f"seen_{i}", "n_rows", f"`{missing}`")
+        results.append(outcome)
+    counts = df.agg(*[F.expr(sql).alias(name) for name, sql in measures.items()])
+    return counts.selectExpr(f"inline(array({', '.join(results)}))")
 
 
 def _grouped(df: DataFrame, position: int, check: Check) -> DataFrame:
     """Result of a check on the counts of equal values."""
-    column = check.column
-    counts = df.groupBy(column).agg(F.count("*").alias("n"))
-    known = F.col(column).isNotNull()
-    measured = counts.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("missing"),
-        F.coalesce(F.sum(F.when(known & (F.col("n") > 1), F.col("n"))), F.lit(0)).alias("repeated"),
-        F.max(F.when(known, F.col("n"))).alias("largest"),
+    known = f"`{check.column}` is not null"
+    measured = df.groupBy(check.column).agg(F.count("*").alias("n")).selectExpr(
+        "coalesce(sum(n), 0) as n_rows",
+        f"coalesce(sum(n) filter (where not {known}), 0) as missing",
+        f"coalesce(sum(n) filter (where {known} and n > 1), 0) as repeated",
+        f"max(n) filter (where {known}) as largest",
     )
-    rows, missing = F.col("rows"), F.col("missing")
     if check.kind == "unique":
-        repeated = F.col("repeated")
-        outcome = _result(check, repeated == 0, _nothing(), rows, missing, repeated)
+        outcome = _result(
+            position, check, "repeated = 0", elements="n_rows", missing="missing", unexpected="repeated"
+        )
     else:
-        share = F.try_divide("largest", rows - missing)
-        success = F.coalesce(share <= check.args["share"], F.lit(True))
-        outcome = _result(check, success, share, rows, missing, _nothing())
-    return measured.select(F.lit(position).alias("position"), outcome.alias("r")).select("position", "r.*")
+        share = "try_divide(largest, n_rows - missing)"
+        success = f"coalesce({share} <= {check.args['share']}, true)"
+        outcome = _result(position, check, success, share, "n_rows", "missing")
+    return measured.selectExpr(f"inline(array({outcome}))")
 
 
 def validate(df: DataFrame, suite: str, checks: Sequence[Check]) -> DataFrame:
@@ -223,9 +213,9 @@ def validate(df: DataFrame, suite: str, checks: Sequence[Check]) -> DataFrame:
 
 def failing_rows(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All rows that break a row check, with the list of checks each breaks (full detail)."""
-    row_checks = [c for c in checks if c.kind in ROW_KINDS]
-    broken = F.array_compact(F.array(*[F.when(is_unexpected(c), F.lit(c.name)) for c in row_checks]))
-    return df.withColumn("failed_checks", broken).filter(F.size("failed_checks") > 0)
+    broken = [f"if({is_unexpected(c)}, {sql_text(c.name)}, null)" for c in checks if c.kind in ROW_KINDS]
+    names = F.expr(f"array_compact(array({', '.join(broken)}))")
+    return df.withColumn("failed_checks", names).filter(F.size("failed_checks") > 0)
 
 
 def repeated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -243,12 +233,12 @@ def unexpected_values(df: DataFrame, checks: Sequence[Check], sample: int = SAMP
     on both sides of the shuffle, so a check that fails on every row is no hot spot.
     """
     broken = [
-        F.when(is_unexpected(c), F.struct(F.lit(c.name).alias("check"), _text(c.column).alias("value")))
+        f"if({is_unexpected(c)}, struct({sql_text(c.name)}, cast(`{c.column}` as string)), null)"
         for c in checks if c.kind in ROW_KINDS and c.kind != "not_null"
     ]
     values = (
-        df.select(F.explode(F.array_compact(F.array(*broken))).alias("u"))
-        .groupBy("u.check", "u.value")
+        df.selectExpr(f"inline(array_compact(array({', '.join(broken)}))) as (check, value)")
+        .groupBy("check", "value")
         .agg(F.count("*").alias("n_rows"))
     )
     order = Window.partitionBy("check").orderBy(F.desc("n_rows"), F.asc("value"))
@@ -288,15 +278,3 @@ def describe(checks: Sequence[Check]) -> str:
     """Suite as JSON text."""
     return json.dumps([{"kind": c.kind, "column": c.column, **c.args} for c in checks])
 
-
-RESULT_SCHEMA = T.StructType([
-    T.StructField("suite", T.StringType()),
-    T.StructField("position", T.IntegerType()),
-    T.StructField("check", T.StringType()),
-    T.StructField("column", T.StringType()),
-    T.StructField("success", T.BooleanType()),
-    T.StructField("observed", T.DoubleType()),
-    T.StructField("element_count", T.LongType()),
-    T.StructField("missing_count", T.LongType()),
-    T.StructField("unexpected_count", T.LongType()),
-])

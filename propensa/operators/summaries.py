@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propensa.functions.features import email_domain
+from propensa.functions.features import email_domain, sql_text
 from propensa.operators.running import ONE_TASK_ROWS, Running, running_totals
 
 TARGET = "made_purchase"
@@ -139,15 +139,11 @@ def _long(quantiles: Sequence[float], values: list[Column]) -> Column:
 
 def null_profile(df: DataFrame) -> DataFrame:
     """Missing values per column, all counted in one pass; NaN counts as missing."""
-    def missing(name: str, dtype: str) -> Column:
-        empty = F.col(f"`{name}`").isNull()
-        if dtype in ("double", "float"):
-            empty = empty | F.isnan(f"`{name}`")
-        return F.count_if(empty)
+    def missing(name: str, dtype: str) -> str:
+        nan = f" or isnan(`{name}`)" if dtype in ("double", "float") else ""
+        return f"count_if(`{name}` is null{nan})"
 
-    counts = df.agg(*[missing(name, dtype).alias(f"c{i}") for i, (name, dtype) in enumerate(df.dtypes)])
-    pairs = [
-        F.struct(F.lit(name).alias("column_name"), F.col(f"c{i}").alias("null_count"))
-        for i, name in enumerate(df.columns)
-    ]
-    return counts.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+    counts = [f"struct({sql_text(name)}, {missing(name, dtype)})" for name, dtype in df.dtypes]
+    return df.selectExpr(f"array({', '.join(counts)}) as counts").selectExpr(
+        "inline(counts) as (column_name, null_count)"
+    )

@@ -55,10 +55,8 @@ def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest artifact per kind, the names made from the time stamps of the events."""
-    names = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        F.col("event_type").alias("kind"),
-        F.concat("event_type", F.lit("_best_"), F.date_format("ts", "yyyyMMdd_HHmmss"), F.lit(".model"))
-        .alias("name"),
+    names = standins.source(spark, sf_dir, "events").selectExpr(
+        "event_type as kind", "concat(event_type, '_best_', date_format(ts, 'yyyyMMdd_HHmmss'), '.model') as name"
     )
     return latest_artifacts(names, by="kind")
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from propensa.functions.features import sql_list
 from propensa.sources.tables import CrmTables
 
 # Fixed values the stand-in tables are defined by.
@@ -18,32 +18,39 @@ DOMAINS = [
 CHARGE_COUNTRIES = ["US", "CA", "GB", "AU", "DE", "FR", "NZ"]
 PRICE_FLOOR = 480000
 
+# Columns read from each table. A stated schema saves a pass over the file footers.
+SOURCES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double",
+    "events": "ts timestamp_ntz, user_id bigint, event_type string, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
+}
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+
+def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SOURCES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _pick(values: list[str], index: str) -> str:
+    """The value at a 0-based index, null beyond the list."""
+    return f"get(array({sql_list(values)}), cast({index} as int))"
 
 
 def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
-        key.alias("mailchimp_id"),
-        F.col("c_name").alias("user_full_name"),
-        F.concat(
-            F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@"), _pick(DOMAINS, key % 7)
-        ).alias("user_email"),
-        F.least(F.lit(5), 1 + F.floor((F.col("c_acctbal") + 1000) / 2200)).cast("int").alias("member_rating"),
-        F.date_add(F.lit("2015-01-01").cast("date"), (key * 37 % 1461).cast("int"))
-        .cast("string").alias("optin_time"),
-        _pick(COUNTRIES, F.col("c_nationkey")).alias("country_code"),
+    return source(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as mailchimp_id",
+        "c_name as user_full_name",
+        f"concat(lower(replace(c_name, '#', '.')), '@', {_pick(DOMAINS, 'c_custkey % 7')}) as user_email",
+        "cast(least(5, 1 + floor((c_acctbal + 1000) / 2200)) as int) as member_rating",
+        "cast(date_add(date'2015-01-01', cast(c_custkey * 37 % 1461 as int)) as string) as optin_time",
+        f"{_pick(COUNTRIES, 'c_nationkey')} as country_code",
     )
 
 
 def event_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One tag per event, repeats included."""
-    number = F.get_json_object("props", "$.k").cast("int") % 10
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        F.col("user_id").alias("mailchimp_id"),
-        F.concat("event_type", F.lit("-"), F.lpad(number.cast("string"), 2, "0")).alias("tag"),
+    number = "cast(cast(get_json_object(props, '$.k') as int) % 10 as string)"
+    return source(spark, sf_dir, "events").selectExpr(
+        "user_id as mailchimp_id", f"concat(event_type, '-', lpad({number}, 2, '0')) as tag"
     )
 
 
@@ -52,18 +59,17 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = F.col("o_custkey")
-    padded = F.lpad(customer.cast("string"), 9, "0")
+    padded = "lpad(cast(o_custkey as string), 9, '0')"
     return (
-        spark.read.parquet(f"{sf_dir}/orders.parquet")
-        .filter(F.col("o_totalprice") > PRICE_FLOOR)
-        .select(
-            F.col("o_orderkey").alias("transaction_id"),
-            F.col("o_orderdate").cast("date").cast("string").alias("purchased_at"),
-            F.concat(F.lit("Customer#"), padded).alias("user_full_name"),
-            F.concat(F.lit("customer."), padded, F.lit("@"), _pick(DOMAINS, customer % 7)).alias("user_email"),
-            _pick(CHARGE_COUNTRIES, customer % 8).alias("charge_country"),
-            (1 + F.col("o_orderkey") % 100).cast("int").alias("product_id"),
+        source(spark, sf_dir, "orders")
+        .filter(f"o_totalprice > {PRICE_FLOOR}")
+        .selectExpr(
+            "o_orderkey as transaction_id",
+            "cast(cast(o_orderdate as date) as string) as purchased_at",
+            f"concat('Customer#', {padded}) as user_full_name",
+            f"concat('customer.', {padded}, '@', {_pick(DOMAINS, 'o_custkey % 7')}) as user_email",
+            f"{_pick(CHARGE_COUNTRIES, 'o_custkey % 8')} as charge_country",
+            "cast(1 + o_orderkey % 100 as int) as product_id",
         )
     )
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from propensa.functions.features import sql_text
 from propensa.sources import schemas
 
 
@@ -104,35 +104,22 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
 
 def cast_columns(df: DataFrame, casts: dict[str, str], lenient: bool = False) -> DataFrame:
     """Cast the named columns in one projection; a bad value raises unless ``lenient``."""
-
-    def column(name: str) -> Column:
-        if name not in casts:
-            return F.col(name)
-        convert: Callable[[str], Column] = F.col(name).try_cast if lenient else F.col(name).cast
-        return convert(casts[name]).alias(name)
-
-    return df.select(*[column(name) for name in df.columns])
+    convert = "try_cast" if lenient else "cast"
+    return df.withColumns({
+        name: F.expr(f"{convert}(`{name}` as {dtype})") for name, dtype in casts.items() if name in df.columns
+    })
 
 
 def profile(df: DataFrame, table_name: str) -> DataFrame:
     """Shape and column list of a table: one row per column, with row and column counts."""
-    columns = F.array(*[
-        F.struct(
-            F.lit(position).alias("column_position"),
-            F.lit(field.name).alias("column_name"),
-            F.lit(field.dataType.simpleString()).alias("data_type"),
-        )
-        for position, field in enumerate(df.schema.fields)
-    ])
-    return (
-        df.agg(F.count("*").alias("row_count"))
-        .select(
-            F.lit(table_name).alias("table_name"),
-            "row_count",
-            F.lit(len(df.columns)).alias("column_count"),
-            F.explode(columns).alias("c"),
-        )
-        .select("table_name", "row_count", "column_count", "c.*")
+    described = ", ".join(
+        f"struct({position}, {sql_text(name)}, {sql_text(dtype)})" for position, (name, dtype) in enumerate(df.dtypes)
+    )
+    return df.agg(F.count("*").alias("row_count")).selectExpr(
+        f"{sql_text(table_name)} as table_name",
+        "row_count",
+        f"{len(df.columns)} as column_count",
+        f"inline(array({described})) as (column_position, column_name, data_type)",
     )
 
 
