@@ -126,9 +126,11 @@ def is_unexpected(check: Check) -> str:
 
 RESULT_FIELDS = (
     "position int, check string, column string, success boolean, observed double, "
-    "element_count bigint, missing_count bigint, unexpected_count bigint"
+    "element_count bigint, missing_count bigint, unexpected_count bigint, unexpected_percent double"
 )
 
+BASIC, SUMMARY, COMPLETE = "basic", "summary", "complete"
+
 
 def _result(
     position: int, check: Check, success: str, observed: str = "null", elements: str = "null",
@@ -136,7 +138,10 @@ def _result(
 ) -> str:
     """SQL struct of one result row."""
     column = "null" if check.column is None else sql_text(check.column)
-    values = [str(position), sql_text(check.name), column, success, observed, elements, missing, unexpected]
+    percent = f"100 * coalesce(try_divide({unexpected}, {elements} - {missing}), 0)" if unexpected != "null" else "null"
+    values = [
+        str(position), sql_text(check.name), column, success, observed, elements, missing, unexpected, percent,
+    ]
     fields = [field.split() for field in RESULT_FIELDS.split(", ")]
     named = ", ".join(f"'{name}', cast({v} as {dtype})" for (name, dtype), v in zip(fields, values))
     return f"named_struct({named})"
@@ -198,8 +203,12 @@ def _grouped(df: DataFrame, position: int, check: Check) -> DataFrame:
     return measured.selectExpr(f"inline(array({outcome}))")
 
 
-def validate(df: DataFrame, suite: str, checks: Sequence[Check]) -> DataFrame:
-    """One row per check with its verdict and counts."""
+def validate(df: DataFrame, suite: str, checks: Sequence[Check], detail: str = BASIC) -> DataFrame:
+    """One row per check with its verdict and counts.
+
+    ``summary`` and ``complete`` detail add the most frequent unexpected values of
+    each row check; the rows themselves, of any number, come from ``failing_rows``.
+    """
     numbered = list(enumerate(checks))
     grouped = [(i, c) for i, c in numbered if c.kind in ("unique", "share_at_most")]
     plain = [(i, c) for i, c in numbered if c.kind not in ("unique", "share_at_most")]
@@ -208,7 +217,16 @@ def validate(df: DataFrame, suite: str, checks: Sequence[Check]) -> DataFrame:
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame)
-    return out.select(F.lit(suite).alias("suite"), *out.columns)
+    out = out.select(F.lit(suite).alias("suite"), *out.columns)
+    if detail == BASIC:
+        return out
+    ranked = F.array_sort(F.collect_list(F.struct("rank", "value")))
+    samples = (
+        unexpected_values(df, checks)
+        .groupBy("check")
+        .agg(F.transform(ranked, lambda r: r["value"]).alias("partial_unexpected"))
+    )
+    return out.join(samples, "check", "left").select(*out.columns, "partial_unexpected")
 
 
 def failing_rows(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
@@ -250,7 +268,8 @@ def verdicts(results: DataFrame) -> DataFrame:
     return (
         results.rollup("suite")
         .agg(F.every("success").alias("success"), F.count("*").alias("checks"),
-             F.count_if(~F.col("success")).alias("failed"))
+             F.count_if(~F.col("success")).alias("failed"),
+             F.expr("100 * count_if(success) / count(*)").alias("success_percent"))
         .withColumn("suite", F.coalesce("suite", F.lit("overall")))
     )
 

@@ -52,20 +52,21 @@ def split_exact(
     Keys are ranked by hash within each class; only the rows at the two cut
     ranks of a class reach the driver. The folds are then one map over ``df``.
     """
+    classes = df.filter(F.col(label).isNotNull()).groupBy(label).count().limit(MAX_CLASSES + 1).collect()
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    sizes = fold_sizes({row[label]: row["count"] for row in classes}, val_size, test_size)
+
     ranked = running_totals(
         df.filter(F.col(label).isNotNull())
         .groupBy(label, key)
         .agg(F.count("*").alias("__n"))
         .withColumn("__hash", hash_text(key, seed)),
         order=["__hash", key],
-        what=Running(sums={"__upto": "__n"}, totals={"__all": "__n"}),
+        what=Running(sums={"__upto": "__n"}),
         groups=[label],
         one_task_rows=one_task_rows,
     )
-    classes = ranked.select(label, "__all").distinct().limit(MAX_CLASSES + 1).collect()
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    sizes = fold_sizes({row[label]: row["__all"] for row in classes}, val_size, test_size)
 
     # The two cut ranks of each class; a rank of 0 means the fold before it is empty.
     ends = {c: (size[TRAIN], size[TRAIN] + size[VALIDATION]) for c, size in sizes.items()}

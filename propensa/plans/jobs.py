@@ -39,13 +39,19 @@ def read_joined(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return read_table(spark, path, fmt, SUBSCRIBERS_JOINED)
 
 
-def check_crm(crm: CrmTables, results_path: str | None = None) -> DataFrame:
-    """Quality suites of the raw tables."""
+def check_crm(crm: CrmTables, results_path: str | None = None, failing_path: str | None = None) -> DataFrame:
+    """Quality suites of the raw tables, at the detail published for each.
+
+    ``failing_path`` receives all failing transactions, the one suite reported in full.
+    """
+    checks = suites.transactions_suite()
     results = (
-        q.validate(crm.subscribers, "subscribers", suites.subscribers_suite())
-        .unionByName(q.validate(crm.tags, "tags", suites.tags_suite()))
-        .unionByName(q.validate(crm.transactions, "transactions", suites.transactions_suite()))
+        q.validate(crm.subscribers, "subscribers", suites.subscribers_suite(), q.BASIC)
+        .unionByName(q.validate(crm.tags, "tags", suites.tags_suite(), q.SUMMARY), allowMissingColumns=True)
+        .unionByName(q.validate(crm.transactions, "transactions", checks, q.COMPLETE))
     )
+    if failing_path:
+        write_table(q.failing_rows(crm.transactions, checks), failing_path)
     return _finish(results, results_path)
 
 
@@ -61,7 +67,11 @@ def check_business_rules(joined: DataFrame, results_path: str | None = None) ->
 
 def check_all(crm: CrmTables, joined: DataFrame, results_path: str | None = None) -> DataFrame:
     """All suites: raw tables, joined table and business rules."""
-    results = check_crm(crm).unionByName(check_joined(joined)).unionByName(check_business_rules(joined))
+    results = (
+        check_crm(crm)
+        .unionByName(check_joined(joined), allowMissingColumns=True)
+        .unionByName(check_business_rules(joined), allowMissingColumns=True)
+    )
     return _finish(results, results_path)
 
 

@@ -29,12 +29,14 @@ from propensa.functions import features as fx
 from propensa.functions.hashing import hash_text, hash_unit
 from propensa.operators import metrics as mx
 from propensa.operators.columns import MISSING
+from propensa.operators.encode import ordinal
 from propensa.operators.running import Running, running_totals
 from propensa.operators.split import TRAIN, VALIDATION, fold_rows
 from propensa.session import ensure_checkpoint_dir, stored
 
 TARGET = "made_purchase"
 PREFIX = "f_"
+FOLD, PART = "fold", "part"
 
 # Seeds and sizes of the search and of the comparison.
 MODEL_SEED = 42
@@ -43,6 +45,7 @@ TRIALS = 12
 WORKERS = 3
 COMPARE_SEED = 123
 COMPARE_FOLDS = 10
+COMPARE_TRAIN_SIZE = 0.7
 RATINGS = ["1", "2", "3", "4", "5"]
 
 # Search space in drawing order. Integer ranges exclude their upper bound.
@@ -128,13 +131,18 @@ def fit_featurizer(leads: DataFrame, one_hot: bool = False, unseen: str = "error
 
 
 def training_table(
-    leads: DataFrame, featurizer: Featurizer, keep: Sequence[str] = ("mailchimp_id", "fold"), target: str = TARGET
+    leads: DataFrame, featurizer: Featurizer, keep: Sequence[str] = ("mailchimp_id", FOLD), target: str = TARGET
 ) -> DataFrame:
-    """Label and feature vector, written once: every trial and fold reads this table."""
+    """Label and feature vector, written once: every trial and fold reads this table.
+
+    It is partitioned by fold (the last of ``keep`` that is present), so that a fit reads its own rows only.
+    """
+    kept = [c for c in keep if c in leads.columns]
     vectors = featurizer.pipeline.transform(leads).select(
-        *[c for c in keep if c in leads.columns], F.col(target).cast("double").alias("label"), "features"
+        *kept, F.col(target).cast("double").alias("label"), "features"
     )
-    return stored(vectors)
+    folds = [c for c in kept if c in (FOLD, PART)]
+    return stored(vectors, partition_by=folds[-1] if folds else None)
 
 
 def boosted_trees(params: dict[str, Any], seed: int = MODEL_SEED) -> GBTClassifier:
@@ -311,6 +319,7 @@ def _classifiers(seed: int, iterations: int) -> dict[str, Estimator]:
     }
 
 
+HOLDOUT = -1
 FAMILIES = {"tree": ["dt", "rf", "gbc"], "linear": ["lr", "svm"], "all": ["lr", "nb", "svm", "dt", "rf", "gbc"]}
 
 
@@ -321,19 +330,22 @@ class CompareSetup:
     target: str = TARGET
     seed: int = COMPARE_SEED
     folds: int = COMPARE_FOLDS
+    train_size: float = COMPARE_TRAIN_SIZE
     iterations: int = 20
     ratings: list[str] = field(default_factory=lambda: list(RATINGS))
 
 
 def compare_table(leads: DataFrame, setup: CompareSetup, key: str = "mailchimp_id") -> DataFrame:
-    """Comparison matrix: rating by rank, country one-hot, and a cross-validation fold per key."""
-    from propensa.operators.encode import ordinal
+    """Comparison matrix: rating by rank, country one-hot, and the part each key belongs to.
 
+    Parts 0 and up are the cross-validation folds; part ``HOLDOUT`` is kept out of them.
+    """
+    unit = hash_unit(key, setup.seed)
+    part = F.when(unit < setup.train_size, F.floor(unit / setup.train_size * setup.folds)).otherwise(HOLDOUT)
     ranked = leads.withColumn("member_rating", ordinal("member_rating", setup.ratings))
-    featurizer = fit_featurizer(ranked, one_hot=True)
-    table = training_table(ranked, featurizer, keep=(key,), target=setup.target)
-    part = F.floor(hash_unit(key, setup.seed) * setup.folds).cast("int")
-    return table.withColumn("part", part)
+    parted = ranked.withColumn(PART, part.cast("int"))
+    featurizer = fit_featurizer(parted, one_hot=True)
+    return training_table(parted, featurizer, keep=(key, PART), target=setup.target)
 
 
 def leaderboard(
@@ -354,7 +366,8 @@ def leaderboard(
     def fit_part(job: tuple[str, int]) -> tuple:
         name, part = job
         started = time.monotonic()
-        train, held_out = table.filter(F.col("part") != part), table.filter(F.col("part") == part)
+        train = table.filter((F.col(PART) != part) & (F.col(PART) != HOLDOUT))
+        held_out = table.filter(F.col(PART) == part)
         found = evaluate_scores(scored(available[name].fit(train), held_out))
         numbers = [found[m] for m in ("accuracy", "roc_auc", "recall", "precision", "f1_score", "kappa", "mcc")]
         return (name, part, *[None if v is None else float(v) for v in numbers], time.monotonic() - started)
@@ -368,3 +381,13 @@ def leaderboard(
     )
     board = results.groupBy("model").agg(*[F.avg(m).alias(m) for m in measures]).orderBy(F.desc(sort), "model")
     return board if n_select is None else board.limit(n_select)
+
+
+def fit_best(
+    table: DataFrame, setup: CompareSetup, board: DataFrame, sort: str = "f1"
+) -> tuple[str, Model, DataFrame]:
+    """Refit the leading classifier on all folds; returns its name, model and held-out scores."""
+    ensure_checkpoint_dir(table.sparkSession)
+    name = board.orderBy(F.desc(sort), "model").first()["model"]
+    model = _classifiers(setup.seed, setup.iterations)[name].fit(table.filter(F.col(PART) != HOLDOUT))
+    return name, model, scored(model, table.filter(F.col(PART) == HOLDOUT))

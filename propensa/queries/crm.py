@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensa.operators import joins
 from propensa.plans.ingest import join_subscribers, typed
 from propensa.queries.twins import with_tables
-from propensa.session import scratch_path
+from propensa.session import scratch_path, stored
 from propensa.sources import schemas, standins, tables
 from propensa.sources.registry import latest_artifacts
 
@@ -19,6 +21,12 @@ def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_subscribers(standins.crm_standins(spark, sf_dir))
 
 
+@cache
+def joined_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined table as the ingest step hands it over: written once, read by all later steps."""
+    return stored(joined(spark, sf_dir))
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for frame in frames[1:]:
@@ -43,7 +51,7 @@ def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined table written as CSV with a header and scanned back under its schema."""
     path = scratch_path(spark, "joined-csv")
-    tables.write_table(joined(spark, sf_dir), path, "csv")
+    tables.write_table(joined_table(spark, sf_dir), path, "csv")
     return tables.read_table(spark, path, "csv", schemas.SUBSCRIBERS_JOINED)
 
 

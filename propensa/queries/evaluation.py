@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensa.operators import metrics as mx
-from propensa.queries.crm import joined
+from propensa.queries.crm import joined_table
 from propensa.queries.twins import with_tables
 
 # Sums of fractions depend on their order in the last digits.
@@ -16,7 +16,7 @@ DIGITS = 10
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every subscriber with its label and a score that leans towards the label."""
     key, label = F.col("mailchimp_id"), F.col("made_purchase")
-    table = joined(spark, sf_dir).select(
+    table = joined_table(spark, sf_dir).select(
         key, label.alias("label"), ((key * 7919 % 1009 + 300 * label) / 1309.0).alias("score")
     )
     return mx.predict(table).select("mailchimp_id", "label", "prediction", "score")

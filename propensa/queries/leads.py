@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from propensa.operators import columns, encode, pivot, split
 from propensa.operators.summaries import null_profile
 from propensa.plans import prepare
 from propensa.plans.learning import RATINGS
-from propensa.queries.crm import joined
+from propensa.queries.crm import joined_table
 from propensa.queries.twins import (
     COUNTRY_COLUMN, DATE_COLUMNS, EMAIL_COLUMNS, TAG_COLUMNS, with_tables,
 )
@@ -21,16 +23,22 @@ DATES = ["optin_days", "optin_month", "optin_day_of_week", "optin_day_of_year",
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.merge_tags(joined(spark, sf_dir), standins.tags(spark, sf_dir))
+    return prepare.merge_tags(joined_table(spark, sf_dir), standins.tags(spark, sf_dir))
+
+
+@cache
+def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leads with their tags as the merge step hands them over: written once."""
+    return stored(raw(spark, sf_dir))
 
 
 def engineered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Engineered leads, written once: the encoders and the rows are read from it."""
-    return stored(prepare.add_features(raw(spark, sf_dir)))
+    return stored(prepare.add_features(raw_table(spark, sf_dir)))
 
 
 def leads_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.prepare_leads(stored(raw(spark, sf_dir))).leads
+    return prepare.prepare_leads(raw_table(spark, sf_dir)).leads
 
 
 def filled_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +46,7 @@ def filled_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def align_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    leads = prepare.add_features(raw(spark, sf_dir))
+    leads = prepare.add_features(raw_table(spark, sf_dir))
     tag_columns = [c for c in columns.tag_names(leads) if c not in ("tag_count", "tag_count_by_optin_day")]
     order = ["member_rating", "tag_count", *tag_columns, *DATES, "is_free_email", "tag_count_by_optin_day"]
     return columns.align(leads, order, keep=["user_email"])
@@ -50,11 +58,11 @@ def country_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.split_exact(joined(spark, sf_dir), TARGET, KEY).select(KEY, TARGET, "fold")
+    return split.split_exact(joined_table(spark, sf_dir), TARGET, KEY).select(KEY, TARGET, "fold")
 
 
 def split_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.split_fast(joined(spark, sf_dir), KEY).select(KEY, TARGET, "fold")
+    return split.split_fast(joined_table(spark, sf_dir), KEY).select(KEY, TARGET, "fold")
 
 
 def fold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,16 +75,16 @@ def fold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "tag_pivot": lambda s, d: pivot.tag_pivot(standins.tags(s, d)),
     "leads_raw": raw,
-    "date_features": lambda s, d: prepare.add_dates(joined(s, d)).select(KEY, *DATES),
-    "email_features": lambda s, d: prepare.add_email(joined(s, d)).select(
+    "date_features": lambda s, d: prepare.add_dates(joined_table(s, d)).select(KEY, *DATES),
+    "email_features": lambda s, d: prepare.add_email(joined_table(s, d)).select(
         KEY, "user_email", "email_provider", "is_free_email"
     ),
-    "activity_features": lambda s, d: prepare.add_activity(prepare.add_dates(joined(s, d))).select(
+    "activity_features": lambda s, d: prepare.add_activity(prepare.add_dates(joined_table(s, d))).select(
         KEY, "tag_count", "optin_days", "tag_count_by_optin_day"
     ),
-    "country_standardized": lambda s, d: prepare.standardize_country(joined(s, d)).select(KEY, "country_code"),
-    "null_profile": lambda s, d: null_profile(raw(s, d)),
-    "model_columns": lambda s, d: columns.drop_columns(prepare.add_features(raw(s, d))),
+    "country_standardized": lambda s, d: prepare.standardize_country(joined_table(s, d)).select(KEY, "country_code"),
+    "null_profile": lambda s, d: null_profile(raw_table(s, d)),
+    "model_columns": lambda s, d: columns.drop_columns(prepare.add_features(raw_table(s, d))),
     "align_features": align_features,
     "country_codes": country_codes,
     "rating_ordinal": lambda s, d: standins.subscribers(s, d).select(

@@ -29,7 +29,7 @@ LOOKED_UP_ID = 5
 @cache
 def _leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All leads with their folds, written once per session and data folder."""
-    raw = stored(lead_queries.raw(spark, sf_dir))
+    raw = lead_queries.raw_table(spark, sf_dir)
     return stored(split_exact(raw, lead_queries.TARGET, lead_queries.KEY))
 
 
@@ -94,7 +94,7 @@ def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.score_by_id(_model(spark, sf_dir), lead_queries.raw(spark, sf_dir), LOOKED_UP_ID)
+    return scoring.score_by_id(_model(spark, sf_dir), lead_queries.raw_table(spark, sf_dir), LOOKED_UP_ID)
 
 
 def evaluation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +122,7 @@ QUERIES = {
     "class_scores": class_scores,
     "feature_importance": feature_importance,
     "permutation_importance": permutation_importance,
-    "batch_scoring": lambda s, d: scoring.score_leads(_model(s, d), lead_queries.raw(s, d)),
+    "batch_scoring": lambda s, d: scoring.score_leads(_model(s, d), lead_queries.raw_table(s, d)),
     "score_by_key": score_by_key,
     "evaluation_report": evaluation_report,
     "stream_scoring": stream_scoring,

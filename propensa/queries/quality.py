@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from propensa.operators import quality as q
 from propensa.plans import suites
-from propensa.queries.crm import joined
+from propensa.queries.crm import joined_table
 from propensa.queries.twins import with_tables
 from propensa.sources import standins
 
@@ -32,11 +32,11 @@ def dq_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q.validate(suites.as_written(joined(spark, sf_dir)), "joined", suites.joined_suite())
+    return q.validate(suites.as_written(joined_table(spark, sf_dir)), "joined", suites.joined_suite())
 
 
 def dq_business_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q.validate(suites.with_domain(joined(spark, sf_dir)), "business_rules", suites.business_suite())
+    return q.validate(suites.with_domain(joined_table(spark, sf_dir)), "business_rules", suites.business_suite())
 
 
 def dq_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,12 @@ def dq_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.repeated_rows(standins.event_tags(spark, sf_dir), ["mailchimp_id", "tag"])
 
 
+def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results with the most frequent unexpected values of each check, as text."""
+    results = q.validate(standins.subscribers(spark, sf_dir), "subscribers", DETAIL_CHECKS, q.SUMMARY)
+    return results.withColumn("partial_unexpected", F.array_join("partial_unexpected", ";"))
+
+
 def dq_failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = q.failing_rows(standins.subscribers(spark, sf_dir), DETAIL_CHECKS)
     return rows.withColumn("failed_checks", F.concat_ws(";", "failed_checks"))
@@ -67,6 +73,7 @@ QUERIES = {
     "dq_verdicts": dq_verdicts,
     "dq_duplicate_rows": dq_duplicate_rows,
     "dq_unexpected_values": lambda s, d: q.unexpected_values(standins.subscribers(s, d), DETAIL_CHECKS),
+    "dq_summary": dq_summary,
     "dq_failing_rows": dq_failing_rows,
 }
 
@@ -124,10 +131,13 @@ def _row(position: int, suite: str, check: q.Check, table: str, columns: list[tu
     origin = "" if check.kind in q.SCHEMA_KINDS else f"from {source}"
     if column is not None and check.kind != "type_is":
         elements, missing = "count(*)", f"count(*) - count({column})"
+    percent = "null::double"
+    if unexpected != none:
+        percent = f"100 * coalesce({unexpected} / nullif(count({column}), 0)::double, 0)"
     name = f"'{column}'" if column else "null::varchar"
     return f"""select '{suite}' as suite, {position} as position, '{check.name}' as "check", {name} as "column",
         {success} as success, {observed} as observed, {elements} as element_count,
-        {missing} as missing_count, {unexpected} as unexpected_count {origin}"""
+        {missing} as missing_count, {unexpected} as unexpected_count, {percent} as unexpected_percent {origin}"""
 
 
 SUBSCRIBERS = [
@@ -152,6 +162,18 @@ _CRM = [
     _suite("transactions", suites.transactions_suite(), "transactions", TRANSACTIONS),
 ]
 
+_UNEXPECTED = with_tables("subscribers") + ", bad as (" + " union all ".join(
+    f"""select '{c.name}' as "check", cast({c.column} as varchar) as value from subscribers where {_bad(c)}"""
+    for c in DETAIL_CHECKS
+) + f"""),
+    top_values as (
+        select "check", value, n_rows, rank from (
+            select "check", value, count(*) as n_rows,
+                   cast(row_number() over (partition by "check" order by count(*) desc, value) as int) as rank
+            from bad group by 1, 2)
+        where rank <= {q.SAMPLE_SIZE})
+"""
+
 SQL = {
     "dq_subscribers": with_tables("subscribers") + _CRM[0],
     "dq_tags": with_tables("tags") + _CRM[1],
@@ -165,20 +187,18 @@ SQL = {
     "dq_verdicts": with_tables("subscribers", "tags", "transactions")
     + ", results as (" + " union all ".join(_CRM) + """)
         select coalesce(suite, 'overall') as suite, bool_and(success) as success, count(*) as checks,
-               count(*) filter (where not success) as failed
+               count(*) filter (where not success) as failed,
+               100 * count(*) filter (where success) / count(*)::double as success_percent
         from results group by rollup (suite)""",
     "dq_duplicate_rows": with_tables("event_tags") + """
         select mailchimp_id, tag, count(*) as n_rows from event_tags
         where mailchimp_id is not null and tag is not null group by 1, 2 having count(*) > 1""",
-    "dq_unexpected_values": with_tables("subscribers") + ", bad as (" + " union all ".join(
-        f"""select '{c.name}' as "check", cast({c.column} as varchar) as value from subscribers where {_bad(c)}"""
-        for c in DETAIL_CHECKS
-    ) + f""")
-        select "check", value, n_rows, rank from (
-            select "check", value, count(*) as n_rows,
-                   cast(row_number() over (partition by "check" order by count(*) desc, value) as int) as rank
-            from bad group by 1, 2)
-        where rank <= {q.SAMPLE_SIZE}""",
+    "dq_unexpected_values": _UNEXPECTED + "select * from top_values",
+    "dq_summary": _UNEXPECTED + ", results as ("
+    + _suite("subscribers", DETAIL_CHECKS, "subscribers", SUBSCRIBERS) + """),
+        samples as (
+            select "check", string_agg(value, ';' order by rank) as partial_unexpected from top_values group by 1)
+        select results.*, partial_unexpected from results left join samples using ("check")""",
     "dq_failing_rows": with_tables("subscribers") + """
         select * from (select *, concat_ws(';', """ + ", ".join(
         f"case when {_bad(c)} then '{c.name}' end" for c in DETAIL_CHECKS

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from propensa.operators import summaries as sm
-from propensa.queries.crm import joined
+from propensa.queries.crm import joined_table
 from propensa.queries.twins import with_tables
 
 MIN_SALES = 5
@@ -13,19 +13,19 @@ DIGITS = 6
 
 
 def tag_count_quantiles(spark, sf_dir):
-    found = sm.group_quantiles(joined(spark, sf_dir), "made_purchase", "tag_count")
+    found = sm.group_quantiles(joined_table(spark, sf_dir), "made_purchase", "tag_count")
     return found.withColumn("value", F.round("value", DIGITS))
 
 
 QUERIES = {
-    "country_pareto": lambda s, d: sm.pareto(joined(s, d), "country_code", min_sales=MIN_SALES),
-    "rating_pareto": lambda s, d: sm.pareto(joined(s, d), "member_rating"),
-    "monthly_conversion": lambda s, d: sm.monthly_conversion(joined(s, d)),
-    "domain_performance": lambda s, d: sm.domain_performance(joined(s, d)),
-    "top_domains": lambda s, d: sm.top_domains(joined(s, d)),
+    "country_pareto": lambda s, d: sm.pareto(joined_table(s, d), "country_code", min_sales=MIN_SALES),
+    "rating_pareto": lambda s, d: sm.pareto(joined_table(s, d), "member_rating"),
+    "monthly_conversion": lambda s, d: sm.monthly_conversion(joined_table(s, d)),
+    "domain_performance": lambda s, d: sm.domain_performance(joined_table(s, d)),
+    "top_domains": lambda s, d: sm.top_domains(joined_table(s, d)),
     "tag_count_quantiles": tag_count_quantiles,
-    "conversion_rate": lambda s, d: sm.conversion_rate(joined(s, d)),
-    "target_distribution": lambda s, d: sm.target_distribution(joined(s, d)),
+    "conversion_rate": lambda s, d: sm.conversion_rate(joined_table(s, d)),
+    "target_distribution": lambda s, d: sm.target_distribution(joined_table(s, d)),
 }
 
 
