@@ -238,8 +238,8 @@ def run_trials(
 
 
 def trial_summary(trials: DataFrame, metric: str = "roc_auc") -> DataFrame:
-    """Number of trials, best and mean metric, and the parameters of the best: one row."""
-    best = F.max_by(F.struct("trial_id", *SEARCH_SPACE), metric)
+    """Number of trials, best and mean metric, and the parameters of the best (the earliest of equals)."""
+    best = F.max_by(F.struct("trial_id", *SEARCH_SPACE), F.struct(metric, -F.col("trial_id")))
     return trials.agg(
         F.count("*").alias("n_trials"),
         F.max(metric).alias(f"best_{metric}"),
