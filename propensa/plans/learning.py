@@ -276,14 +276,16 @@ def permutation_importance(
 ) -> DataFrame:
     """Loss of ROC AUC when one feature takes its value from another row.
 
-    Each row borrows from the next row in a seeded hash order. That pairing is
-    made once for all features; the variants of a row are then scored where the
-    row is, and only counts per (feature, score) are shuffled.
+    Each row borrows from the next row in a seeded hash order (rows with an equal
+    key follow one another, in any order). That pairing is made once for all
+    features; the variants of a row are then scored where the row is, and only
+    counts per (feature, score) are shuffled.
     """
     rows = table.select(
-        key, "label", vector_to_array("features").alias("x"), hash_text(key, seed).alias("__hash")
+        "label", vector_to_array("features").alias("x"), hash_text(key, seed).alias("__hash"),
+        F.monotonically_increasing_id().alias("__row"),
     )
-    paired = running_totals(rows, ["__hash", key], Running(sums={}, following={"donor": "x"}))
+    paired = running_totals(rows, ["__hash", "__row"], Running(sums={}, following={"donor": "x"}))
     donor = F.coalesce("donor", "x")
     column = F.col("i")
     swapped = F.concat(

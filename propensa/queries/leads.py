@@ -15,8 +15,9 @@ from propensa.queries.crm import joined_table
 from propensa.queries.twins import (
     COUNTRY_COLUMN, DATE_COLUMNS, EMAIL_COLUMNS, TAG_COLUMNS, with_tables,
 )
-from propensa.session import stored
+from propensa.session import scratch_path, stored
 from propensa.sources import standins
+from propensa.sources.tables import write_table
 
 KEY, TARGET = prepare.KEY, prepare.TARGET
 DATES = ["optin_days", "optin_month", "optin_day_of_week", "optin_day_of_year", "optin_quarter", "optin_is_weekend"]
@@ -72,6 +73,13 @@ def fold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def kept_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kept test rows: folds written as partitions, of which only one is read back."""
+    path = scratch_path(spark, "folds")
+    write_table(split_exact(spark, sf_dir), path, partition_by=["fold"])
+    return split.fold_rows(spark.read.parquet(path), split.TEST)
+
+
 QUERIES = {
     "tag_pivot": lambda s, d: pivot.tag_pivot(standins.tags(s, d)),
     "leads_raw": raw,
@@ -95,6 +103,7 @@ QUERIES = {
     "split_folds": split_fast,
     "split_folds_exact": split_exact,
     "fold_counts": fold_counts,
+    "test_fold": kept_fold,
     "train_plus_val": lambda s, d: split.fold_rows(split_fast(s, d), split.TRAIN, split.VALIDATION),
 }
 
@@ -168,6 +177,7 @@ SQL = {
     "split_folds_exact": _EXACT + "select * from folded",
     "fold_counts": _EXACT + f"""
         select fold, count(*) as n_rows, cast(sum({TARGET}) as bigint) as n_positive from folded group by 1""",
+    "test_fold": _EXACT + "select * from folded where fold = 'test'",
     "train_plus_val": with_tables("joined") + f"""
         select * from (select {KEY}, {TARGET}, {_FOLD} as fold from joined) where fold in ('train', 'val')""",
 }

@@ -6,6 +6,7 @@ from datetime import datetime
 from functools import cache
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,6 +83,12 @@ def leaderboard(spark: SparkSession, sf_dir: str, include: list[str] | None = No
     return ln.leaderboard(table, COMPARE, include)
 
 
+def compare_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transformed matrix of the comparison, its vector as an array."""
+    table = ln.compare_table(_leads(spark, sf_dir), COMPARE)
+    return table.withColumn("features", vector_to_array("features"))
+
+
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _model(spark, sf_dir)
     return ln.feature_importance(model.pipeline.stages[-1], model.features, spark).limit(ev.TOP_CHARTED)
@@ -119,6 +126,7 @@ QUERIES = {
     "trial_summary": lambda s, d: ln.trial_summary(trials(s, d)),
     "model_leaderboard": leaderboard,
     "tree_leaderboard": lambda s, d: leaderboard(s, d, ln.FAMILIES["tree"]),
+    "compare_matrix": compare_matrix,
     "class_scores": class_scores,
     "feature_importance": feature_importance,
     "permutation_importance": permutation_importance,

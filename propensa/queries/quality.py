@@ -9,7 +9,9 @@ from propensa.operators import quality as q
 from propensa.plans import suites
 from propensa.queries.crm import joined_table
 from propensa.queries.twins import with_tables
+from propensa.session import scratch_path
 from propensa.sources import standins
+from propensa.sources.tables import read_table
 
 # A narrower list than the stand-in codes, so that the detail queries have rows to show.
 DETAIL_CHECKS = [
@@ -53,6 +55,18 @@ def dq_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.repeated_rows(standins.event_tags(spark, sf_dir), ["mailchimp_id", "tag"])
 
 
+def dq_results_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of the raw suites written as JSON and read back under their schema."""
+    results = (
+        dq_subscribers(spark, sf_dir)
+        .unionByName(dq_tags(spark, sf_dir))
+        .unionByName(dq_transactions(spark, sf_dir))
+    )
+    path = scratch_path(spark, "results")
+    q.write_results(results, path)
+    return read_table(spark, path, "json", results.schema)
+
+
 def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results with the most frequent unexpected values of each check, as text."""
     results = q.validate(standins.subscribers(spark, sf_dir), "subscribers", DETAIL_CHECKS, q.SUMMARY)
@@ -71,6 +85,7 @@ QUERIES = {
     "dq_joined": dq_joined,
     "dq_business_rules": dq_business_rules,
     "dq_verdicts": dq_verdicts,
+    "dq_results_json": dq_results_json,
     "dq_duplicate_rows": dq_duplicate_rows,
     "dq_unexpected_values": lambda s, d: q.unexpected_values(standins.subscribers(s, d), DETAIL_CHECKS),
     "dq_summary": dq_summary,
@@ -190,6 +205,7 @@ SQL = {
                count(*) filter (where not success) as failed,
                100 * count(*) filter (where success) / count(*)::double as success_percent
         from results group by rollup (suite)""",
+    "dq_results_json": with_tables("subscribers", "tags", "transactions") + " union all ".join(_CRM),
     "dq_duplicate_rows": with_tables("event_tags") + """
         select mailchimp_id, tag, count(*) as n_rows from event_tags
         where mailchimp_id is not null and tag is not null group by 1, 2 having count(*) > 1""",

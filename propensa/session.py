@@ -14,9 +14,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Shuffle sizing: a partition of this size sorts and aggregates within the memory of one task.
+PARTITION_BYTES = 256 * 1024**2
+MIN_PARTITIONS, MAX_PARTITIONS = 200, 100_000
 
-def build_session(app_name: str = "propensa", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with the settings the library relies on (UTC clock, AQE, skew joins)."""
+
+def size_settings(input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> dict[str, str]:
+    """Scan and shuffle partition settings for an input of the given size.
+
+    The shuffle count is an upper start: adaptive execution merges small partitions.
+    """
+    partitions = min(MAX_PARTITIONS, max(MIN_PARTITIONS, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
+def build_session(
+    app_name: str = "propensa", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """Session with the settings the library relies on (UTC clock, AQE, skew joins).
+
+    ``input_bytes``, the size of the largest table to be read, sizes scans and shuffles.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -25,6 +47,7 @@ def build_session(app_name: str = "propensa", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        **(size_settings(input_bytes) if input_bytes else {}),
         **conf,
     }
     for key, value in settings.items():
@@ -38,7 +61,7 @@ def work_folder(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder: on a cluster the
     executors would not see it, so an unset folder is an error there.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
