@@ -1,9 +1,9 @@
 """Subscriber-level joins: tag counts and the purchase flag.
 
-The side that is looked up is reduced to one row per key and written before the
-join. Its size is then known, so Catalyst broadcasts it only when it is small,
-and otherwise adaptive execution can split a hot key on the subscriber side,
-which it does not do when that side's partner is still being aggregated.
+The looked-up side is reduced to one row per key before it is shuffled, and the
+joins are null-safe. A null-safe join shuffles that reduced side once more, on
+its own expressions; this costs little and lets adaptive execution split a hot
+key among the subscribers, which it cannot do over an unshuffled aggregate.
 """
 
 from __future__ import annotations
@@ -11,7 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propensa.session import stored
+
+def look_up(rows: DataFrame, table: DataFrame, key: str, table_key: str) -> DataFrame:
+    """Left join of a table with one row per key; null matches null. Only ``key`` is compared."""
+    clash = [c for c in table.columns if c != table_key and c in rows.columns]
+    if clash:
+        raise ValueError(f"columns already present: {clash}")
+    renamed = table.withColumnRenamed(table_key, "__key")
+    return rows.join(renamed, rows[key].eqNullSafe(renamed["__key"]), "left").drop("__key")
 
 
 def tag_counts(tags: DataFrame, key: str = "mailchimp_id") -> DataFrame:
@@ -21,31 +28,12 @@ def tag_counts(tags: DataFrame, key: str = "mailchimp_id") -> DataFrame:
 
 def with_tag_count(subscribers: DataFrame, tags: DataFrame, key: str = "mailchimp_id") -> DataFrame:
     """Left join of the counts; subscribers without tags get 0."""
-    _no_collision(subscribers, ["tag_count"])
-    counts = stored(tag_counts(tags, key))
-    return subscribers.join(counts, key, "left").withColumn(
-        "tag_count", F.coalesce("tag_count", F.lit(0).cast("bigint"))
-    )
+    joined = look_up(subscribers, tag_counts(tags, key), key, key)
+    return joined.withColumn("tag_count", F.expr("coalesce(tag_count, 0L)"))
 
 
 def with_purchase_flag(subscribers: DataFrame, transactions: DataFrame, email: str = "user_email") -> DataFrame:
-    """1 when the email has a transaction, else 0. Case-sensitive; null matches null.
-
-    The buyers are reduced to distinct emails before the join, so a buyer with
-    very many transactions is one row of it.
-    """
-    _no_collision(subscribers, ["made_purchase"])
-    buyers = stored(
-        transactions.select(F.col(email).alias("__buyer")).distinct().withColumn("made_purchase", F.lit(1))
-    )
-    return (
-        subscribers.join(buyers, subscribers[email].eqNullSafe(buyers["__buyer"]), "left")
-        .drop("__buyer")
-        .withColumn("made_purchase", F.coalesce("made_purchase", F.lit(0)))
-    )
-
-
-def _no_collision(df: DataFrame, names: list[str]) -> None:
-    clash = [n for n in names if n in df.columns]
-    if clash:
-        raise ValueError(f"columns already present: {clash}")
+    """1 when the email has a transaction, else 0. Case-sensitive; null matches null."""
+    buyers = transactions.select(email).distinct().withColumn("made_purchase", F.lit(1))
+    joined = look_up(subscribers, buyers, email, email)
+    return joined.withColumn("made_purchase", F.expr("coalesce(made_purchase, 0)"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propensa.functions.names import tag_columns
-from propensa.session import stored
+from propensa.operators.joins import look_up
 
 MAX_TAGS_CONF = "spark.sql.pivotMaxValues"
 
@@ -47,7 +47,4 @@ def tag_pivot(
 
 def with_tags(leads: DataFrame, wide_tags: DataFrame, key: str = "mailchimp_id") -> DataFrame:
     """Left join of the wide tags by the key alone; subscribers without tags keep nulls."""
-    clash = (set(leads.columns) & set(wide_tags.columns)) - {key}
-    if clash:
-        raise ValueError(f"tag columns already present in the leads: {sorted(clash)}")
-    return leads.join(stored(wide_tags), key, "left")
+    return look_up(leads, wide_tags, key, key)

@@ -105,17 +105,32 @@ def test_joined_from_text_tables(spark):
     assert dict(typed(crm).transactions.dtypes)["product_id"] == "int"
 
 
-def test_hot_email_is_split(spark):
-    """A third of the subscribers share one email: the join splits that key over tasks."""
+def hot_email(spark, n):
+    buyers = spark.range(2 * n).select(F.concat(F.col("id") % n, F.lit("@x.com")).alias("user_email"))
+    return "made_purchase", lambda s: joins.with_purchase_flag(s, buyers)
+
+
+def hot_id(spark, n):
+    tags = spark.range(2 * n).select((F.col("id") % n).alias("mailchimp_id"), F.lit("t").alias("tag"))
+    return "tag_count", lambda s: joins.with_tag_count(s, tags)
+
+
+def hot_id_wide(spark, n):
+    tags = spark.range(n).select(F.col("id").alias("mailchimp_id"), F.lit("t").alias("tag"))
+    return "tag_t", lambda s: pivot.with_tags(s, pivot.tag_pivot(tags))
+
+
+@pytest.mark.parametrize("case", [hot_email, hot_id, hot_id_wide])
+def test_hot_key_is_split(spark, tmp_path, case):
+    """A third of the subscribers share one key: the join splits that key over tasks."""
     n = 60_000
-    subscribers = spark.range(n).select(
-        F.col("id").alias("mailchimp_id"),
-        F.when(F.col("id") % 3 == 0, "hot@x.com").otherwise(F.concat("id", F.lit("@x.com"))).alias("user_email"),
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+    spark.range(n).select(
+        key.alias("mailchimp_id"),
+        F.concat(key, F.lit("@x.com")).alias("user_email"),
         F.sha2(F.col("id").cast("string"), 512).alias("payload"),
-    ).repartition(16)
-    buyers = spark.range(n).select(F.concat("id", F.lit("@x.com")).alias("user_email")).union(
-        spark.createDataFrame([("hot@x.com",)], "user_email string")
-    )
+    ).repartition(16).write.parquet(str(tmp_path / "subscribers"))
+    subscribers = spark.read.parquet(str(tmp_path / "subscribers"))
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -127,12 +142,13 @@ def test_hot_email_is_split(spark):
     try:
         for key, value in settings.items():
             spark.conf.set(key, value)
-        flagged = joins.with_purchase_flag(subscribers, buyers)
-        rows = flagged.collect()
-        plan = flagged._jdf.queryExecution().executedPlan().toString()
+        column, join = case(spark, n)
+        joined = join(subscribers)
+        rows = joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     assert len(rows) == n
-    assert sum(r["made_purchase"] for r in rows) == n
+    assert {r[column] for r in rows} == {2 if column == "tag_count" else 1}
     assert "SortMergeJoin(skew=true)" in plan
