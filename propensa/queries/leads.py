@@ -111,7 +111,7 @@ _UNIT = f"('0x' || substr(md5('{split.SEED}:' || {KEY}), 1, 8))::bigint / 429496
 _FOLD = f"case when {_UNIT} < 0.6 then 'train' when {_UNIT} < 0.8 then 'val' else 'test' end"
 
 # Sizes: the held-out part is rounded up, then halved; classes share by largest remainder.
-_EXACT = with_tables("joined") + f""",
+_FOLDED = f""",
     ranked as (
         select {KEY}, {TARGET},
                row_number() over (partition by {TARGET} order by md5('{split.SEED}:' || {KEY}), {KEY}) as r
@@ -139,6 +139,12 @@ _EXACT = with_tables("joined") + f""",
         from ranked join sizes using ({TARGET}))
 """
 
+
+def exact_folds(*tables: str) -> str:
+    """``WITH`` clause that defines ``folded``, the exact split, beside the named tables."""
+    return with_tables("joined", *tables) + _FOLDED
+
+
 SQL = {
     "tag_pivot": with_tables("wide_tags") + "select * from wide_tags",
     "leads_raw": with_tables("leads_raw") + "select * from leads_raw",
@@ -174,10 +180,10 @@ SQL = {
         from engineered""",
     "filled_matrix": with_tables("matrix") + "select * from matrix",
     "split_folds": with_tables("joined") + f"select {KEY}, {TARGET}, {_FOLD} as fold from joined",
-    "split_folds_exact": _EXACT + "select * from folded",
-    "fold_counts": _EXACT + f"""
+    "split_folds_exact": exact_folds() + "select * from folded",
+    "fold_counts": exact_folds() + f"""
         select fold, count(*) as n_rows, cast(sum({TARGET}) as bigint) as n_positive from folded group by 1""",
-    "test_fold": _EXACT + "select * from folded where fold = 'test'",
+    "test_fold": exact_folds() + "select * from folded where fold = 'test'",
     "train_plus_val": with_tables("joined") + f"""
         select * from (select {KEY}, {TARGET}, {_FOLD} as fold from joined) where fold in ('train', 'val')""",
 }

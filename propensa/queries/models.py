@@ -1,4 +1,4 @@
-"""Fitting, search, scoring and streaming. Fitted values have no SQL twin."""
+"""Fitting, search, scoring and streaming. What a fitted model says has no SQL twin."""
 
 from __future__ import annotations
 
@@ -15,9 +15,11 @@ from propensa.plans import evaluate as ev
 from propensa.plans import learning as ln
 from propensa.plans import scoring
 from propensa.queries import leads as lead_queries
+from propensa.queries.leads import exact_folds
+from propensa.queries.twins import TAG_COLUMNS, with_tables
 from propensa.session import ensure_checkpoint_dir, scratch_path, stored
 from propensa.sources.registry import ModelRegistry, ScoringModel
-from propensa.streaming.scoring import lead_stream, start_scoring
+from propensa.streaming.scoring import lead_stream, start_features, start_scoring
 
 # A short search: the ranges of the full one, but fewer trees and trials.
 SPACE = {**ln.SEARCH_SPACE, "n_estimators": ("integer", 5, 11)}
@@ -25,6 +27,7 @@ N_TRIALS = 3
 PARAMS = {"max_depth": 3, "learning_rate": 0.1, "n_estimators": 10, "subsample": 1.0, "colsample_bytree": 1.0}
 COMPARE = ln.CompareSetup(folds=2, iterations=5)
 LOOKED_UP_ID = 5
+REFERENCE_DATE = datetime(2020, 1, 1)
 
 
 @cache
@@ -110,11 +113,35 @@ def evaluation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.report_row(model, result, now=datetime(2024, 1, 1))
 
 
+def assembled_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature vector of every lead, one row per feature, named in the fitted order."""
+    featurizer, table = _featurized(spark, sf_dir)
+    names = F.array(*[F.lit(n) for n in featurizer.features])
+    return table.select(
+        "mailchimp_id", "fold", "label", F.posexplode(vector_to_array("features")).alias("position", "value")
+    ).withColumn("feature", F.get(names, F.col("position")))
+
+
+def _lead_files(spark: SparkSession, leads: DataFrame) -> str:
+    """Leads as a folder of files, the form a stream reads."""
+    path = scratch_path(spark, "stream-in")
+    leads.write.option("maxRecordsPerFile", 100_000).parquet(path)
+    return path
+
+
+def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of all leads, engineered as a stream of files and read back from the sink."""
+    leads = lead_queries.raw_table(spark, sf_dir)
+    source, sink, marks = _lead_files(spark, leads), scratch_path(spark, "out"), scratch_path(spark, "marks")
+    query = start_features(lead_stream(spark, source, leads.schema), REFERENCE_DATE, sink, marks)
+    query.awaitTermination()
+    return spark.read.parquet(sink)
+
+
 def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All leads scored as a stream of files, read back from the sink."""
     model, leads = _model(spark, sf_dir), _leads(spark, sf_dir).drop("fold")
-    source, sink, marks = (scratch_path(spark, n) for n in ("stream-in", "stream-out", "stream-marks"))
-    leads.write.option("maxRecordsPerFile", 100_000).parquet(source)
+    source, sink, marks = _lead_files(spark, leads), scratch_path(spark, "out"), scratch_path(spark, "marks")
     query = start_scoring(model, lead_stream(spark, source, leads.schema), sink, marks)
     query.awaitTermination()
     return spark.read.parquet(sink)
@@ -133,7 +160,30 @@ QUERIES = {
     "batch_scoring": lambda s, d: scoring.score_leads(_model(s, d), lead_queries.raw_table(s, d)),
     "score_by_key": score_by_key,
     "evaluation_report": evaluation_report,
+    "assembled_matrix": assembled_matrix,
+    "stream_features": stream_features,
     "stream_scoring": stream_scoring,
 }
 
-SQL: dict[str, str] = {}
+_DAYS = (
+    f"cast(floor((epoch_us(optin_time) - epoch_us(timestamp '{REFERENCE_DATE}')) / 86400000000.0) as int)"
+)
+_FEATURES = ln.lead_features(TAG_COLUMNS)
+_ASSEMBLED = ", ".join(
+    "cast(dense_rank() over (order by country_code) - 1 as double) as country_code" if n == "country_code"
+    else f"cast({n} as double) as {n}" for n in _FEATURES
+)
+_POSITIONS = ", ".join(f"('{n}', {i})" for i, n in enumerate(_FEATURES))
+
+SQL = {
+    "assembled_matrix": exact_folds("engineered") + f""",
+        wide as (select mailchimp_id, made_purchase, {_ASSEMBLED} from engineered),
+        long as (unpivot wide on {', '.join(_FEATURES)} into name feature value value),
+        positions(feature, position) as (values {_POSITIONS})
+        select mailchimp_id, fold, cast(long.made_purchase as double) as label, position, value, feature
+        from long join positions using (feature) join folded using (mailchimp_id)""",
+    "stream_features": with_tables("engineered") + f"""
+        select * replace (
+            {_DAYS} as optin_days, tag_count / (abs({_DAYS}) + 1) as tag_count_by_optin_day)
+        from engineered""",
+}

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from propensa.plans.prepare import add_features
 from propensa.plans.scoring import score_leads
 from propensa.sources.registry import ScoringModel
 
@@ -41,10 +44,24 @@ def kafka_lead_stream(
 def start_scoring(
     model: ScoringModel, leads: DataFrame, out_path: str, checkpoint_path: str, fmt: str = "parquet"
 ) -> StreamingQuery:
-    """Score all leads that are available now and stop; a restart continues after the last batch."""
+    """Score all leads that are available now and stop."""
+    return start_appending(score_leads(model, leads), out_path, checkpoint_path, fmt)
+
+
+def start_features(
+    leads: DataFrame, reference_date: datetime, out_path: str, checkpoint_path: str, fmt: str = "parquet"
+) -> StreamingQuery:
+    """Engineer the features of all leads that are available now and stop.
+
+    The reference date must be given: a stream has no latest date.
+    """
+    return start_appending(add_features(leads, reference_date), out_path, checkpoint_path, fmt)
+
+
+def start_appending(rows: DataFrame, out_path: str, checkpoint_path: str, fmt: str = "parquet") -> StreamingQuery:
+    """Append what is available now to a table; a restart continues after the last batch."""
     return (
-        score_leads(model, leads)
-        .writeStream.format(fmt)
+        rows.writeStream.format(fmt)
         .outputMode("append")
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
