@@ -8,6 +8,7 @@ DataFrame steps (through ``F.expr``) and the saved scoring model, whose
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 # Mail providers counted as free, and countries kept by name.
 FREE_MAIL_DOMAINS = ["gmail.com", "yahoo.com", "hotmail.com", "outlook.com", "aol.com"]
@@ -30,6 +31,11 @@ def sql_list(values: Sequence[str]) -> str:
     return ", ".join(sql_text(v) for v in values)
 
 
+def timestamp_sql(moment: datetime) -> str:
+    """SQL time literal of a naive date and time."""
+    return f"timestamp '{moment.isoformat(sep=' ')}'"
+
+
 def days_from(time: str, reference: str) -> str:
     """Elapsed whole 24-hour days from ``reference``, floored (negative before it).
 

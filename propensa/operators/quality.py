@@ -113,7 +113,8 @@ def is_unexpected(check: Check) -> str:
     if check.kind == "matches":
         bad = f"not {text} rlike {sql_text(args['pattern'])}"
     elif check.kind == "in_set":
-        bad = f"{column} not in ({', '.join(_literal(v) for v in args['values'])})"
+        allowed = ", ".join(_literal(v) for v in args["values"])
+        bad = f"{column} not in ({allowed})" if allowed else "true"
     elif check.kind == "between":
         bad = f"{column} not between {args['low']} and {args['high']}"
     elif check.kind == "date_format":

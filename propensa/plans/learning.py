@@ -73,7 +73,7 @@ def feature_stages(
 ) -> list[Any]:
     """Stages from raw lead fields to the feature vector. Every step is JVM-side and saved with the model."""
     when = "cast(optin_time as timestamp)"
-    reference = f"timestamp '{reference_date.isoformat(sep=' ')}'"
+    reference = fx.timestamp_sql(reference_date)
     number = {
         "member_rating": f"coalesce(member_rating, {MISSING})",
         "tag_count": "coalesce(tag_count, 0)",
@@ -124,10 +124,14 @@ class Featurizer:
 
 def fit_featurizer(leads: DataFrame, one_hot: bool = False, unseen: str = "error") -> Featurizer:
     """Fix the reference date, the tag columns and the country codes on ``leads``."""
-    latest = leads.agg(F.max(F.col("optin_time").cast("timestamp")).alias("latest")).first()["latest"]
-    tag_columns = [c for c in leads.columns if c.startswith("tag_") and c != "tag_count"]
-    stages = feature_stages(tag_columns, latest, one_hot, unseen)
-    return Featurizer(Pipeline(stages=stages).fit(leads), tag_columns, latest)
+    # Read as text: a collected time would be shifted to the time zone of the Python process.
+    latest = leads.selectExpr("cast(max(cast(optin_time as timestamp)) as string) as latest").first()["latest"]
+    reference_date = datetime.fromisoformat(latest)
+    tag_columns = [
+        c for c in leads.columns if c.startswith("tag_") and c not in ("tag_count", "tag_count_by_optin_day")
+    ]
+    stages = feature_stages(tag_columns, reference_date, one_hot, unseen)
+    return Featurizer(Pipeline(stages=stages).fit(leads), tag_columns, reference_date)
 
 
 def training_table(

@@ -41,13 +41,13 @@ def add_dates(df: DataFrame, reference_date: datetime | None = None, time: str =
     """Calendar features of the opt-in time, in days from the reference date.
 
     Without a date the latest time of the batch is used, from a one-row subquery.
-    Scoring passes the date the model was fitted with instead.
+    Scoring passes the date the model was fitted with instead, in the time zone of the session.
     """
     timed = df.withColumn(time, F.col(time).cast("timestamp"))
     if reference_date is None:
         reference: Column = timed.agg(F.max(time).alias("latest")).scalar()
     else:
-        reference = F.lit(reference_date).cast("timestamp")
+        reference = F.expr(fx.timestamp_sql(reference_date))
     expressions = {name: F.expr(sql) for name, sql in fx.date_features(time, REFERENCE).items()}
     return timed.withColumn(REFERENCE, reference).withColumns(expressions).drop(REFERENCE)
 

@@ -61,14 +61,14 @@ def work_folder(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder: on a cluster the
     executors would not see it, so an unset folder is an error there.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="propensa-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="propensa-"))
+    return context.getCheckpointDir()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

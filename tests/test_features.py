@@ -126,3 +126,25 @@ def test_matrix_is_numeric_and_complete(spark):
     assert matrix.agg(F.max("tag_x"), F.count("tag_x")).first() == (1, 2)
     assert rows(encoders.codes["country_code"].orderBy("code")) == [("other", 0), ("us", 1)]
     assert prepare.feature_names(matrix) == [c for c in matrix.columns if c != "made_purchase"]
+
+
+def test_reference_date_does_not_depend_on_the_process_time_zone(spark, monkeypatch):
+    import time
+
+    from propensa.plans.learning import fit_featurizer
+
+    df = spark.createDataFrame(
+        [("a@x.com", "2019-01-01 10:00:00", "us", 1, 0), ("b@x.com", "2019-03-01 09:30:00", "us", 1, 0)],
+        "user_email string, optin_time string, country_code string, member_rating int, tag_count int",
+    )
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        featurizer = fit_featurizer(df)
+        assert featurizer.reference_date == datetime(2019, 3, 1, 9, 30)
+        days = [r["f_optin_days"] for r in featurizer.pipeline.transform(df).collect()]
+        assert days == [-59.0, 0.0]
+        assert [r[0] for r in prepare.add_dates(df, featurizer.reference_date).select("optin_days").collect()] == [-59, 0]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
