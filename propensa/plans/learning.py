@@ -37,6 +37,7 @@ from propensa.session import ensure_checkpoint_dir, stored
 TARGET = "made_purchase"
 PREFIX = "f_"
 FOLD, PART = "fold", "part"
+POOL = "spark.scheduler.pool"
 
 # Seeds and sizes of the search and of the comparison.
 MODEL_SEED = 42
@@ -213,7 +214,8 @@ def run_trials(
 ) -> DataFrame:
     """Fit every parameter set on the train fold and measure it on the validation fold.
 
-    Trials run side by side from driver threads; the rows stay on the executors.
+    Trials run side by side from driver threads, each in its own scheduler pool, so that
+    they share the executors evenly; the rows stay on the executors.
     """
     spark = table.sparkSession
     ensure_checkpoint_dir(spark)
@@ -222,6 +224,7 @@ def run_trials(
     @inheritable_thread_target(spark)
     def trial(job: tuple[int, dict[str, Any]]) -> tuple:
         number, chosen = job
+        spark.sparkContext.setLocalProperty(POOL, f"trial-{number}")
         started = time.monotonic()
         model = boosted_trees(chosen, seed).fit(train)
         found = evaluate_scores(scored(model, val))
@@ -371,6 +374,7 @@ def leaderboard(
     @inheritable_thread_target(spark)
     def fit_part(job: tuple[str, int]) -> tuple:
         name, part = job
+        spark.sparkContext.setLocalProperty(POOL, f"{name}-{part}")
         started = time.monotonic()
         train = table.filter((F.col(PART) != part) & (F.col(PART) != HOLDOUT))
         held_out = table.filter(F.col(PART) == part)

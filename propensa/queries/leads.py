@@ -34,8 +34,8 @@ def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def engineered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Engineered leads, written once: the encoders and the rows are read from it."""
-    return stored(prepare.add_features(raw_table(spark, sf_dir)))
+    """Engineered leads; fitting the encoders on them scans the text columns only."""
+    return prepare.add_features(raw_table(spark, sf_dir))
 
 
 def leads_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ def size_settings(input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> d
 def build_session(
     app_name: str = "propensa", master: str | None = None, input_bytes: int | None = None, **conf: str
 ) -> SparkSession:
-    """Session with the settings the library relies on (UTC clock, AQE, skew joins).
+    """Session with the settings the library relies on (UTC clock, fair pools, AQE, skew joins).
 
     ``input_bytes``, the size of the largest table to be read, sizes scans and shuffles.
     """
@@ -44,6 +44,7 @@ def build_session(
         builder = builder.master(master)
     settings = {
         "spark.sql.session.timeZone": "UTC",
+        "spark.scheduler.mode": "FAIR",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
