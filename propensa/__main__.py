@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from datetime import datetime
 
 from pyspark.sql import SparkSession
 
@@ -49,7 +50,9 @@ def arguments() -> argparse.ArgumentParser:
     prep.add_argument("--input-path", default="data/subscribers_joined")
     prep.add_argument("--raw-output-path", default="data/leads_raw")
     prep.add_argument("--cleaned-output-path", default="data/leads_cleaned")
-    prep.add_argument("--encoders-path", default="models/labels")
+    prep.add_argument("--fitted-path", default="models/fitted", help="tag vocabulary and encoders")
+    prep.add_argument("--apply", action="store_true", help="apply what was fitted before instead of fitting")
+    prep.add_argument("--reference-date", type=datetime.fromisoformat, help="day 0 of optin_days")
 
     train = step("train", "search parameters, refit and register a model")
     train.add_argument("--input-path", default="data/leads_raw")
@@ -112,7 +115,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.step == "preprocess":
         joined = jobs.read_joined(spark, args.input_path, args.format)
         jobs.preprocess(
-            spark, joined, crm_tables(spark, args), args.raw_output_path, args.cleaned_output_path, args.encoders_path
+            spark, joined, crm_tables(spark, args), args.raw_output_path, args.cleaned_output_path,
+            args.fitted_path, not args.apply, args.reference_date,
         )
     elif args.step == "train":
         model_id = jobs.train(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensa.functions.names import tag_columns
@@ -20,6 +20,16 @@ def tag_vocabulary(tags: DataFrame) -> list[str]:
     return sorted(r["tag"] for r in rows)
 
 
+def save_vocabulary(spark: SparkSession, vocabulary: list[str], path: str) -> None:
+    """Keep the fitted tags, so that later tables get the same columns."""
+    rows = [(tag, name) for tag, name in tag_columns(vocabulary, []).items()]
+    spark.createDataFrame(rows, "tag string, column_name string").write.mode("overwrite").parquet(path)
+
+
+def load_vocabulary(spark: SparkSession, path: str) -> list[str]:
+    return sorted(r["tag"] for r in spark.read.parquet(path).select("tag").collect())
+
+
 def tag_pivot(
     tags: DataFrame,
     vocabulary: list[str] | None = None,
@@ -29,6 +39,7 @@ def tag_pivot(
 ) -> DataFrame:
     """One row per subscriber that has tags, one 0/1 column per tag of the vocabulary.
 
+    Tags outside a given vocabulary are left out, and its unused tags become columns of zeros.
     ``strict`` raises on a repeated (subscriber, tag) pair; otherwise repeats collapse.
     ``taken`` lists columns of the table to be joined later, which no tag may shadow.
     """

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.ml import PipelineModel
 
 from propensa.operators import quality as q
+from propensa.operators.encode import Encoders
+from propensa.operators.pivot import load_vocabulary, save_vocabulary, tag_vocabulary
 from propensa.operators.split import TEST, TRAIN, VALIDATION, fold_rows, split_exact
 from propensa.operators.summaries import conversion_rate
 from propensa.plans import learning, suites
@@ -84,13 +86,32 @@ def _finish(results: DataFrame, path: str | None) -> DataFrame:
 
 
 def preprocess(
-    spark: SparkSession, joined: DataFrame, crm: CrmTables, raw_path: str, cleaned_path: str, encoders_path: str
+    spark: SparkSession,
+    joined: DataFrame,
+    crm: CrmTables,
+    raw_path: str,
+    cleaned_path: str,
+    fitted_path: str,
+    fit: bool = True,
+    reference_date: datetime | None = None,
 ) -> DataFrame:
-    """Write the leads with their tags, the engineered leads and the fitted encoders."""
-    write_table(merge_tags(joined, crm.tags), raw_path)
-    prepared = prepare_leads(spark.read.parquet(raw_path))
+    """Write the leads with their tags and the engineered leads.
+
+    Fitting writes the tag vocabulary and the encoders under ``fitted_path``;
+    otherwise those written there are applied.
+    """
+    tags_path, codes_path = f"{fitted_path}/tags", f"{fitted_path}/codes"
+    if fit:
+        vocabulary = tag_vocabulary(crm.tags)
+        save_vocabulary(spark, vocabulary, tags_path)
+    else:
+        vocabulary = load_vocabulary(spark, tags_path)
+    write_table(merge_tags(joined, crm.tags, vocabulary), raw_path)
+    encoders = None if fit else Encoders.load(spark, codes_path)
+    prepared = prepare_leads(spark.read.parquet(raw_path), encoders, fit, reference_date)
+    if fit:
+        prepared.encoders.save(codes_path)
     write_table(prepared.leads, cleaned_path)
-    prepared.encoders.save(encoders_path)
     return spark.read.parquet(cleaned_path)
 
 

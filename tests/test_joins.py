@@ -56,6 +56,14 @@ def test_pivot_with_fitted_vocabulary(tags):
     assert pivot.tag_pivot(tags, ["t", "unused"]).columns == ["mailchimp_id", "tag_t", "tag_unused"]
 
 
+def test_vocabulary_is_kept(spark, tags, tmp_path):
+    pivot.save_vocabulary(spark, pivot.tag_vocabulary(tags), str(tmp_path / "tags"))
+    kept = pivot.load_vocabulary(spark, str(tmp_path / "tags"))
+    assert kept == ["t", "u v"]
+    later = spark.createDataFrame([(9, "new"), (9, "t")], "mailchimp_id long, tag string")
+    assert [tuple(r) for r in pivot.tag_pivot(later, kept).collect()] == [(9, 1, 0)]
+
+
 def test_vocabulary_limit(spark, tags):
     spark.conf.set(pivot.MAX_TAGS_CONF, "1")
     try:

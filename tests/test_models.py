@@ -218,7 +218,12 @@ def test_jobs_end_to_end(spark, sf_dir, tmp_path):
     main(["test-all", *base, "--input-path", joined, "--results-path", results], spark)
     assert spark.read.json(results).select("suite").distinct().count() == 5
     main(["preprocess", *base, "--input-path", joined, "--raw-output-path", str(tmp_path / "raw"),
-          "--cleaned-output-path", str(tmp_path / "clean"), "--encoders-path", str(tmp_path / "codes")], spark)
+          "--cleaned-output-path", str(tmp_path / "clean"), "--fitted-path", str(tmp_path / "fitted")], spark)
+    main(["preprocess", *base, "--input-path", joined, "--raw-output-path", str(tmp_path / "raw2"),
+          "--cleaned-output-path", str(tmp_path / "clean2"), "--fitted-path", str(tmp_path / "fitted"),
+          "--apply"], spark)
+    clean, again = (spark.read.parquet(str(tmp_path / n)) for n in ("clean", "clean2"))
+    assert clean.columns == again.columns and clean.exceptAll(again).count() == 0
     raw = spark.read.parquet(str(tmp_path / "raw"))
     registry = ModelRegistry(spark, str(tmp_path / "models"))
     space = {**ln.SEARCH_SPACE, "n_estimators": ("integer", 2, 4)}
