@@ -6,9 +6,11 @@ number of partitions, so a lost task that runs again gives the same rows.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from propensa.functions.hashing import hash_text, hash_unit
@@ -21,21 +23,23 @@ VAL_SIZE = 0.2
 TEST_SIZE = 0.2
 SEED = 123
 
-MAX_CLASSES = 1000
+MAX_CLASSES = 100
+# Hash characters that rows are first counted by (16 values each).
+PREFIX_LENGTH = 3
 
 
 def split_fast(
     df: DataFrame, key: str, val_size: float = VAL_SIZE, test_size: float = TEST_SIZE, seed: int = SEED
 ) -> DataFrame:
     """Folds by fixed cut points of the hash: one map over the rows, sizes right on average."""
-    unit = hash_unit(key, seed)
+    unit = F.col("__unit")
     train_end = 1 - val_size - test_size
     fold = (
         F.when(unit < F.lit(round(train_end, 12)), TRAIN)
         .when(unit < F.lit(round(train_end + val_size, 12)), VALIDATION)
         .otherwise(TEST)
     )
-    return df.withColumn("fold", fold)
+    return df.withColumn("__unit", hash_unit(key, seed)).withColumn("fold", fold).drop("__unit")
 
 
 def split_exact(
@@ -47,49 +51,85 @@ def split_exact(
     seed: int = SEED,
     one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    """Folds stratified by label with exact sizes.
+    """Folds stratified by label with exact sizes, each class cut by rank in hash order.
 
-    Keys are ranked by hash within each class; only the rows at the two cut
-    ranks of a class reach the driver. The folds are then one map over ``df``.
+    Counts per class and hash prefix tell which prefix holds a cut; only rows with
+    those prefixes are ranked, so the table itself is never sorted or shuffled.
+    The folds are then one map over ``df``.
     """
-    classes = df.filter(F.col(label).isNotNull()).groupBy(label).count().limit(MAX_CLASSES + 1).collect()
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    sizes = fold_sizes({row[label]: row["count"] for row in classes}, val_size, test_size)
-
-    ranked = running_totals(
-        df.filter(F.col(label).isNotNull())
-        .groupBy(label, key)
-        .agg(F.count("*").alias("__n"))
-        .withColumn("__hash", hash_text(key, seed)),
-        order=["__hash", key],
-        what=Running(sums={"__upto": "__n"}),
-        groups=[label],
-        one_task_rows=one_task_rows,
-    )
-
-    # The two cut ranks of each class; a rank of 0 means the fold before it is empty.
+    hashed, prefix = hash_text(key, seed), F.substring(hash_text(key, seed), 1, PREFIX_LENGTH)
+    counts = _prefix_counts(df, label, prefix)
+    sizes = fold_sizes({c: sum(by_prefix.values()) for c, by_prefix in counts.items()}, val_size, test_size)
+    # The ranks at which the train and the validation fold of a class end.
     ends = {c: (size[TRAIN], size[TRAIN] + size[VALIDATION]) for c, size in sizes.items()}
-    at_cut = F.lit(False)
-    for c, ranks in ends.items():
-        for rank in ranks:
-            inside = (F.col("__upto") >= rank) & (F.col("__upto") - F.col("__n") < rank)
-            at_cut = at_cut | ((F.col(label) == F.lit(c)) & inside)
-    cut_rows = ranked.filter(at_cut).collect()
+    places = {(c, rank): _place(counts[c], rank) for c, ranks in ends.items() for rank in ranks if rank > 0}
+
+    last: dict[tuple[Any, int], Row] = {}
+    if places:
+        near = reduce(or_, [
+            (F.col(label) == F.lit(c)) & (prefix == F.lit(p))
+            for c, p in sorted({(c, p) for (c, _), (p, _) in places.items()}, key=str)
+        ])
+        ranked = running_totals(
+            df.filter(near)
+            .groupBy(label, key)
+            .agg(F.count("*").alias("__n"))
+            .withColumns({"__hash": hashed, "__prefix": prefix}),
+            order=["__hash", key],
+            what=Running(sums={"__upto": "__n"}),
+            groups=[label, "__prefix"],
+            one_task_rows=one_task_rows,
+        )
+        at_cut = reduce(or_, [
+            (F.col(label) == F.lit(c)) & (F.col("__prefix") == F.lit(p))
+            & (F.col("__upto") >= rank - before) & (F.col("__upto") - F.col("__n") < rank - before)
+            for (c, rank), (p, before) in places.items()
+        ])
+        for row in ranked.filter(at_cut).collect():
+            for (c, rank), (p, before) in places.items():
+                within = rank - before
+                if (row[label], row["__prefix"]) == (c, p) and row["__upto"] - row["__n"] < within <= row["__upto"]:
+                    last[c, rank] = row
 
     def upto(c: Any, rank: int) -> Column:
-        for row in cut_rows:
-            if row[label] == c and row["__upto"] - row["__n"] < rank <= row["__upto"]:
-                here = F.struct(hash_text(key, seed).alias("h"), F.col(key).alias("k"))
-                last = F.struct(F.lit(row["__hash"]).alias("h"), F.lit(row[key]).alias("k"))
-                return here <= last
-        return F.lit(False)
+        if (c, rank) not in last:
+            return F.lit(False)
+        cut_hash, cut_key = F.lit(last[c, rank]["__hash"]), F.lit(last[c, rank][key])
+        return (F.col("__hash") < cut_hash) | ((F.col("__hash") == cut_hash) & (F.col(key) <= cut_key))
 
     fold = F.when(F.col(label).isNull(), F.lit(None).cast("string"))
     for c, (train_end, val_end) in ends.items():
         of_class = F.col(label) == F.lit(c)
         fold = fold.when(of_class & upto(c, train_end), TRAIN).when(of_class & upto(c, val_end), VALIDATION)
-    return df.withColumn("fold", fold.otherwise(TEST))
+    return df.withColumn("__hash", hashed).withColumn("fold", fold.otherwise(TEST)).drop("__hash")
+
+
+def _prefix_counts(df: DataFrame, label: str, prefix: Column) -> dict[Any, dict[str, int]]:
+    """Rows per class and hash prefix: a number of counts that does not grow with the rows."""
+    limit = MAX_CLASSES * 16**PREFIX_LENGTH
+    rows = (
+        df.filter(F.col(label).isNotNull())
+        .groupBy(F.col(label).alias("c"), prefix.alias("p"))
+        .agg(F.count("*").alias("n"))
+        .limit(limit + 1)
+        .collect()
+    )
+    counts: dict[Any, dict[str, int]] = {}
+    for row in rows:
+        counts.setdefault(row["c"], {})[row["p"]] = row["n"]
+    if len(counts) > MAX_CLASSES or len(rows) > limit:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    return counts
+
+
+def _place(by_prefix: dict[str, int], rank: int) -> tuple[str, int]:
+    """The prefix that holds a rank, and the number of rows before that prefix."""
+    before = 0
+    for prefix in sorted(by_prefix):
+        if before + by_prefix[prefix] >= rank:
+            return prefix, before
+        before += by_prefix[prefix]
+    raise ValueError(f"rank {rank} is beyond the {before} rows")
 
 
 def fold_sizes(

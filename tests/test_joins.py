@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from propensa.operators import joins, pivot
+from propensa.operators import encode, joins, pivot
 from propensa.plans.ingest import join_subscribers, typed
 from propensa.sources.tables import CrmTables, cast_columns
 
@@ -128,7 +128,12 @@ def hot_id_wide(spark, n):
     return "tag_t", lambda s: pivot.with_tags(s, pivot.tag_pivot(tags))
 
 
-@pytest.mark.parametrize("case", [hot_email, hot_id, hot_id_wide])
+def hot_code(spark, n):
+    codes = spark.range(n).select(F.concat("id", F.lit("@x.com")).alias("value"), F.lit(1).alias("code"))
+    return "user_email", lambda s: encode.apply_codes(s, "user_email", codes)
+
+
+@pytest.mark.parametrize("case", [hot_email, hot_id, hot_id_wide, hot_code])
 def test_hot_key_is_split(spark, tmp_path, case):
     """A third of the subscribers share one key: the join splits that key over tasks."""
     n = 60_000
