@@ -7,7 +7,6 @@ executors, cuts the lineage, and gives Catalyst exact sizes to plan joins with.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +15,7 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 # Shuffle sizing: a partition of this size sorts and aggregates within the memory of one task.
 PARTITION_BYTES = 256 * 1024**2
-MIN_PARTITIONS, MAX_PARTITIONS = 200, 100_000
+MIN_PARTITIONS = 200
 
 
 def size_settings(input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> dict[str, str]:
@@ -24,7 +23,7 @@ def size_settings(input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> d
 
     The shuffle count is an upper start: adaptive execution merges small partitions.
     """
-    partitions = min(MAX_PARTITIONS, max(MIN_PARTITIONS, -(-input_bytes // partition_bytes)))
+    partitions = max(MIN_PARTITIONS, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
@@ -59,17 +58,11 @@ def build_session(
 def work_folder(spark: SparkSession) -> str:
     """Shared folder for written intermediates, taken from the session.
 
-    Only a local master may fall back to a temporary folder: on a cluster the
-    executors would not see it, so an unset folder is an error there.
+    ``spark.checkpoint.dir`` if set, else a folder in the warehouse, which all
+    executors of a cluster share as well.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="propensa-"))
-    return context.getCheckpointDir()
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/propensa-work").rstrip("/")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
