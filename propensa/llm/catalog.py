@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from propensa.llm import mixing
+from propensa.llm import language, mixing, token_files
 from propensa.llm.tables import read
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write(read(spark, sf_dir, "documents"), TOKENIZER)
+    return token_files.read_back(spark, files)
+
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.sized(read(spark, sf_dir, "documents")).drop("text", "lang", "n_chars")
@@ -53,8 +61,17 @@ select doc_id, size, source_size, target,
 from placed
 """
 
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    scored = language.predict(docs.select("doc_id", "text"), language.fit(docs))
+    return scored.select("doc_id", language.held_out(scored.doc_id).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_files": op2_token_files,
     "op5_mix_sources": op5_mix_sources,
+    "op7_language_id": op7_language_id,
 }
 SQL: dict[str, str] = {
     "op5_mix_sources": OP5_SQL,
