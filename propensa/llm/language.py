@@ -21,7 +21,6 @@ repeated rows get equal results; with no labelled row to learn from, every text
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -223,9 +222,8 @@ def _lettered(text: str | None) -> bytes:
     return text.encode() if text and any(map(str.isalpha, text)) else b""
 
 
-def _scores(network: bytes, column: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scores(model: Network, column: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Network = pickle.loads(network)
         names = np.array([*model.languages, UNKNOWN])
         for batch in batches:
             values = batch.column(column)
@@ -252,4 +250,4 @@ def predict(df: DataFrame, network: Network, text: str = "text") -> DataFrame:
     """``df`` with ``lang_pred`` and ``score`` (columns of these names are replaced); other columns pass through."""
     df = df.drop("lang_pred", "score")
     fields = [*df.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    return df.mapInArrow(_scores(pickle.dumps(network), text), T.StructType(fields))
+    return df.mapInArrow(_scores(network, text), T.StructType(fields))
