@@ -1,11 +1 @@
-"""Operators for training data of language models.
-
-Functions of this package travel to Python workers by value, so executors need
-the third-party libraries but not this package.
-"""
-
-import sys
-
-from pyspark import cloudpickle
-
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+"""Operators for training data of language models."""

@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from propensa.llm.tables import ship
+
 HIDDEN = 8
 STRETCH = 128
 SAMPLE_PER_LANGUAGE = 400  # bound of the rows that the network learns from
@@ -248,6 +250,7 @@ def _scores(model: Network, column: str) -> Callable[[Iterator[pa.RecordBatch]],
 
 def predict(df: DataFrame, network: Network, text: str = "text") -> DataFrame:
     """``df`` with ``lang_pred`` and ``score`` (columns of these names are replaced); other columns pass through."""
+    ship(df.sparkSession)
     df = df.drop("lang_pred", "score")
     fields = [*df.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     return df.mapInArrow(_scores(network, text), T.StructType(fields))

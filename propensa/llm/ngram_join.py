@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from propensa.llm.components import components
+from propensa.llm.tables import ship
 from propensa.session import stored
 
 WIDTH = 5
@@ -338,6 +339,7 @@ def _remaining_pairs(postings: DataFrame, members: DataFrame, labels: DataFrame,
 
 def similar_groups(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (the smallest id reachable by links)."""
+    ship(docs.sparkSession)
     rows = prefixes(docs, width, threshold)
     usable = rows.where("n > 0 and doc_id is not null")
     classes = usable.groupBy("n", "head", "set1", "set2").agg(F.min("doc_id").alias("rep"))

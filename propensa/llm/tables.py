@@ -1,10 +1,30 @@
-"""Reading the given tables, and reading a query's own written output again."""
+"""Reading the given tables, and sending this package to the executors' Python."""
 
 from __future__ import annotations
 
+import zipfile
+from pathlib import Path
+
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
+PACKAGE = Path(__file__).resolve().parents[1]
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, as Spark's own reader sees it (any store, file or folder)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package once per application, as ``--py-files`` would; Python workers then import it
+    and keep what its modules remember from task to task."""
+    name = f"{PACKAGE.name}.zip"
+    if name in spark.sparkContext._python_includes:
+        return
+    place = Path(SparkFiles.getRootDirectory(), "package", name)  # Spark's own folder of files to send
+    place.parent.mkdir(exist_ok=True)
+    with zipfile.ZipFile(place, "w") as archive:
+        for file in sorted(PACKAGE.rglob("*.py")):
+            archive.write(file, file.relative_to(PACKAGE.parent))
+    spark.sparkContext.addPyFile(str(place))
