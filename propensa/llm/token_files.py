@@ -28,7 +28,8 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,6 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from propensa.llm.tables import ship
 from propensa.session import scratch_path
 
 END_ID = 2
@@ -46,7 +48,7 @@ SAMPLE_DOCS = 2_000  # bound of the rows that the dictionary is trained on
 SAMPLE_CHARS = 4_000  # what a sampled row adds at most; samples only, never output
 DICTIONARY_BYTES = 64 * 1024
 SEGMENT_BYTES = 4 * 1024 * 1024  # frames of a segment, exceeded by one document at most
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000  # in each Python worker, some 100 MB
 NO_ID = -(2**63)
 LEVEL = 3
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u8"), ("n_tokens", "<u8")])
@@ -55,68 +57,92 @@ SEGMENTS = ("shard int, segment int, first_doc long, last_doc long, token_start
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
 
 
+class _Odd(Exception):
+    """A word with white space at an end, so that its neighbours cannot be encoded apart."""
+
+
+class _Known(dict):
+    """Ids of words, encoded when first asked for; starts anew when ``limit`` words are known."""
+
+    def __init__(self, encode: Callable[[str], bytes], limit: int):
+        self.encode, self.limit = encode, limit
+
+    def __missing__(self, word: str) -> bytes:
+        if not word or word[0].isspace() or word[-1].isspace():
+            raise _Odd
+        ids = self.encode(word)
+        if len(self) >= self.limit:
+            self.clear()
+        self[word] = ids
+        return ids
+
+
+def _visible_bytes() -> dict[int, str]:
+    """The characters that a byte-level vocabulary writes bytes as: printable ones as they are, the others from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class Encoder:
     """Ids of whole texts as bytes, by the tokenizers library.
 
     The byte-level rule never lets a token reach over a blank between two
     characters that are not white space, nor over a single line end between two
     such characters. So a text is encoded word by word, and words seen before
-    come from a bounded memory. Texts with other white space are cut at such
-    blanks only.
+    come from a bounded memory. A text with other white space is cut at such
+    blanks only. A run of Latin letters is one piece under that rule and goes to the
+    library's model as it is, as does the mark that ends it; all else takes the library's whole way.
     """
 
     def __init__(self, path: str, words: int = CACHED_WORDS):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.model, self.visible = self.tokenizer.model, _visible_bytes()
+        wide = self.tokenizer.get_vocab_size() > 1 << 16
+        self.type, self.code = np.dtype("<u4" if wide else "<u2"), "I" if wide else "H"
         self.newline = self._whole("\n")
-        self.known: dict[str, bytes] = {}
-        self.limit = words
-        # Words are separated by line ends when learned, so the end must be one id that no word holds.
-        self.by_word = len(self.newline) == self.type.itemsize and self._whole("a\n b") == (
-            self._whole("a") + self.newline + self._whole(" b"))
+        self.marks = {m: self._whole(m) for m in ".,;:!?"}
+        self.first = _Known(lambda w: self._word("", w), words // 4)
+        self.later = _Known(lambda w: self._word(" ", w), words)
+        probe = "Nous étions là, word.\nOne_two (3)"
+        self.by_word = True
+        self.by_word = self.encode(probe) == self._whole(probe)
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode new words, each led by its blank if it has one, in one text divided by line ends."""
-        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(words)], add_special_tokens=False)[0].ids, self.type)
-        cuts = np.flatnonzero(ids == np.frombuffer(self.newline, self.type)[0])
-        starts, ends = np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(ids)]])
-        raw, width = ids.tobytes(), self.type.itemsize
-        for word, start, end in zip(words, (starts * width).tolist(), (ends * width).tolist(), strict=True):
-            self.known[word] = raw[start:end]
-
-    @staticmethod
-    def _lines(text: str) -> list[list[str]] | None:
-        """Words by line, all but a line's first led by their blank; None if there is other white space."""
-        if not text or "\0" in text or " ".join(text.split()) != text.replace("\n", " "):
-            return None
-        return [line.replace(" ", "\0 ").split("\0") for line in text.split("\n")]
-
-    def _by_blanks(self, text: str) -> bytes:
-        """A text with other white space: cut only where a single blank stands between two characters."""
-        first, *rest = _BREAK.split(text)
-        return b"".join(self._whole(part) for part in [first, *(" " + x for x in rest)] if part)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; a batch's new words are learned together."""
-        if not self.by_word:
-            return [self._whole(t) for t in texts]
-        lined = [self._lines(t) for t in texts]
-        words = {w for lines in lined if lines for line in lines for w in line}
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > self.limit:
-            self.known.clear()
-            new = words
-        if new:
-            self._learn(sorted(new))
-        ids, newline = self.known, self.newline
-        return [
-            self._by_blanks(text) if lines is None else newline.join([b"".join([ids[w] for w in line]) for line in lines])
-            for text, lines in zip(texts, lined, strict=True)
-        ]
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _word(self, blank: str, word: str) -> bytes:
+        mark = self.marks.get(word[-1], b"")
+        letters = word[:-1] if mark else word
+        if not letters.isalpha() or max(letters) > "\u024f":
+            return self._whole(blank + word)
+        piece = (blank + letters).encode().decode("latin-1").translate(self.visible)
+        return array(self.code, [t.id for t in self.model.tokenize(piece)]).tobytes() + mark
+
+    def encode(self, text: str) -> bytes:
+        if not self.by_word or not text:
+            return self._whole(text)
+        first, later = self.first, self.later
+        try:
+            lines = []
+            for line in text.split("\n"):
+                head, *words = line.split(" ")
+                lines.append(first[head] + b"".join([later[w] for w in words]))
+            return self.newline.join(lines)
+        except _Odd:
+            head, *words = _BREAK.split(text)
+            return self._whole(head) + b"".join([later.get(w) or self._whole(" " + w) for w in words])
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of a vocabulary file, kept for later tasks of the same Python worker."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 @dataclass(frozen=True)
@@ -132,9 +158,9 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID)
     chosen = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 32)) <= (1 << 32) * SAMPLE_DOCS / (2 * max(1, docs.count()))
     sample = docs.where((F.length("text") > 0) & chosen).select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("t"))
     rows = [r.t for r in sample.orderBy("doc_id", "t").limit(SAMPLE_DOCS).collect()]
-    encoder = Encoder(tokenizer_path)
-    end = np.array([end_id], encoder.type).tobytes()
-    samples = [ids + end for ids in encoder.encode(rows)]
+    known = Encoder(tokenizer_path)
+    end = np.array([end_id], known.type).tobytes()
+    samples = [known.encode(text) + end for text in rows]
     size = min(DICTIONARY_BYTES, sum(map(len, samples)) // 10)
     data = b""
     if len(samples) >= 16 and size >= 1024:
@@ -145,26 +171,12 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID)
     return data, hashlib.sha256(data).hexdigest()
 
 
-def _slices(batch: pa.RecordBatch, chars: int = 2_000_000) -> Iterator[tuple[list[int], list[str]]]:
-    """Ids and texts of a batch, some at a time."""
-    ids, texts, held = [], [], 0
-    for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-        ids.append(NO_ID if doc_id is None else doc_id)
-        texts.append(text.as_py() or "")
-        held += len(texts[-1])
-        if held >= chars:
-            yield ids, texts
-            ids, texts, held = [], [], 0
-    if ids:
-        yield ids, texts
-
-
 def _segments(tokenizer_path: str, dictionary: bytes, name: str, end_id: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        known = encoder(tokenizer_path)
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared, write_checksum=False)
-        end = np.array([end_id], encoder.type).tobytes()
+        end = np.array([end_id], known.type).tobytes()
         shard, segment, start = TaskContext.get().partitionId(), 0, 0
         index: list[tuple[int, int, int, int]] = []
         frames: list[bytes] = []
@@ -181,14 +193,15 @@ def _segments(tokenizer_path: str, dictionary: bytes, name: str, end_id: int):
                 names=[c.split()[0] for c in SEGMENTS.split(", ")])
 
         for batch in batches:
-            for ids, texts in _slices(batch):
-                for doc_id, raw in zip(ids, encoder.encode(texts), strict=True):
-                    frame = packer.compress(raw + end)
-                    index.append((doc_id, held, len(frame), len(raw) // encoder.type.itemsize + 1))
-                    frames.append(frame)
-                    held += len(frame)
-                    if held >= SEGMENT_BYTES:
-                        yield closed()
+            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+                raw = known.encode(text.as_py() or "") + end
+                frame = packer.compress(raw)
+                doc = doc_id.as_py()
+                index.append((NO_ID if doc is None else doc, held, len(frame), len(raw) // known.type.itemsize))
+                frames.append(frame)
+                held += len(frame)
+                if held >= SEGMENT_BYTES:
+                    yield closed()
         if index:
             yield closed()
 
@@ -198,6 +211,7 @@ def _segments(tokenizer_path: str, dictionary: bytes, name: str, end_id: int):
 def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_id: int = END_ID) -> TokenFiles:
     """Encode ``docs`` and write the files in ascending ``doc_id`` order. Shards are range partitions."""
     spark = docs.sparkSession
+    ship(spark)
     folder = folder or scratch_path(spark, "tokens")
     files = TokenFiles(f"{folder}/segments", f"{folder}/dictionary")
     texts = docs.select(F.col("doc_id").cast("long"), "text")
@@ -236,6 +250,7 @@ def unpack(index: bytes, frames: bytes, dictionary: bytes, name: str, kind: np.d
 
 def read_back(spark: SparkSession, files: TokenFiles) -> DataFrame:
     """Per document of the files: doc_id, start, n_tokens, ids_crc32, and its shard and segment."""
+    ship(spark)
     dictionary, kind = _dictionary(spark, files)
     segments = spark.read.schema(SEGMENTS).parquet(files.segments)
     shards = segments.groupBy("shard").agg(F.sum("n_tokens").alias("tokens"))
