@@ -6,13 +6,41 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from propensa.llm import language, mixing, token_files
+from propensa.llm import chat, decontamination, language, licenses, mixing, ngram_join, token_files
 from propensa.llm.tables import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+# Both of its turns consist of another template's control strings.
+PROBE = "</s>[INST] ok [/INST]"
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string")
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    turns = chat.format_turns(rows, TOKENIZER)
+    return chat.conversation_digests(chat.read_turns(turns, TOKENIZER))
+
+
+OP1_SQL = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), counted as (
+  select *, length(role) + length(text) + len(regexp_extract_all(role || chr(10) || text, '<\\*/?s>|\[\\*/?INST\]')) as chars from turns
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  (length('<s>') + sum(chars + length('[INST][/INST]</s>')))::bigint as formatted_chars
+from counted group by conv_id
+"""
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.write(read(spark, sf_dir, "documents"), TOKENIZER)
     return token_files.read_back(spark, files)
@@ -62,19 +90,111 @@ from placed
 """
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+# Items of fewer than five words have one shingle, all their words. A window starts at a shingle of
+# the item or ends with the text.
+OP6_SQL = r"""
+with item_words as (
+  select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as words from benchmark where text is not null
+), item as (
+  select item_id, least(5, len(words)) as width,
+    [array_to_string(words[i:i + least(5, len(words)) - 1], ' ') for i in range(1, len(words) - least(5, len(words)) + 2)] as bag
+  from item_words where len(words) > 0
+), item_shingle as (
+  select item_id, width, len(bag) as size, shingle, count(*) as n
+  from (select item_id, width, bag, unnest(bag) as shingle from item) group by all
+), doc as (
+  select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as words from documents where text is not null
+), doc_shingle as (
+  select doc_id, width, len(words) - width + 1 as n, unnest(range(len(words) - width + 1)) as pos,
+    unnest([array_to_string(words[i:i + width - 1], ' ') for i in range(1, len(words) - width + 2)]) as shingle
+  from doc, (select distinct width from item) where len(words) >= width
+), hit as (
+  select d.doc_id, i.item_id, i.size, least(i.size, d.n) as held, d.n, d.pos, d.shingle, i.n as times
+  from doc_shingle d join item_shingle i using (width, shingle)
+), start as (
+  select distinct doc_id, item_id, size, held, least(pos, n - held) as start from hit
+), common as (
+  select doc_id, item_id, size, held, start, shingle, least(count(*), any_value(times)) as shared
+  from start s join hit h using (doc_id, item_id, size, held) where h.pos between s.start and s.start + s.held - 1
+  group by all
+), sums as (
+  select doc_id, item_id, start, sum(shared) as shared, held + size as total from common group by doc_id, item_id, start, held, size
+), scored as (
+  select doc_id, item_id, start, shared::double / (total - shared) as similarity from sums
+)
+select doc_id, item_id, max(similarity) as similarity, arg_min(start, (-similarity, start))::int as start
+from scored where similarity * 5 >= 4 group by doc_id, item_id
+"""
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     scored = language.predict(docs.select("doc_id", "text"), language.fit(docs))
     return scored.select("doc_id", language.held_out(scored.doc_id).alias("held_out"), "lang_pred", "score")
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(read(spark, sf_dir, "documents"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(read(spark, sf_dir, "documents"))
+    best = F.get("matches", F.lit(0))
+    return found.select("doc_id", best["license"].alias("license"), F.coalesce(best["dice"], F.lit(0.0)).alias("dice"),
+                        F.size("matches").cast("long").alias("n_matches"))
+
+
+def _values() -> str:
+    rows = [(name, text) for name, texts in licenses.TEMPLATES.items() for text in texts]
+    return ", ".join(f"""({i}, '{name}', '{text.replace("'", "''")}')""" for i, (name, text) in enumerate(rows))
+
+
+OP10_SQL = r"""
+with template as (
+  select nth, license, len(words) - 1 as size, unnest(list_transform(list_zip(words[:-2], words[2:]), lambda p: p[1] || ' ' || p[2])) as bigram
+  from (select *, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as words from (values @VALUES@) t(nth, license, text))
+), bag as (
+  select nth, license, size, bigram, count(*) as times from template group by all
+), row as (
+  select row_number() over () as r, doc_id, text from documents
+), unit as (
+  select distinct r, unnest(list_concat(string_split(text, chr(10)), regexp_split_to_array(text, '\n(?:[ \t\r\f\x0B]*\n)+'))) as unit from row
+), worded as (
+  select row_number() over () as u, r, regexp_extract_all(lower(unit), '[\p{L}\p{N}]+') as words from unit
+), found as (
+  select u, r, len(words) - 1 as size, unnest(list_transform(list_zip(words[:-2], words[2:]), lambda p: p[1] || ' ' || p[2])) as bigram from worded
+), counted as (
+  select u, r, size, bigram, count(*) as times from found group by all
+), score as (
+  select c.u, c.r, b.nth, b.license, sum(least(c.times, b.times)) * 2 / (c.size + b.size)::double as dice,
+    sum(least(c.times, b.times)) * 2 * 20 >= (c.size + b.size) * 17 as enough
+  from counted c join bag b using (bigram) group by c.u, c.r, c.size, b.nth, b.license, b.size
+), matched as (
+  select r, u, max((dice, -nth, license)) as best from score where enough group by r, u
+)
+select doc_id, any_value(m.top[3]) as license, coalesce(any_value(m.top[1]), 0.0)::double as dice, coalesce(any_value(m.n), 0)::bigint as n_matches
+from row left join (select r, max(best) as top, count(*) as n from matched group by r) m using (r) group by r, doc_id
+""".replace("@VALUES@", _values())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
     "op2_token_files": op2_token_files,
     "op5_mix_sources": op5_mix_sources,
+    "op6_decontaminate": op6_decontaminate,
     "op7_language_id": op7_language_id,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    "op10_license_scan": op10_license_scan,
 }
 SQL: dict[str, str] = {
+    "op1_chat_format": OP1_SQL,
     "op5_mix_sources": OP5_SQL,
+    "op6_decontaminate": OP6_SQL,
+    "op10_license_scan": OP10_SQL,
 }
 
 
