@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensa.llm import chat, decontamination, language, licenses, mixing, ngram_join, token_files
+from propensa.llm import chat, decontamination, divergence, html_wrappers, language, licenses, mixing, ngram_join, token_files, toxicity
 from propensa.llm.tables import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -46,6 +46,17 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_back(spark, files)
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_wrappers.extract(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", language.held_out(scored.doc_id).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.sized(read(spark, sf_dir, "documents")).drop("text", "lang", "n_chars")
     return mixing.taken(mixing.assign(rows)).select("doc_id", "size", "source_size", "target", "taken")
@@ -137,6 +148,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", language.held_out(scored.doc_id).alias("held_out"), "lang_pred", "score")
 
 
+def op8_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge(read(spark, sf_dir, "documents"))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(read(spark, sf_dir, "documents"))
 
@@ -184,9 +199,12 @@ from row left join (select r, max(best) as top, count(*) as n from matched group
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_token_files": op2_token_files,
+    "op3_html_text": op3_html_text,
+    "op4_toxicity": op4_toxicity,
     "op5_mix_sources": op5_mix_sources,
     "op6_decontaminate": op6_decontaminate,
     "op7_language_id": op7_language_id,
+    "op8_quality_divergence": op8_quality_divergence,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_license_scan": op10_license_scan,
 }
