@@ -149,7 +149,76 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return divergence.judge(read(spark, sf_dir, "documents"))
+    return divergence.judge(read(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+
+
+# Character classes and common words by language, as the operator's constants say.
+OP8_SQL = r"""
+with doc as (
+  select row_number() over () as r, doc_id, coalesce(text, '') as text, coalesce(lang, '') as lang from documents
+), worded as (
+  select *, regexp_extract_all(text, '[^ 	-]+') as words from doc
+), base as (
+  select *, len(words)::bigint as n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::bigint as word_chars,
+    (length(text) - length(translate(text, '#*$%&|<>', '')))::bigint as n_symbols,
+    length(text) as n, length(regexp_replace(text, '\P{Lu}+', '', 'g')) as up, length(regexp_replace(text, '\P{L}+', '', 'g')) as letter,
+    length(regexp_replace(text, '\P{N}+', '', 'g')) as digit, length(regexp_replace(text, '\P{P}+', '', 'g')) as mark,
+    length(regexp_replace(text, '[^ 	-]+', '', 'g')) as space
+  from worded
+), line as (
+  select r, count(*) - count(distinct line) as n_dup_lines from (select r, unnest(string_split(text, chr(10))) as line from doc)
+  where regexp_matches(line, '[^ 	-]') group by r
+), part as (
+  select r, unnest(range(len(words) - 2)) as i, unnest(list_transform(range(1, len(words) - 1), lambda i: words[i:i + 2])) as three from worded where len(words) > 2
+), twice as (
+  select r, i from part qualify count(*) over (partition by r, three) > 1
+), covered as (
+  select r, count(distinct i + j) as n_repeat_words from twice, (select unnest([0, 1, 2]) as j) group by r
+), class as (
+  select r, lang, pos, n from (select r, lang, unnest([up, letter - up, digit, mark, space, n - letter - digit - mark - space]) as n, unnest([0, 1, 2, 3, 4, 5]) as pos from base)
+), class_reference as (
+  select lang, pos, sum(n) / sum(sum(n)) over (partition by lang) as q from class group by lang, pos
+), word as (
+  select r, lang, lower(rtrim(w, '.,;:!?')) as w from (select r, lang, unnest(words) as w from worded)
+), counted as (
+  select lang, w, count(*) as n from word group by lang, w
+), total as (
+  select lang, sum(n) as n from counted group by lang having sum(n) >= @LEAST@
+), top as (
+  select lang, w, n from counted join (select lang from total) using (lang) where w != ''
+  qualify row_number() over (partition by lang order by n desc, w) <= @COMMON@
+), word_reference as (
+  select lang, w, top.n / total.n as q from top join total using (lang)
+  union all select lang, null, 1 - sum(top.n) / total.n from top join total using (lang) group by lang, total.n
+), word_share as (
+  select b.r, ref.lang, ref.w, ref.q, coalesce(h.n, 0) / b.n_words as p
+  from base b join word_reference ref using (lang) left join (select r, w, count(*) as n from word group by r, w) h on h.r = b.r and h.w = ref.w
+  where ref.w is not null and b.n_words >= @JUDGED@
+), word_all as (
+  select r, p, q from word_share
+  union all select s.r, 1 - sum(s.p), any_value(o.q) from word_share s join (select lang, q from word_reference where w is null) o using (lang) group by s.r
+), word_far as (
+  select r, sqrt(greatest(0, sum(case when p > 1e-12 then p * log2(p / ((p + q) / 2)) else 0 end + case when q > 1e-12 then q * log2(q / ((p + q) / 2)) else 0 end) / 2)) as d
+  from word_all group by r
+), class_share as (
+  select c.r, case when b.n > 0 then c.n / b.n else 0 end as p, f.q
+  from class c join base b using (r) join class_reference f on f.lang = c.lang and f.pos = c.pos join total t on t.lang = c.lang
+), class_far as (
+  select r, sqrt(greatest(0, sum(case when p > 0 then p * log2(p / ((p + q) / 2)) else 0 end + case when q > 0 then q * log2(q / ((p + q) / 2)) else 0 end) / 2)) as d
+  from class_share group by r
+), joined as (
+  select b.*, coalesce(l.n_dup_lines, 0)::bigint as n_dup_lines, coalesce(c.n_repeat_words, 0)::bigint as n_repeat_words,
+    coalesce(w.d, 0) <= @MOST_WORD@ and coalesce(f.d, 0) <= @MOST_CLASS@ as near
+  from base b left join line l using (r) left join covered c using (r) left join word_far w using (r) left join class_far f using (r)
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+  not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and near as kept
+from joined
+"""
+for _name, _value in (("LEAST", divergence.LEAST_REFERENCE_WORDS), ("COMMON", divergence.COMMON_WORDS), ("JUDGED", divergence.LEAST_HISTOGRAM_WORDS),
+                      ("MOST_WORD", divergence.MOST_WORD_DISTANCE), ("MOST_CLASS", divergence.MOST_CLASS_DISTANCE)):
+    OP8_SQL = OP8_SQL.replace(f"@{_name}@", str(_value))
 
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,6 +281,7 @@ SQL: dict[str, str] = {
     "op1_chat_format": OP1_SQL,
     "op5_mix_sources": OP5_SQL,
     "op6_decontaminate": OP6_SQL,
+    "op8_quality_divergence": OP8_SQL,
     "op10_license_scan": OP10_SQL,
 }
 
