@@ -177,4 +177,4 @@ def leaks(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: tupl
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item."""
     found = leaks(docs, items).select(F.col("doc_id").alias("_doc")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_anti")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["_doc"]), "left_anti")
