@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensa.operators.running import ONE_TASK_ROWS, Running, running_totals
+from propensa.operators.running import Running, running_totals
 from propensa.session import stored
 
 # Fixed value: the text a missing value is encoded as.
@@ -63,7 +63,7 @@ class Encoders:
         })
 
 
-def fit_encoders(df: DataFrame, columns: Sequence[str], one_task_rows: int = ONE_TASK_ROWS) -> Encoders:
+def fit_encoders(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> Encoders:
     """Codes of all the columns, from one pass over ``df``."""
     if not columns:
         return Encoders({})
@@ -74,15 +74,15 @@ def fit_encoders(df: DataFrame, columns: Sequence[str], one_task_rows: int = ONE
         .withColumn("__one", F.lit(1))
     )
     run = running_totals(
-        values, ["value"], Running(sums={"__rank": "__one"}), ["column_name"], one_task_rows=one_task_rows
+        values, ["value"], Running(sums={"__rank": "__one"}), ["column_name"], ranges=ranges
     )
     code = (F.col("__rank") - 1).cast("int").alias("code")
     return Encoders.of(stored(run.select("value", code, "column_name"), partition_by="column_name"), columns)
 
 
-def fit_codes(df: DataFrame, column: str, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def fit_codes(df: DataFrame, column: str, ranges: int | None = None) -> DataFrame:
     """Table of (value, code) in sorted order of the distinct values."""
-    return fit_encoders(df, [column], one_task_rows).codes[column]
+    return fit_encoders(df, [column], ranges).codes[column]
 
 
 def apply_codes(df: DataFrame, column: str, codes: DataFrame, unseen: str = "error") -> DataFrame:

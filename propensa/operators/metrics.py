@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propensa.operators.running import ONE_TASK_ROWS, Running, running_totals
+from propensa.operators.running import Running, running_totals
 
 LABEL, PREDICTION, SCORE = "label", "prediction", "score"
 
@@ -31,10 +31,16 @@ def _struct(names: Sequence[str], values: Sequence[str]) -> str:
     return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in zip(names, values)) + ")"
 
 
+def _complete(df: DataFrame, *columns: str) -> DataFrame:
+    """``df``, where a null in one of the columns is an error when the row is read: no row is left out of a metric."""
+    known = F.expr(" and ".join(f"{c} is not null" for c in columns))
+    return df.filter(F.assert_true(known, F.lit(f"null among {', '.join(columns)}")).isNull())
+
+
 def _outcomes(df: DataFrame) -> DataFrame:
     """True and false positives and negatives: one row."""
     actual, predicted = f"{LABEL} = 1", f"{PREDICTION} = 1"
-    return df.selectExpr(
+    return _complete(df, LABEL, PREDICTION).selectExpr(
         f"cast(count_if({actual} and {predicted}) as double) as tp",
         f"cast(count_if(not {actual} and {predicted}) as double) as fp",
         f"cast(count_if({actual} and not {predicted}) as double) as fn",
@@ -77,7 +83,7 @@ def classification_report(df: DataFrame) -> DataFrame:
 
     The accuracy row holds its value in the F1 column, as in the printed report.
     """
-    pairs = df.groupBy(LABEL, PREDICTION).agg(F.count("*").alias("n"))
+    pairs = _complete(df, LABEL, PREDICTION).groupBy(LABEL, PREDICTION).agg(F.count("*").alias("n"))
     hits = f"if({LABEL} = {PREDICTION}, n, 0L)"
     classes = (
         pairs.selectExpr(
@@ -111,11 +117,11 @@ def classification_report(df: DataFrame) -> DataFrame:
     return both.selectExpr(f"inline(if(overall = 1, array({', '.join(averages)}), array({one_class})))")
 
 
-def score_steps(df: DataFrame, by: Sequence[str] = (), one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def score_steps(df: DataFrame, by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
     """One row per distinct score (per ``by`` group), highest first: its positives and negatives,
     both counted down to it (``tp``, ``fp``) and overall, and those of the next lower score."""
     steps = (
-        df.filter(F.col(SCORE).isNotNull())
+        _complete(df, LABEL, SCORE)
         .groupBy(*by, F.col(SCORE).cast("double").alias(SCORE))
         .agg(F.count_if(F.col(LABEL) == 1).alias("pos"), F.count_if(F.col(LABEL) != 1).alias("neg"))
     )
@@ -129,7 +135,7 @@ def score_steps(df: DataFrame, by: Sequence[str] = (), one_task_rows: int = ONE_
             totals={"all_pos": "pos", "all_neg": "neg"},
             following={"next_pos": "pos", "next_neg": "neg"},
         ),
-        one_task_rows=one_task_rows,
+        ranges=ranges,
     )
 
 
@@ -145,30 +151,30 @@ def _average_precision() -> Column:
     return F.try_divide(steps, F.max("all_pos"))
 
 
-def ranking_metrics(df: DataFrame, by: Sequence[str] = (), one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def ranking_metrics(df: DataFrame, by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
     """ROC AUC (null when only one class is present) and average precision, the sum of recall
     steps weighted by the precision at each: one row, or one per ``by`` group."""
-    return score_steps(df, by, one_task_rows).groupBy(*by).agg(
+    return score_steps(df, by, ranges).groupBy(*by).agg(
         _area().alias("roc_auc"), _average_precision().alias("average_precision")
     )
 
 
-def roc_auc(df: DataFrame, by: Sequence[str] = (), one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
-    return ranking_metrics(df, by, one_task_rows).drop("average_precision")
+def roc_auc(df: DataFrame, by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    return ranking_metrics(df, by, ranges).drop("average_precision")
 
 
-def average_precision(df: DataFrame, by: Sequence[str] = (), one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
-    return ranking_metrics(df, by, one_task_rows).drop("roc_auc")
+def average_precision(df: DataFrame, by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    return ranking_metrics(df, by, ranges).drop("roc_auc")
 
 
 # The step of the highest score has nothing counted before it.
 _TOP = "(tp = pos and fp = neg)"
 
 
-def roc_curve(df: DataFrame, drop_intermediate: bool = True, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def roc_curve(df: DataFrame, drop_intermediate: bool = True, ranges: int | None = None) -> DataFrame:
     """ROC points from (0, 0) up. Points on the straight line between their neighbours are
     left out by default, as they do not change the curve."""
-    steps = score_steps(df, one_task_rows=one_task_rows)
+    steps = score_steps(df, ranges=ranges)
     if drop_intermediate:
         steps = steps.filter(f"{_TOP} or next_pos is null or pos <> next_pos or neg <> next_neg")
     columns = ("fpr", "tpr", "threshold")
@@ -177,10 +183,53 @@ def roc_curve(df: DataFrame, drop_intermediate: bool = True, one_task_rows: int
     return steps.selectExpr(f"inline(if({_TOP}, array({origin}, {point}), array({point})))")
 
 
-def pr_curve(df: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def pr_curve(df: DataFrame, ranges: int | None = None) -> DataFrame:
     """Precision and recall at every threshold, closed by the point (1, 0) without one."""
-    steps = score_steps(df, one_task_rows=one_task_rows)
+    steps = score_steps(df, ranges=ranges)
     columns = ("precision", "recall", "threshold")
     point = _struct(columns, ["tp / (tp + fp)", "coalesce(try_divide(tp, all_pos), 1D)", SCORE])
     end = _struct(columns, ["1D", "0D", "cast(null as double)"])
     return steps.selectExpr(f"inline(if({_TOP}, array({point}, {end}), array({point})))")
+
+
+# Reports by threshold, score band and slice: one grouped pass each.
+
+
+def threshold_sweep(df: DataFrame, thresholds: Sequence[float]) -> DataFrame:
+    """Outcomes, precision, recall and F1 at each threshold (class 1 above it). A row is counted once,
+    by the number of thresholds below its score; the sums over those few counts follow."""
+    cuts = sorted(thresholds)
+    below = " + ".join(f"if({SCORE} > {cut}D, 1, 0)" for cut in cuts)
+    counts = _complete(df, LABEL, SCORE).selectExpr(f"{below} as passed", f"{LABEL} = 1 as actual").groupBy("passed").agg(
+        F.count_if("actual").alias("pos"), F.count_if(~F.col("actual")).alias("neg"))
+    every = F.array(*[F.struct(F.lit(float(cut)).alias("threshold"), F.lit(i + 1).alias("place")) for i, cut in enumerate(cuts)])
+    rows = counts.select("*", F.inline(every))
+    outcomes = rows.groupBy("threshold").agg(*[
+        F.sum(F.expr(f"if(passed {side} place, {kind}, 0L)")).cast("double").alias(name)
+        for name, side, kind in (("tp", ">=", "pos"), ("fp", ">=", "neg"), ("fn", "<", "pos"), ("tn", "<", "neg"))])
+    return outcomes.selectExpr(
+        "threshold", *[f"cast({c} as bigint) as {c}" for c in ("tp", "fp", "fn", "tn")], f"{_ratio('tp', 'tp + fp')} as precision",
+        f"{_ratio('tp', 'tp + fn')} as recall", f"{_ratio('2 * tp', '2 * tp + fp + fn')} as f1_score")
+
+
+def calibration_bins(df: DataFrame, bins: int = 10) -> DataFrame:
+    """Rows, mean score and share of class 1 in score bands of equal width; a score of 1 is in the last band."""
+    band = f"least(cast(floor({SCORE} * {bins}) as int), {bins - 1}) as bin"
+    return _complete(df, LABEL, SCORE).selectExpr(band, SCORE, LABEL).groupBy("bin").agg(
+        F.count("*").alias("n"), F.avg(SCORE).alias("mean_score"), F.avg(LABEL).alias("observed"))
+
+
+def slice_metrics(df: DataFrame, by: str) -> DataFrame:
+    """Rows, share of class 1, accuracy, precision, recall and F1 in each slice."""
+    cells = _complete(df, LABEL, PREDICTION).groupBy(by).agg(
+        F.count("*").alias("n"), *[F.count_if(F.expr(condition)).cast("double").alias(name) for name, condition in (
+            ("tp", f"{LABEL} = 1 and {PREDICTION} = 1"), ("fp", f"{LABEL} = 0 and {PREDICTION} = 1"),
+            ("fn", f"{LABEL} = 1 and {PREDICTION} = 0"), ("tn", f"{LABEL} = 0 and {PREDICTION} = 0"))])
+    return cells.selectExpr(
+        by, "n", "(tp + fn) / n as rate", "(tp + tn) / n as accuracy", f"{_ratio('tp', 'tp + fp')} as precision",
+        f"{_ratio('tp', 'tp + fn')} as recall", f"{_ratio('2 * tp', '2 * tp + fp + fn')} as f1_score")
+
+
+def low_confidence(df: DataFrame, margin: float = 0.1) -> DataFrame:
+    """Every row with its distance from the threshold and whether that is under the margin."""
+    return _complete(df, SCORE).withColumn("distance", F.abs(F.col(SCORE) - 0.5)).withColumn("uncertain", F.col("distance") < margin)

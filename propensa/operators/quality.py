@@ -8,7 +8,6 @@ one grouped count. Null values are ignored by every column check but
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -207,8 +206,9 @@ def _grouped(df: DataFrame, position: int, check: Check) -> DataFrame:
 def validate(df: DataFrame, suite: str, checks: Sequence[Check], detail: str = BASIC) -> DataFrame:
     """One row per check with its verdict and counts.
 
-    ``summary`` and ``complete`` detail add the most frequent unexpected values of
-    each row check; the rows themselves, of any number, come from ``failing_rows``.
+    ``summary`` and ``complete`` detail add the most frequent unexpected values of each
+    check on values (null for the others; a missing value has nothing to show);
+    the rows themselves, of any number, come from ``failing_rows``.
     """
     numbered = list(enumerate(checks))
     grouped = [(i, c) for i, c in numbered if c.kind in ("unique", "share_at_most")]
@@ -231,10 +231,19 @@ def validate(df: DataFrame, suite: str, checks: Sequence[Check], detail: str = B
 
 
 def failing_rows(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All rows that break a row check, with the list of checks each breaks (full detail)."""
+    """All rows that break a row check or repeat a unique value, with the list of checks each breaks (full detail).
+
+    Repeated values are counted by value and joined back, so no group of rows is gathered.
+    """
+    marked, unique_checks = df, [c for c in checks if c.kind == "unique"]
+    for i, check in enumerate(unique_checks):
+        keys = repeated_rows(df, [check.column]).select(F.col(check.column).alias(f"__value_{i}"), F.lit(True).alias(f"__twice_{i}"))
+        marked = marked.join(keys, F.col(check.column) == F.col(f"__value_{i}"), "left").drop(f"__value_{i}")
     broken = [f"if({is_unexpected(c)}, {sql_text(c.name)}, null)" for c in checks if c.kind in ROW_KINDS]
-    names = F.expr(f"array_compact(array({', '.join(broken)}))")
-    return df.withColumn("failed_checks", names).filter(F.size("failed_checks") > 0)
+    broken += [f"if(__twice_{i}, {sql_text(c.name)}, null)" for i, c in enumerate(unique_checks)]
+    names = F.expr(f"array_compact(array({', '.join(broken)}))") if broken else F.array().cast("array<string>")
+    out = marked.withColumn("failed_checks", names).filter(F.size("failed_checks") > 0)
+    return out.drop(*[f"__twice_{i}" for i in range(len(unique_checks))])
 
 
 def repeated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -246,7 +255,7 @@ def repeated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def unexpected_values(df: DataFrame, checks: Sequence[Check], sample: int = SAMPLE_SIZE) -> DataFrame:
-    """The most frequent unexpected values of every row check, ``sample`` per check (summary detail).
+    """The most frequent unexpected values of every check on values, ``sample`` per check (summary detail).
 
     Values are counted before they are ranked, and the rank filter is applied
     on both sides of the shuffle, so a check that fails on every row is no hot spot.
@@ -255,11 +264,18 @@ def unexpected_values(df: DataFrame, checks: Sequence[Check], sample: int = SAMP
         f"if({is_unexpected(c)}, struct({sql_text(c.name)}, cast(`{c.column}` as string)), null)"
         for c in checks if c.kind in ROW_KINDS and c.kind != "not_null"
     ]
-    values = (
-        df.selectExpr(f"inline(array_compact(array({', '.join(broken)}))) as (check, value)")
-        .groupBy("check", "value")
-        .agg(F.count("*").alias("n_rows"))
-    )
+    values = df.sparkSession.createDataFrame([], "check string, value string, n_rows bigint")
+    if broken:
+        values = (
+            df.selectExpr(f"inline(array_compact(array({', '.join(broken)}))) as (check, value)")
+            .groupBy("check", "value")
+            .agg(F.count("*").alias("n_rows"))
+        )
+    for check in checks:
+        if check.kind == "unique":
+            repeated = repeated_rows(df, [check.column])
+            values = values.unionByName(repeated.select(
+                F.lit(check.name).alias("check"), F.col(check.column).cast("string").alias("value"), "n_rows"))
     order = Window.partitionBy("check").orderBy(F.desc("n_rows"), F.asc("value"))
     return values.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample)
 
@@ -292,9 +308,3 @@ def gate(results: DataFrame) -> None:
 
 def write_results(results: DataFrame, path: str) -> None:
     results.coalesce(1).write.mode("overwrite").json(path)
-
-
-def describe(checks: Sequence[Check]) -> str:
-    """Suite as JSON text."""
-    return json.dumps([{"kind": c.kind, "column": c.column, **c.args} for c in checks])
-

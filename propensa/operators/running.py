@@ -3,7 +3,9 @@
 A window with no partition key puts all rows in one task. Here rows are range
 partitioned on the order instead: each range is summed on its own, the few
 range totals are accumulated, and every row adds the total of the ranges before
-it. Both branches read one written table, so they see the same ranges.
+it. Both branches read one written table, so they see the same ranges. The
+session's shuffle settings give the number of ranges, and adaptive execution joins
+neighbours up to its advisory size, so a small table is the same plan with one range.
 """
 
 from __future__ import annotations
@@ -18,10 +20,6 @@ from pyspark.sql import functions as F
 
 from propensa.session import stored
 
-# Up to this many rows are windowed directly: a counted, bounded amount of work for a task.
-ONE_TASK_ROWS = 500_000
-MAX_RANGES = 4_000
-
 RANGE = "__range"
 
 
@@ -45,52 +43,17 @@ def running_totals(
     what: Running,
     groups: Sequence[str] = (),
     descending: bool = False,
-    one_task_rows: int = ONE_TASK_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add running sums to ``rows`` in the order of ``order``, within ``groups``.
 
     ``order`` must be unique within a group: aggregate ties first. The rows are
-    written once, and counted, before the strategy is chosen.
+    written once, by range; ``ranges`` states their number.
     """
-    table = stored(rows)
-    size = table.count()
-    if size <= one_task_rows:
-        return _one_window(table, order, what, groups, descending)
-    ranges = min(MAX_RANGES, -(-size // one_task_rows) * 2)
-    return _ranged(table, order, what, groups, descending, ranges)
-
-
-def _sort(order: Sequence[str], descending: bool) -> list[Column]:
-    return [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-
-
-def _one_window(
-    table: DataFrame, order: Sequence[str], what: Running, groups: Sequence[str], descending: bool
-) -> DataFrame:
-    group = Window.partitionBy(*groups)
-    ordered = group.orderBy(*_sort(order, descending))
-    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return table.select(
-        "*",
-        *[F.sum(src).over(upto).alias(out) for out, src in what.sums.items()],
-        *[F.sum(src).over(group).alias(out) for out, src in what.totals.items()],
-        *[F.lead(src).over(ordered).alias(out) for out, src in what.following.items()],
-    )
-
-
-def _ranged(
-    table: DataFrame,
-    order: Sequence[str],
-    what: Running,
-    groups: Sequence[str],
-    descending: bool,
-    ranges: int,
-) -> DataFrame:
     sort = _sort(order, descending)
-    ranged = stored(
-        table.repartitionByRange(ranges, *[F.col(g).asc() for g in groups], *sort)
-        .withColumn(RANGE, F.spark_partition_id())
-    )
+    by = [*[F.col(g).asc() for g in groups], *sort]
+    dealt = rows.repartitionByRange(*by) if ranges is None else rows.repartitionByRange(ranges, *by)
+    ranged = stored(dealt.withColumn(RANGE, F.spark_partition_id()))
 
     # One row per (group, range): at most the number of ranges plus the number of groups.
     key = F.struct(*order)
@@ -126,7 +89,7 @@ def _ranged(
         summed[RANGE] == offsets[f"__key_{RANGE}"],
     )
     return summed.join(offsets, same_key, "left").select(
-        *table.columns,
+        *rows.columns,
         *[
             (F.col(f"__local_{src}") + F.col(f"__before_{src}")).alias(out)
             for out, src in what.sums.items()
@@ -137,3 +100,7 @@ def _ranged(
             for out, src in what.following.items()
         ],
     )
+
+
+def _sort(order: Sequence[str], descending: bool) -> list[Column]:
+    return [F.col(c).desc() if descending else F.col(c).asc() for c in order]

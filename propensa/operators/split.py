@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from propensa.functions.hashing import hash_text, hash_unit
-from propensa.operators.running import ONE_TASK_ROWS, Running, running_totals
+from propensa.operators.running import Running, running_totals
 
 TRAIN, VALIDATION, TEST = "train", "val", "test"
 
@@ -49,7 +49,7 @@ def split_exact(
     val_size: float = VAL_SIZE,
     test_size: float = TEST_SIZE,
     seed: int = SEED,
-    one_task_rows: int = ONE_TASK_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Folds stratified by label with exact sizes, each class cut by rank in hash order.
 
@@ -78,7 +78,7 @@ def split_exact(
             order=["__hash", key],
             what=Running(sums={"__upto": "__n"}),
             groups=[label, "__prefix"],
-            one_task_rows=one_task_rows,
+            ranges=ranges,
         )
         at_cut = reduce(or_, [
             (F.col(label) == F.lit(c)) & (F.col("__prefix") == F.lit(p))
@@ -97,7 +97,7 @@ def split_exact(
         cut_hash, cut_key = F.lit(last[c, rank]["__hash"]), F.lit(last[c, rank][key])
         return (F.col("__hash") < cut_hash) | ((F.col("__hash") == cut_hash) & (F.col(key) <= cut_key))
 
-    fold = F.when(F.col(label).isNull(), F.lit(None).cast("string"))
+    fold = F.when(F.lit(False), TEST)
     for c, (train_end, val_end) in ends.items():
         of_class = F.col(label) == F.lit(c)
         fold = fold.when(of_class & upto(c, train_end), TRAIN).when(of_class & upto(c, val_end), VALIDATION)
@@ -108,8 +108,7 @@ def _prefix_counts(df: DataFrame, label: str, prefix: Column) -> dict[Any, dict[
     """Rows per class and hash prefix: a number of counts that does not grow with the rows."""
     limit = MAX_CLASSES * 16**PREFIX_LENGTH
     rows = (
-        df.filter(F.col(label).isNotNull())
-        .groupBy(F.col(label).alias("c"), prefix.alias("p"))
+        df.groupBy(F.col(label).alias("c"), prefix.alias("p"))
         .agg(F.count("*").alias("n"))
         .limit(limit + 1)
         .collect()
@@ -117,6 +116,8 @@ def _prefix_counts(df: DataFrame, label: str, prefix: Column) -> dict[Any, dict[
     counts: dict[Any, dict[str, int]] = {}
     for row in rows:
         counts.setdefault(row["c"], {})[row["p"]] = row["n"]
+    if None in counts:
+        raise ValueError(f"{sum(counts[None].values())} rows have no {label}")
     if len(counts) > MAX_CLASSES or len(rows) > limit:
         raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
     return counts

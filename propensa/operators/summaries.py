@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propensa.functions.features import email_domain, sql_text
-from propensa.operators.running import ONE_TASK_ROWS, Running, running_totals
+from propensa.operators.running import Running, running_totals
 
 TARGET = "made_purchase"
 
@@ -18,7 +18,7 @@ def pareto(
     group: str,
     target: str = TARGET,
     min_sales: int | None = None,
-    one_task_rows: int = ONE_TASK_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Sales and rate per group, share of all sales, and the running share from the top seller.
 
@@ -35,7 +35,7 @@ def pareto(
         grouped,
         order=["__down", group],
         what=Running(sums={"__cum": "sales"}, totals={"__total": "sales"}),
-        one_task_rows=one_task_rows,
+        ranges=ranges,
     )
     shares = run.select(
         group,
@@ -88,7 +88,7 @@ def group_quantiles(
     value: str,
     quantiles: Sequence[float] = (0.10, 0.50, 0.90),
     approximate: bool = False,
-    one_task_rows: int = ONE_TASK_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Quantiles of ``value`` per group, interpolated between neighbours.
 
@@ -107,7 +107,7 @@ def group_quantiles(
         order=[value],
         what=Running(sums={"__upto": "__n"}, totals={"__all": "__n"}),
         groups=[group],
-        one_task_rows=one_task_rows,
+        ranges=ranges,
     )
     last = F.col("__all") - 1
 

@@ -177,12 +177,14 @@ def scored(model: Model, table: DataFrame) -> DataFrame:
 
 
 def class_scores(model: Model, table: DataFrame) -> DataFrame:
-    """Predicted class with the raw score of each class."""
-    return model.transform(table).select(
+    """Predicted class with the score of each class; the margin stands in where a model has no probability."""
+    out = model.transform(table)
+    score = "probability" if "probability" in out.columns else "rawPrediction"
+    return out.select(
         *[c for c in table.columns if c not in ("features", "label")],
         F.col("prediction").cast("int").alias("prediction_label"),
-        vector_to_array("probability")[0].alias("prediction_score_0"),
-        vector_to_array("probability")[1].alias("prediction_score_1"),
+        vector_to_array(score)[0].alias("prediction_score_0"),
+        vector_to_array(score)[1].alias("prediction_score_1"),
     )
 
 

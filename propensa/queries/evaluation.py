@@ -28,6 +28,16 @@ def rounded(df: DataFrame) -> DataFrame:
     ])
 
 
+THRESHOLDS = [i / 20 for i in range(1, 20)]
+
+
+def by_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores with the domain of the subscriber's email."""
+    domain = F.substring_index("user_email", "@", -1).alias("domain")
+    domains = joined_table(spark, sf_dir).select("mailchimp_id", domain)
+    return scores(spark, sf_dir).join(domains, "mailchimp_id")
+
+
 QUERIES = {
     "predictions": scores,
     "classification_metrics": lambda s, d: rounded(mx.classification_metrics(scores(s, d))),
@@ -38,6 +48,10 @@ QUERIES = {
     "average_precision": lambda s, d: rounded(mx.average_precision(scores(s, d))),
     "roc_curve": lambda s, d: mx.roc_curve(scores(s, d)),
     "pr_curve": lambda s, d: mx.pr_curve(scores(s, d)),
+    "threshold_sweep": lambda s, d: rounded(mx.threshold_sweep(scores(s, d), THRESHOLDS)),
+    "calibration_bins": lambda s, d: rounded(mx.calibration_bins(scores(s, d))),
+    "slice_metrics": lambda s, d: rounded(mx.slice_metrics(by_provider(s, d), "domain")),
+    "low_confidence": lambda s, d: rounded(mx.low_confidence(scores(s, d))),
 }
 
 _COUNTS = with_tables("scored") + """,
@@ -104,4 +118,37 @@ SQL = {
     "pr_curve": with_tables("steps") + """
         select tp / (tp + fp)::double as precision, tp / all_pos::double as recall, score as threshold from steps
         union all select 1.0::double, 0.0::double, null""",
+    "threshold_sweep": with_tables("scored") + f""",
+        cuts(threshold) as (values {', '.join(f'({t}::double)' for t in THRESHOLDS)}),
+        outcomes as (
+            select threshold, count(*) filter (where label = 1 and score > threshold) as tp,
+                   count(*) filter (where label = 0 and score > threshold) as fp,
+                   count(*) filter (where label = 1 and score <= threshold) as fn,
+                   count(*) filter (where label = 0 and score <= threshold) as tn
+            from cuts, scored group by threshold)
+        select *, round(coalesce(tp / nullif(tp + fp, 0)::double, 0), {DIGITS}) as precision,
+               round(coalesce(tp / nullif(tp + fn, 0)::double, 0), {DIGITS}) as recall,
+               round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0)::double, 0), {DIGITS}) as f1_score
+        from outcomes""",
+    "calibration_bins": with_tables("scored") + f"""
+        select least(floor(score * 10)::int, 9) as bin, count(*) as n, round(avg(score), {DIGITS}) as mean_score,
+               round(avg(label), {DIGITS}) as observed
+        from scored group by 1""",
+    "slice_metrics": with_tables("scored") + f""",
+        cells as (
+            select split_part(user_email, '@', 2) as domain, count(*) as n,
+                   count(*) filter (where label = 1 and prediction = 1)::double as tp,
+                   count(*) filter (where label = 0 and prediction = 1)::double as fp,
+                   count(*) filter (where label = 1 and prediction = 0)::double as fn,
+                   count(*) filter (where label = 0 and prediction = 0)::double as tn
+            from scored join joined using (mailchimp_id) group by 1)
+        select domain, n, round((tp + fn) / n, {DIGITS}) as rate, round((tp + tn) / n, {DIGITS}) as accuracy,
+               round(coalesce(tp / nullif(tp + fp, 0), 0), {DIGITS}) as precision,
+               round(coalesce(tp / nullif(tp + fn, 0), 0), {DIGITS}) as recall,
+               round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), {DIGITS}) as f1_score
+        from cells""",
+    "low_confidence": with_tables("scored") + f"""
+        select mailchimp_id, label, prediction, round(score, {DIGITS}) as score, round(abs(score - 0.5), {DIGITS}) as distance,
+               abs(score - 0.5) < 0.1 as uncertain
+        from scored""",
 }

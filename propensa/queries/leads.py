@@ -7,6 +7,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from propensa.functions import features
 from propensa.operators import columns, encode, pivot, split
 from propensa.operators.summaries import null_profile
 from propensa.plans import prepare
@@ -20,7 +21,7 @@ from propensa.sources import standins
 from propensa.sources.tables import write_table
 
 KEY, TARGET = prepare.KEY, prepare.TARGET
-DATES = ["optin_days", "optin_month", "optin_day_of_week", "optin_day_of_year", "optin_quarter", "optin_is_weekend"]
+DATES = list(features.date_features())
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:

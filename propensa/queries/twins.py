@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from propensa.functions.features import COUNTRIES_KEPT, FREE_MAIL_DOMAINS, OTHER_COUNTRY
 from propensa.operators.columns import MISSING
-from propensa.sources.standins import CHARGE_COUNTRIES, COUNTRIES, DOMAINS, PRICE_FLOOR
+from propensa.sources.standins import CHARGE_COUNTRIES, COUNTRIES, DOMAINS, ACCOUNT_ORDERS
 
 # The event types of the test tables; each makes ten tags.
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -57,12 +57,13 @@ TABLES: dict[str, tuple[list[str], str]] = {
         select o_orderkey as transaction_id,
                cast(cast(o_orderdate as date) as varchar) as purchased_at,
                concat('Customer#', lpad(cast(o_custkey as varchar), 9, '0')) as user_full_name,
-               concat('customer.', lpad(cast(o_custkey as varchar), 9, '0'), '@',
-                      ({_list(DOMAINS)})[o_custkey % 7 + 1]) as user_email,
+               case when o_orderkey % {ACCOUNT_ORDERS} = 0
+                    then concat('customer.', lpad(cast(o_custkey as varchar), 9, '0'), '@', ({_list(DOMAINS)})[o_custkey % 7 + 1])
+                    else concat('guest.', o_orderkey, '@', ({_list(DOMAINS)})[o_orderkey % 7 + 1]) end as user_email,
                case when o_custkey % 8 = 7 then null
                     else ({_list(CHARGE_COUNTRIES)})[o_custkey % 8 + 1] end as charge_country,
                cast(1 + o_orderkey % 100 as int) as product_id
-        from orders where o_totalprice > {PRICE_FLOOR}"""),
+        from orders"""),
     "joined": (["subscribers", "tags", "transactions"], """
         select s.mailchimp_id, s.user_full_name, s.user_email, s.member_rating,
                cast(s.optin_time as timestamp) as optin_time, s.country_code,

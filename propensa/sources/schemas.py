@@ -48,12 +48,6 @@ SUBSCRIBERS_JOINED = T.StructType([
     T.StructField("made_purchase", T.IntegerType()),
 ])
 
-PREDICTION = T.StructType([
-    T.StructField("user_email", T.StringType()),
-    T.StructField("prediction_proba", T.DoubleType()),
-])
-
-
 def lead_schema(tag_columns: list[str]) -> T.StructType:
     """Typed scoring record: fixed contact fields plus one 0/1 field per tag column."""
     fields = [

@@ -16,7 +16,7 @@ DOMAINS = [
     "gmail.com", "yahoo.com", "hotmail.com", "outlook.com", "aol.com", "acme.io", "corp.example",
 ]
 CHARGE_COUNTRIES = ["US", "CA", "GB", "AU", "DE", "FR", "NZ"]
-PRICE_FLOOR = 480000
+ACCOUNT_ORDERS = 24  # every so many orders, one carries the account's email; the others are made as guests
 
 # Columns read from each table. A stated schema saves a pass over the file footers.
 SOURCES = {
@@ -62,12 +62,12 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     padded = "lpad(cast(o_custkey as string), 9, '0')"
     return (
         source(spark, sf_dir, "orders")
-        .filter(f"o_totalprice > {PRICE_FLOOR}")
         .selectExpr(
             "o_orderkey as transaction_id",
             "cast(cast(o_orderdate as date) as string) as purchased_at",
             f"concat('Customer#', {padded}) as user_full_name",
-            f"concat('customer.', {padded}, '@', {_pick(DOMAINS, 'o_custkey % 7')}) as user_email",
+            f"if(o_orderkey % {ACCOUNT_ORDERS} = 0, concat('customer.', {padded}, '@', {_pick(DOMAINS, 'o_custkey % 7')}), "
+            f"concat('guest.', o_orderkey, '@', {_pick(DOMAINS, 'o_orderkey % 7')})) as user_email",
             f"{_pick(CHARGE_COUNTRIES, 'o_custkey % 8')} as charge_country",
             "cast(1 + o_orderkey % 100 as int) as product_id",
         )

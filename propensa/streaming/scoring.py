@@ -12,32 +12,22 @@ from propensa.plans.prepare import add_features
 from propensa.plans.scoring import score_leads
 from propensa.sources.registry import ScoringModel
 
-# Fixed value: requests scored together at most.
-MAX_BATCH = 32
-
-
 def lead_stream(
-    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", max_files: int = MAX_BATCH
+    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", max_bytes: int | None = None
 ) -> DataFrame:
-    """Leads from files dropped into a folder, at most ``max_files`` per micro-batch."""
-    return (
-        spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files).load(path)
-    )
+    """Leads from files dropped into a folder, at most about ``max_bytes`` per micro-batch if given."""
+    reader = spark.readStream.schema(schema).format(fmt)
+    return (reader if max_bytes is None else reader.option("maxBytesPerTrigger", max_bytes)).load(path)
 
 
 def kafka_lead_stream(
-    spark: SparkSession, servers: str, topic: str, schema: StructType, max_records: int = MAX_BATCH
+    spark: SparkSession, servers: str, topic: str, schema: StructType, max_records: int | None = None
 ) -> DataFrame:
-    """Leads from JSON messages; needs the Kafka connector on the class path."""
+    """Leads from JSON messages, at most ``max_records`` per micro-batch if given; needs the Kafka connector on the class path."""
     from pyspark.sql import functions as F
 
-    messages = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("maxOffsetsPerTrigger", max_records)
-        .load()
-    )
+    reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+    messages = (reader if max_records is None else reader.option("maxOffsetsPerTrigger", max_records)).load()
     return messages.select(F.from_json(F.col("value").cast("string"), schema).alias("lead")).select("lead.*")
 
 

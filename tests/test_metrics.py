@@ -39,11 +39,11 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("limit", [10**6, 2])
+@pytest.mark.parametrize("limit", [None, 7])
 @pytest.mark.parametrize("case", CASES)
 def test_ranking_metrics(spark, case, limit):
     y, s = map(np.array, CASES[case])
-    got = mx.ranking_metrics(table(spark, y, s), one_task_rows=limit).first()
+    got = mx.ranking_metrics(table(spark, y, s), ranges=limit).first()
     assert math.isclose(got["roc_auc"], pair_auc(y, s))
     assert math.isclose(got["average_precision"], precision_steps(y, s))
 
@@ -60,7 +60,7 @@ def test_against_brute_force(spark, rows):
     assert math.isclose(got["precision"], tp / (tp + fp) if tp + fp else 0)
     assert math.isclose(got["recall"], tp / (tp + fn) if tp + fn else 0)
     assert math.isclose(got["f1_score"], 2 * tp / (2 * tp + fp + fn) if 2 * tp + fp + fn else 0)
-    ranks = mx.ranking_metrics(df, one_task_rows=3).first()
+    ranks = mx.ranking_metrics(df, ranges=3).first()
     if 0 < y.sum() < len(y):
         assert math.isclose(ranks["roc_auc"], pair_auc(y, s))
         assert math.isclose(ranks["average_precision"], precision_steps(y, s))
@@ -74,18 +74,18 @@ def test_one_class(spark):
     assert mx.classification_metrics(df).first()["recall"] == 0.0
 
 
-@pytest.mark.parametrize("limit", [10**6, 2])
+@pytest.mark.parametrize("limit", [None, 7])
 def test_curves(spark, limit):
     y, s = map(np.array, CASES["mixed"])
     df = table(spark, y, s)
-    roc = sorted(tuple(r) for r in mx.roc_curve(df, one_task_rows=limit).collect())
-    full = sorted(tuple(r) for r in mx.roc_curve(df, drop_intermediate=False, one_task_rows=limit).collect())
+    roc = sorted(tuple(r) for r in mx.roc_curve(df, ranges=limit).collect())
+    full = sorted(tuple(r) for r in mx.roc_curve(df, drop_intermediate=False, ranges=limit).collect())
     assert (0.0, 0.0, math.inf) in roc and full[-1] == (1.0, 1.0, 0.1)
     assert set(roc) <= set(full) and len(full) == 5
     for t in (0.9, 0.8, 0.4, 0.1):
         kept = s >= t
         assert ((1 - y)[kept].sum() / 3, y[kept].sum() / 3, t) in full
-    pr = [tuple(r) for r in mx.pr_curve(df, one_task_rows=limit).collect()]
+    pr = [tuple(r) for r in mx.pr_curve(df, ranges=limit).collect()]
     assert (1.0, 0.0, None) in pr and (3 / 5, 1.0, 0.4) in pr and len(pr) == 5
 
 
@@ -125,3 +125,18 @@ def test_metrics_by_group(spark):
     df = table(spark, [0, 1, 0, 1], [0.1, 0.9, 0.9, 0.1]).selectExpr("*", "if(score = 0.9 and label = 1 or score = 0.1 and label = 0, 'a', 'b') as g")
     got = {r["g"]: r["roc_auc"] for r in mx.roc_auc(df, by=["g"]).collect()}
     assert got == {"a": 1.0, "b": 0.0}
+
+
+@pytest.mark.parametrize("measure", [mx.classification_metrics, mx.ranking_metrics, mx.roc_curve, mx.calibration_bins, mx.classification_report])
+def test_nulls_are_refused(spark, measure):
+    df = spark.createDataFrame([(1, 1, 0.9), (0, 0, 0.1), (None, None, None)], "label int, prediction int, score double")
+    with pytest.raises(Exception, match="null among"):
+        measure(df).collect()
+
+
+def test_reports_on_edges(spark):
+    df = spark.createDataFrame([(1, 1, 1.0), (0, 0, 0.0), (1, 0, 0.5), (0, 1, 0.55)], "label int, prediction int, score double")
+    sweep = {r.threshold: (r.tp, r.fp, r.fn, r.tn) for r in mx.threshold_sweep(df, [0.0, 0.5, 1.0]).collect()}
+    assert sweep == {0.0: (2, 1, 0, 1), 0.5: (1, 1, 1, 1), 1.0: (0, 0, 2, 2)}
+    assert sorted((r.bin, r.n) for r in mx.calibration_bins(df).collect()) == [(0, 1), (5, 2), (9, 1)]
+    assert sum(r.uncertain for r in mx.low_confidence(df).collect()) == 2

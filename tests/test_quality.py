@@ -110,3 +110,21 @@ def test_verdicts_and_gate(spark, tmp_path):
     assert error.value.failures == ["bad: between(n)"]
     q.write_results(both, str(tmp_path / "results"))
     assert spark.read.json(str(tmp_path / "results")).count() == 4
+
+
+@pytest.mark.parametrize("detail", [q.SUMMARY, q.COMPLETE])
+def test_details_of_suites_without_value_checks(spark, detail):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, None)], "id int, v string")
+    rows = {r["check"]: r for r in q.validate(df, "s", [q.unique("id"), q.not_null("v")], detail).collect()}
+    assert rows["unique(id)"]["partial_unexpected"] == ["1"] and not rows["unique(id)"]["success"]
+    assert rows["not_null(v)"]["partial_unexpected"] is None and rows["not_null(v)"]["unexpected_count"] == 1
+    bare = q.validate(df, "s", [q.not_null("v"), q.row_count(1, 9)], detail).collect()
+    assert [r["partial_unexpected"] for r in bare] == [None, None]
+
+
+def test_failing_rows_show_repeated_values(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "7"), (None, "c"), (None, "c")], "id int, v string")
+    checks = [q.unique("id"), q.matches("v", "^[a-z]$")]
+    got = sorted((r["id"], r["v"], r["failed_checks"]) for r in q.failing_rows(df, checks).collect())
+    assert got == [(1, "a", ["unique(id)"]), (1, "b", ["unique(id)"]), (2, "7", ["matches(v)"])]
+    assert q.failing_rows(df, [q.row_count(0, 9)]).count() == 0
