@@ -26,6 +26,8 @@ def arguments() -> argparse.ArgumentParser:
         if crm:
             sub.add_argument("--crm-path", help="folder with subscribers, tags and transactions")
             sub.add_argument("--jdbc-url", help="database with Subscribers, Tags and Transactions")
+            sub.add_argument("--jdbc-split", action="append", default=[], type=tables.Split.parse,
+                             metavar="TABLE:KEY:LOW:HIGH[:PARTITIONS]", help="how the scan of a database table is cut, for each of the three")
             sub.add_argument("--database", help="catalog database with the three tables")
         return sub
 
@@ -93,7 +95,7 @@ def crm_tables(spark: SparkSession, args: argparse.Namespace) -> tables.CrmTable
     if args.crm_path:
         return tables.crm_from_files(spark, args.crm_path, args.format)
     if args.jdbc_url:
-        return tables.crm_from_jdbc(spark, args.jdbc_url)
+        return tables.crm_from_jdbc(spark, args.jdbc_url, dict(args.jdbc_split))
     return tables.crm_from_catalog(spark, args.database)
 
 

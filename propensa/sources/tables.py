@@ -35,27 +35,35 @@ def read_table(
     return reader.format(fmt).load(path)
 
 
-def read_jdbc(
-    spark: SparkSession,
-    url: str,
-    table: str,
-    key: str | None = None,
-    bounds: tuple[int, int] | None = None,
-    partitions: int = 64,
-    **options: str,
-) -> DataFrame:
-    """Scan a database table; with a numeric key and its bounds the scan is split into ranges."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options)
-    if key is not None:
-        if bounds is None:
-            raise ValueError("a split scan needs the bounds of its key")
-        reader = (
-            reader.option("partitionColumn", key)
-            .option("lowerBound", bounds[0])
-            .option("upperBound", bounds[1])
-            .option("numPartitions", partitions)
-        )
-    return reader.load()
+@dataclass(frozen=True)
+class Split:
+    """How the scan of a database table is cut into ranges: a numeric key, its bounds, the number of ranges."""
+
+    key: str
+    low: int
+    high: int
+    partitions: int = 64
+
+    @classmethod
+    def parse(cls, text: str) -> tuple[str, Split]:
+        """``TABLE:KEY:LOW:HIGH`` or ``TABLE:KEY:LOW:HIGH:PARTITIONS``."""
+        table, key, *numbers = text.split(":")
+        if not key or len(numbers) not in (2, 3):
+            raise ValueError(f"{text!r} is not TABLE:KEY:LOW:HIGH[:PARTITIONS]")
+        return table, cls(key, *map(int, numbers))
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, split: Split, fetch_size: int = 10_000, **options: str) -> DataFrame:
+    """Scan a database table by ranges of a key: one connection and one task for each, read in blocks of ``fetch_size`` rows."""
+    return (
+        spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options)
+        .option("partitionColumn", split.key)
+        .option("lowerBound", split.low)
+        .option("upperBound", split.high)
+        .option("numPartitions", split.partitions)
+        .option("fetchsize", fetch_size)
+        .load()
+    )
 
 
 def crm_from_files(spark: SparkSession, folder: str, fmt: str = "parquet") -> CrmTables:
@@ -77,19 +85,12 @@ def crm_from_catalog(spark: SparkSession, database: str | None = None) -> CrmTab
     )
 
 
-def crm_from_jdbc(
-    spark: SparkSession,
-    url: str,
-    bounds: dict[str, tuple[str, tuple[int, int]]] | None = None,
-    **options: str,
-) -> CrmTables:
-    """CRM tables in a database; ``bounds`` maps a table to its split key and key range."""
-
-    def scan(table: str) -> DataFrame:
-        key, limits = (bounds or {}).get(table, (None, None))
-        return read_jdbc(spark, url, table, key, limits, **options)
-
-    return CrmTables(scan("Subscribers"), scan("Tags"), scan("Transactions"))
+def crm_from_jdbc(spark: SparkSession, url: str, splits: dict[str, Split], **options: str) -> CrmTables:
+    """CRM tables in a database; ``splits`` holds how each of the three is cut."""
+    names = ["Subscribers", "Tags", "Transactions"]
+    if missing := [n for n in names if n not in splits]:
+        raise ValueError(f"no split key and bounds for {', '.join(missing)}: the whole table would be one task")
+    return CrmTables(*[read_jdbc(spark, url, n, splits[n], **options) for n in names])
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
