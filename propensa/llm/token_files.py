@@ -282,7 +282,7 @@ def document(spark: SparkSession, files: TokenFiles, doc_id: int) -> list[list[i
     rows = segments.where((F.col("first_doc") <= doc_id) & (F.col("last_doc") >= doc_id)).orderBy("shard", "segment")
     found = []
     for row in rows.toLocalIterator():
-        index = np.frombuffer(bytes(row.index), INDEX)
+        index = np.frombuffer(bytes(row["index"]), INDEX)
         own = index[index["doc_id"] == doc_id]
         found += [ids.tolist() for _, ids in unpack(own.tobytes(), bytes(row.frames), dictionary, row.dictionary, kind)]
     return found

@@ -187,14 +187,15 @@ class Trees:
 
 def isotonic(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Margins and non-decreasing probabilities at them, by pooling adjacent violators."""
-    order = np.lexsort((y, margin))
+    values, place, counts = np.unique(margin, return_inverse=True, return_counts=True)
+    sums = np.bincount(place, y, len(values))
     blocks: list[list[float]] = []  # sum, count, lowest and highest margin
-    for m, t in zip(margin[order], y[order], strict=True):
-        blocks.append([t, 1, m, m])
-        while len(blocks) > 1 and (blocks[-2][3] == blocks[-1][2] or blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]):
+    for s, c, m in zip(sums.tolist(), counts.tolist(), values.tolist(), strict=True):
+        blocks.append([s, c, m, m])
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
             s, c, _, high = blocks.pop()
             blocks[-1] = [blocks[-1][0] + s, blocks[-1][1] + c, blocks[-1][2], high]
-    return (np.array([b[i] for b in blocks for i in (2, 3)]), np.repeat([b[0] / b[1] for b in blocks], 2))
+    return np.array([b[i] for b in blocks for i in (2, 3)]), np.repeat([b[0] / b[1] for b in blocks], 2)
 
 
 @dataclass

@@ -71,7 +71,7 @@ def test_another_dictionary_is_refused(spark):
     held = spark.read.parquet(files.dictionary).first()
     assert len(held.dictionary) > 1000 and held.sha256 == row.dictionary
     with pytest.raises(ValueError, match="another dictionary"):
-        list(token_files.unpack(bytes(row.index), bytes(row.frames), b"other", row.dictionary, np.dtype("<u2")))
+        list(token_files.unpack(bytes(row["index"]), bytes(row.frames), b"other", row.dictionary, np.dtype("<u2")))
 
 
 def test_empty_table(spark):
