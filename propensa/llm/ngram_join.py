@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -219,15 +219,21 @@ def prefixes(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = T
         describe, "doc_id long, n long, set1 long, set2 long, head long, prefix array<long>"))
 
 
-def _enough(common, n, m, threshold: tuple[int, int]):
-    """Whether sets of sizes n and m with so many prefix shingles in common can be similar enough.
+def _needed(n: Column, m: Column, threshold: tuple[int, int]) -> Column:
+    """Prefix shingles that similar sets of sizes n and m have in common at least.
 
     Common shingles outside both prefixes lie in the rest of the set whose prefix
     ends first, so they are no more than the larger rest.
     """
     part, whole = threshold
     rest = F.greatest(F.ceil(n * part / whole), F.ceil(m * part / whole)) - 1
-    return ((common + rest) * (part + whole) >= (n + m) * part) & (n * whole >= m * part) & (m * whole >= n * part)
+    return F.greatest(F.lit(1), F.ceil((n + m) * part / (part + whole)) - rest)
+
+
+def _enough(common: Column, n: Column, m: Column, threshold: tuple[int, int]) -> Column:
+    """Whether sets of sizes n and m with so many prefix shingles in common can be similar enough."""
+    part, whole = threshold
+    return (common >= _needed(n, m, threshold)) & (n * whole >= m * part) & (m * whole >= n * part)
 
 
 def _ids_of(pairs: DataFrame) -> DataFrame:
@@ -274,19 +280,24 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int = WIDTH, threshold: t
 
 
 def _postings(rows: DataFrame) -> DataFrame:
-    """(shingle, gid, n) of groups, for shingles in the prefixes of two groups or more, with two leading groups.
+    """(shingle, gid, n, left) of groups, for shingles in the prefixes of two groups or more, with two leading groups.
 
-    A leader is the first group of the list in a band of sizes; two sets of
-    bands overlap, so sizes that one set parts meet in the other. Written once.
+    A leader is the group of the list, in a band of sizes, that stands in most lists: among near copies
+    that is one with few changes of its own, which is similar to most others. Two
+    sets of bands overlap, so sizes that one set parts meet in the other. Written once.
     """
     groups = rows.groupBy("n", "head").agg(F.min("doc_id").alias("gid"), F.first("prefix").alias("prefix"))
-    entries = groups.select("gid", "n", F.explode("prefix").alias("shingle"))
-    entries = entries.withColumn("groups", F.count("*").over(Window.partitionBy("shingle"))).where("groups > 1")
+    entries = groups.select("gid", "n", F.size("prefix").alias("size"), F.posexplode("prefix").alias("at", "shingle"))
+    # Shingles of the prefix from this one on; those that stand in no other row come first and are not in it.
+    entries = entries.select("shingle", "gid", "n", (F.col("size") - F.col("at")).alias("left"))
+    entries = stored(entries.withColumn("groups", F.count("*").over(Window.partitionBy("shingle"))).where("groups > 1").drop("groups"))
+    entries = entries.join(entries.groupBy("gid").agg(F.count("*").alias("lists")), "gid")
     band = F.log(1.25, F.col("n"))
     for name, shift in (("first", 0.0), ("second", 0.5)):
+        most = F.max(F.struct("lists", (-F.col("gid")).alias("back"), "n")).over(Window.partitionBy("shingle", "_band"))
         entries = entries.withColumn("_band", F.floor(band + shift)).withColumn(
-            name, F.min(F.struct("gid", "n")).over(Window.partitionBy("shingle", "_band")))
-    return stored(entries.select("shingle", "gid", "n", "first", "second"))
+            name, F.struct((-most["back"]).alias("gid"), most["n"].alias("n")))
+    return stored(entries.select("shingle", "gid", "n", "left", "first", "second"))
 
 
 def _leading_pairs(postings: DataFrame, threshold: tuple[int, int]) -> DataFrame:
@@ -313,22 +324,30 @@ def _remaining_pairs(postings: DataFrame, members: DataFrame, labels: DataFrame,
     # A group of several components gets a component of its own kind: it differs from all, itself included.
     groups = named.groupBy("gid").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     groups = groups.select("gid", F.when(F.col("low") == F.col("high"), F.col("low")).alias("component"))
-    entries = postings.select("shingle", "gid", "n").join(groups, "gid")
+    entries = postings.select("shingle", "gid", "n", "left").join(groups, "gid")
     sizes = entries.withColumn("_in", F.count("*").over(Window.partitionBy("shingle", "component")))
     largest = F.max(F.when(F.col("component").isNotNull(), F.struct("_in", "component"))).over(Window.partitionBy("shingle"))
     sizes = sizes.withColumn("_largest", largest).withColumn("_all", F.count("*").over(Window.partitionBy("shingle")))
     mixed_lists = sizes.where(F.col("_largest").isNull() | (F.col("_largest._in") < F.col("_all")))
-    mixed_lists = stored(mixed_lists.select("shingle", "gid", "n", "component", F.col("_largest.component").alias("main")))
+    mixed_lists = stored(mixed_lists.select("shingle", "gid", "n", "left", "component", F.col("_largest.component").alias("main")))
     left = mixed_lists.where(F.col("component").isNull() | (F.col("component") != F.col("main"))).select(
-        "shingle", F.col("gid").alias("g"), F.col("n").alias("gn"), F.col("component").alias("gc"))
-    right = mixed_lists.select("shingle", F.col("gid").alias("h"), F.col("n").alias("hn"), F.col("component").alias("hc"), "main")
+        "shingle", F.col("gid").alias("g"), F.col("n").alias("gn"), F.col("left").alias("gl"), F.col("component").alias("gc"))
+    right = mixed_lists.select("shingle", F.col("gid").alias("h"), F.col("n").alias("hn"), F.col("left").alias("hl"),
+                               F.col("component").alias("hc"), "main")
     apart = F.col("gc").isNull() | F.col("hc").isNull() | (F.col("gc") != F.col("hc"))
     # Both outside the main component meet twice; the first order is kept.
     once = (F.col("g") < F.col("h")) | (F.col("hc") == F.col("main"))
-    part, whole = threshold
-    sized = (F.col("gn") * whole >= F.col("hn") * part) & (F.col("hn") * whole >= F.col("gn") * part)
-    met = left.join(right, "shingle").where(F.col("g") != F.col("h")).where(apart & sized & once)
-    shared = met.groupBy("g", "h", "gn", "hn").agg(F.count("*").alias("common"))
+    # The lists that a group shares with any group of some size bound what it shares with one of them.
+    sizes = right.select("shingle", "hn").distinct()
+    sized = left.join(sizes, "shingle").groupBy("g", "gn", "hn").agg(F.count("*").alias("common"))
+    sized = stored(sized.where(_enough(F.col("common"), F.col("gn"), F.col("hn"), threshold)).select("g", "hn"))
+    # The first shingle that a pair has in common stands where both prefixes have as many left as it needs.
+    need = _needed(F.col("gn"), F.col("hn"), threshold)
+    met = left.join(sized, "g").join(right, ["shingle", "hn"]).where(F.col("g") != F.col("h")).where(
+        apart & once & (F.col("gl") >= need) & (F.col("hl") >= need))
+    met = stored(met.select("g", "h", "gn", "hn").distinct())
+    lists = lambda name: mixed_lists.select(F.col("gid").alias(name), "shingle")
+    shared = met.join(lists("g"), "g").join(lists("h"), ["h", "shingle"]).groupBy("g", "h", "gn", "hn").agg(F.count("*").alias("common"))
     shared = shared.where(_enough(F.col("common"), F.col("gn"), F.col("hn"), threshold)).select("g", "h")
     one = named.select(F.col("gid").alias("g"), F.col("rep").alias("a"), F.col("component").alias("ac"))
     two = named.select(F.col("gid").alias("h"), F.col("rep").alias("b"), F.col("component").alias("bc"))
