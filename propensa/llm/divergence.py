@@ -27,10 +27,10 @@ from propensa.session import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\f\r"
-SYMBOLS = "#*$%&|<>"
-EDGES = ".,;:!?"
+NO_SYMBOLS = r"[^#*$%&|<>]+"
+END_MARKS = r"[.,;:!?]+(?=[ \t-\r]|\z)"  # of a word
 # Character classes by what is left when all others are removed; the rest of the text is a class too.
-CLASSES = {"upper": r"\P{Lu}+", "letter": r"\P{L}+", "digit": r"\P{N}+", "punctuation": r"\P{P}+"}
+CLASSES = {"upper": r"\P{Lu}+", "letter": r"\P{L}+", "digit": r"\P{N}+", "punctuation": r"\P{P}+", "space": WORD}
 COMMON_WORDS = 24
 LEAST_WORDS = 50  # a shorter text fails
 LEAST_HISTOGRAM_WORDS = 100  # fewer words say nothing about common words
@@ -44,15 +44,15 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.length(F.translate(text, characters, ""))
+def _only(text: Column, others: str) -> Column:
+    """Number of characters left when all runs of ``others`` are removed."""
+    return F.length(F.regexp_replace(text, others, ""))
 
 
 def class_counts(text: Column) -> Column:
     """Array of counts: upper-case letters, other letters, digits, punctuation, white space, the rest."""
-    left = {name: F.length(F.regexp_replace(text, pattern, "")) for name, pattern in CLASSES.items()}
-    whole = F.length(text)
-    return bound(F.array(left["upper"], left["letter"], left["digit"], left["punctuation"], whole - _without(text, SPACES), whole), lambda c: F.array(
+    left = F.array(*[_only(text, pattern) for pattern in CLASSES.values()], F.length(text))
+    return bound(left, lambda c: F.array(
         F.get(c, F.lit(0)), F.get(c, F.lit(1)) - F.get(c, F.lit(0)), F.get(c, F.lit(2)), F.get(c, F.lit(3)), F.get(c, F.lit(4)),
         F.get(c, F.lit(5)) - F.get(c, F.lit(1)) - F.get(c, F.lit(2)) - F.get(c, F.lit(3)) - F.get(c, F.lit(4))))
 
@@ -80,18 +80,27 @@ def repeated_words(words: Column) -> Column:
 
 def duplicate_lines(text: Column) -> Column:
     """Number of lines with a word that equal an earlier line."""
-    worded = F.filter(F.split(text, r"\n"), lambda line: _without(line, SPACES) > 0)
+    worded = F.filter(F.split(text, r"\n"), lambda line: line.rlike(WORD))
     return bound(worded, lambda lines: F.size(lines) - F.size(F.array_distinct(lines)))
 
 
-def plain(words: Column) -> Column:
-    """Words as they are counted: lower case, without marks at the end."""
-    return F.transform(words, lambda w: F.lower(F.rtrim(w, F.lit(EDGES))))
+def words_of(text: Column) -> Column:
+    """Array of a text's words."""
+    return bound(F.btrim(text, F.lit(SPACES)), lambda t: F.when(t != "", F.split(t, r"[ \t-\r]+")).otherwise(F.array().cast("array<string>")))
+
+
+def plain_words(text: Column) -> Column:
+    """The words as they are counted: lower case, without marks at the end; a word of marks only is left out."""
+    return words_of(F.regexp_replace(F.lower(text), END_MARKS, ""))
 
 
 def _shares(counts: Column) -> Column:
-    total = F.aggregate(counts, F.lit(0).cast("double"), lambda n, c: n + c)
-    return bound(total, lambda t: F.transform(counts, lambda c: F.when(t > 0, c / t).otherwise(F.lit(0.0))))
+    """Counts over their sum."""
+    def divided(n: Column) -> Column:
+        total = F.aggregate(n, F.lit(0).cast("double"), lambda t, c: t + c)
+        return bound(total, lambda t: F.transform(n, lambda c: F.when(t > 0, c / t).otherwise(F.lit(0.0))))
+
+    return bound(counts, divided)
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -105,23 +114,18 @@ def _text(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
 
 
-def _all_words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-
-
 def references(docs: DataFrame) -> DataFrame:
     """Per language: n_words, class_shares, words (the most common), word_shares (of them, and of all others). Written once."""
     rows = _text(docs)
-    classes = rows.select("lang", F.posexplode(class_counts(F.col("text")))).groupBy("lang", "pos").agg(F.sum("col").alias("n"))
-    classes = classes.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "n"))), lambda x: x["n"]).alias("classes"))
-    counts = rows.select("lang", F.explode(plain(_all_words(F.col("text")))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
-    counts = stored(counts.where("n > 1 or word = ''").unionByName(
-        counts.where("n = 1 and word != ''").groupBy("lang").agg(F.lit(None).cast("string").alias("word"), F.count("*").alias("n"))))
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("n_words"))
+    sums = [F.sum(F.get("classes", F.lit(i))).alias(f"n{i}") for i in range(len(CLASSES) + 1)]
+    totals = rows.select("lang", class_counts(F.col("text")).alias("classes"), F.size(words_of(F.col("text"))).alias("n_words"))
+    totals = totals.groupBy("lang").agg(*sums, F.sum("n_words").alias("n_words"))
+    totals = totals.select("lang", "n_words", F.array(*[f"n{i}" for i in range(len(sums))]).alias("classes"))
+    counts = rows.select("lang", F.explode(plain_words(F.col("text"))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    top = counts.where("word != ''").withColumn("rank", rank).where(F.col("rank") <= COMMON_WORDS)
+    top = counts.withColumn("rank", rank).where(F.col("rank") <= COMMON_WORDS)
     top = top.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
-    joined = classes.join(totals, "lang").join(top, "lang")
+    joined = totals.join(top, "lang")
     some = F.aggregate("top", F.lit(0).cast("long"), lambda n, t: n + t["n"])
     return stored(joined.select(
         "lang", "n_words", _shares(F.col("classes")).alias("class_shares"),
@@ -138,7 +142,7 @@ def judge(docs: DataFrame) -> DataFrame:
 
     def word_counts(words: Column) -> Column:
         top = F.col("words")
-        hits = F.filter(plain(words), lambda w: F.array_contains(top, w))
+        hits = F.filter(plain_words(text), lambda w: F.array_contains(top, w))
         counts = bound(hits, lambda h: F.transform(top, lambda t: F.size(F.filter(h, lambda w: w == t))))
         return bound(counts, lambda c: F.concat(c, F.array(F.size(words) - F.aggregate(c, F.lit(0), lambda n, x: n + x))))
 
@@ -148,14 +152,16 @@ def judge(docs: DataFrame) -> DataFrame:
             F.size(words).cast("long").alias("n_words"), repeated_words(words).cast("long").alias("n_repeat_words"),
             F.when(judged, distance(_shares(word_counts(words)), F.col("word_shares"))).alias("word_distance"))
 
+    def classed(counts: Column) -> Column:
+        return F.struct(
+            (F.length(text) - F.get(counts, F.lit(4))).cast("long").alias("word_chars"),
+            F.when(F.col("words").isNotNull(), distance(_shares(counts), F.col("class_shares"))).alias("class_distance"))
+
     rows = rows.select(
-        "doc_id", bound(_all_words(text), measured).alias("m"),
-        _without(text, SPACES).cast("long").alias("word_chars"),
-        (F.length(text) - _without(text, SYMBOLS)).cast("long").alias("n_symbols"),
-        duplicate_lines(text).cast("long").alias("n_dup_lines"),
-        F.when(F.col("words").isNotNull(), distance(_shares(class_counts(text)), F.col("class_shares"))).alias("class_distance"))
+        "doc_id", bound(words_of(text), measured).alias("m"), bound(class_counts(text), classed).alias("c"),
+        _only(text, NO_SYMBOLS).cast("long").alias("n_symbols"), duplicate_lines(text).cast("long").alias("n_dup_lines"))
     failed = (F.col("m.n_words") < LEAST_WORDS) | (100 * F.col("m.n_repeat_words") > 50 * F.col("m.n_words"))
-    near = (F.coalesce("class_distance", F.lit(0.0)) <= MOST_CLASS_DISTANCE) & (
+    near = (F.coalesce("c.class_distance", F.lit(0.0)) <= MOST_CLASS_DISTANCE) & (
         F.coalesce("m.word_distance", F.lit(0.0)) <= MOST_WORD_DISTANCE)
-    return rows.select("doc_id", "m.n_words", "word_chars", "n_symbols", "n_dup_lines", "m.n_repeat_words",
-                       failed.alias("base_failed"), "class_distance", "m.word_distance", (~failed & near).alias("kept"))
+    return rows.select("doc_id", "m.n_words", "c.word_chars", "n_symbols", "n_dup_lines", "m.n_repeat_words",
+                       failed.alias("base_failed"), "c.class_distance", "m.word_distance", (~failed & near).alias("kept"))
