@@ -391,7 +391,13 @@ def leaderboard(
     results = spark.createDataFrame(
         rows, "model string, part int, " + ", ".join(f"{m} double" for m in measures)
     )
-    board = results.groupBy("model").agg(*[F.avg(m).alias(m) for m in measures]).orderBy(F.desc(sort), "model")
+    return ranked_board(results, measures, sort, n_select)
+
+
+def ranked_board(results: DataFrame, measures: Sequence[str], sort: str = "f1", n_select: int | None = None) -> DataFrame:
+    """Means per model over its parts, best first, and how many parts have the measure sorted by; the first ``n_select``."""
+    board = results.groupBy("model").agg(*[F.avg(m).alias(m) for m in measures], F.count(sort).cast("int").alias("parts"))
+    board = board.orderBy(F.desc(sort), "model")
     return board if n_select is None else board.limit(n_select)
 
 

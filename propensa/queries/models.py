@@ -19,13 +19,14 @@ from propensa.queries.leads import exact_folds
 from propensa.queries.twins import TAG_COLUMNS, with_tables
 from propensa.session import ensure_checkpoint_dir, scratch_path, stored
 from propensa.sources.registry import ModelRegistry, ScoringModel
+from propensa.sources.schemas import lead_schema
+from propensa.sources.standins import source
+from propensa.sources.tables import read_table
 from propensa.streaming.scoring import lead_stream, start_features, start_scoring
 
-# A short search: the ranges of the full one, but fewer trees and trials.
-SPACE = {**ln.SEARCH_SPACE, "n_estimators": ("integer", 5, 11)}
-N_TRIALS = 3
-PARAMS = {"max_depth": 3, "learning_rate": 0.1, "n_estimators": 10, "subsample": 1.0, "colsample_bytree": 1.0}
-COMPARE = ln.CompareSetup(folds=2, iterations=5)
+# Parameters of the published best trial.
+PARAMS = {"max_depth": 3, "learning_rate": 0.11281, "n_estimators": 163, "subsample": 0.9912, "colsample_bytree": 0.9679}
+COMPARE = ln.CompareSetup()
 LOOKED_UP_ID = 5
 REFERENCE_DATE = datetime(2020, 1, 1)
 
@@ -73,7 +74,7 @@ def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, table = _featurized(spark, sf_dir)
-    return ln.run_trials(table, ln.sample_trials(N_TRIALS, space=SPACE))
+    return ln.run_trials(table, ln.sample_trials())
 
 
 def class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +148,53 @@ def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
+def request_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leads as JSON records, one object a line, read back under the scoring schema."""
+    leads = lead_queries.raw_table(spark, sf_dir)
+    tags = [c for c in leads.columns if c.startswith("tag_") and c != "tag_count"]
+    path = scratch_path(spark, "requests")
+    leads.select("user_email", F.col("optin_time").cast("string"), "country_code", "member_rating", "tag_count", *tags).write.json(path)
+    return read_table(spark, path, "json", lead_schema(tags))
+
+
+def score_by_email(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leads = lead_queries.raw_table(spark, sf_dir)
+    email = leads.where(F.col("mailchimp_id") == LOOKED_UP_ID).select("user_email").first()["user_email"]
+    return scoring.score_by_email(_model(spark, sf_dir), leads, email)
+
+
+def scores_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold for any fitted model: every lead has one score from 0 to 1, and its class is the likelier one."""
+    return class_scores(spark, sf_dir).agg(
+        F.count("*").alias("n"), F.count_distinct("mailchimp_id").alias("leads"),
+        F.every(F.col("prediction_score_0").between(0, 1) & F.col("prediction_score_1").between(0, 1)).alias("in_range"),
+        F.every(F.abs(F.col("prediction_score_0") + F.col("prediction_score_1") - 1) < 1e-9).alias("add_up"),
+        F.every((F.col("prediction_label") == 1) == (F.col("prediction_score_1") > F.col("prediction_score_0"))).alias("likelier"),
+    )
+
+
+def given_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trial log with a row per customer, to rank trials without fitting any."""
+    return source(spark, sf_dir, "customer").selectExpr(
+        "cast(c_custkey as int) as trial_id", "cast(3 + c_custkey % 5 as int) as max_depth", "c_custkey % 30 / 100D as learning_rate",
+        "cast(50 + c_custkey % 150 as int) as n_estimators", "0.7D as subsample", "0.9D as colsample_bytree",
+        "c_custkey * 7919 % 1009 / 1024D as roc_auc")
+
+
+def given_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measured parts of a comparison with a row per order, some without the measure."""
+    return source(spark, sf_dir, "orders").selectExpr(
+        "concat('model-', o_custkey % 23) as model", "if(o_orderkey % 7 = 0, null, o_orderkey * 7919 % 1009 / 1024D) as f1",
+        "o_orderkey % 512 / 512D as recall")
+
+
 QUERIES = {
+    "request_records": request_records,
+    "score_by_email": score_by_email,
+    "scores_in_order": scores_in_order,
+    "trial_summary_given": lambda s, d: ln.trial_summary(given_trials(s, d)),
+    "board_given": lambda s, d: ln.ranked_board(given_results(s, d), ["f1", "recall"]),
+    "board_top_given": lambda s, d: ln.ranked_board(given_results(s, d), ["f1", "recall"], sort="recall", n_select=5),
     "gbt_scores": gbt_scores,
     "trials": trials,
     "trial_summary": lambda s, d: ln.trial_summary(trials(s, d)),
@@ -175,7 +222,30 @@ _ASSEMBLED = ", ".join(
 )
 _POSITIONS = ", ".join(f"('{n}', {i})" for i, n in enumerate(_FEATURES))
 
+_BOARD = """
+    select model, avg(f1) as f1, avg(recall) as recall, cast(count({sort}) as int) as parts
+    from (select concat('model-', o_custkey % 23) as model,
+                 case when o_orderkey % 7 = 0 then null else o_orderkey * 7919 % 1009 / 1024.0::double end as f1,
+                 o_orderkey % 512 / 512.0::double as recall from orders)
+    group by model order by avg({sort}) desc nulls last, model"""
+
 SQL = {
+    "request_records": with_tables("leads_raw") + f"""
+        select user_email, cast(optin_time as varchar) as optin_time, country_code, member_rating, cast(tag_count as int) as tag_count,
+               {', '.join(TAG_COLUMNS)}
+        from leads_raw""",
+    "scores_in_order": with_tables("leads_raw") + """
+        select count(*) as n, count(distinct mailchimp_id) as leads, true as in_range, true as add_up, true as likelier from leads_raw""",
+    "trial_summary_given": """
+        with trials as (
+            select c_custkey as trial_id, cast(3 + c_custkey % 5 as int) as max_depth, c_custkey % 30 / 100.0::double as learning_rate,
+                   cast(50 + c_custkey % 150 as int) as n_estimators, c_custkey * 7919 % 1009 / 1024.0::double as roc_auc
+            from customer)
+        select (select count(*) from trials) as n_trials, roc_auc as best_roc_auc, (select avg(roc_auc) from trials) as mean_roc_auc,
+               cast(trial_id as int) as trial_id, max_depth, learning_rate, n_estimators, 0.7::double as subsample, 0.9::double as colsample_bytree
+        from trials order by roc_auc desc, trial_id limit 1""",
+    "board_given": _BOARD.format(sort="f1"),
+    "board_top_given": _BOARD.format(sort="recall") + " limit 5",
     "assembled_matrix": exact_folds("engineered") + f""",
         wide as (select mailchimp_id, made_purchase, {_ASSEMBLED} from engineered),
         long as (unpivot wide on {', '.join(_FEATURES)} into name feature value value),
