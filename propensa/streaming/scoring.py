@@ -13,11 +13,14 @@ from propensa.plans.scoring import score_leads
 from propensa.sources.registry import ScoringModel
 
 def lead_stream(
-    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", max_bytes: int | None = None
+    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", max_bytes: int | None = None, max_files: int | None = None
 ) -> DataFrame:
-    """Leads from files dropped into a folder, at most about ``max_bytes`` per micro-batch if given."""
-    reader = spark.readStream.schema(schema).format(fmt)
-    return (reader if max_bytes is None else reader.option("maxBytesPerTrigger", max_bytes)).load(path)
+    """Leads from files dropped into a folder; a micro-batch is bounded in bytes or files only if asked for."""
+    if max_bytes is not None and max_files is not None:
+        raise ValueError("bound a micro-batch in bytes or in files")
+    bounds = {"maxBytesPerTrigger": max_bytes, "maxFilesPerTrigger": max_files}
+    given = {name: bound for name, bound in bounds.items() if bound is not None}
+    return spark.readStream.schema(schema).format(fmt).options(**given).load(path)
 
 
 def kafka_lead_stream(
