@@ -337,9 +337,16 @@ def _remaining_pairs(postings: DataFrame, members: DataFrame, labels: DataFrame,
     apart = F.col("gc").isNull() | F.col("hc").isNull() | (F.col("gc") != F.col("hc"))
     # Both outside the main component meet twice; the first order is kept.
     once = (F.col("g") < F.col("h")) | (F.col("hc") == F.col("main"))
-    # The lists that a group shares with any group of some size bound what it shares with one of them.
+    # The lists that a group shares with any group of some size, apart from it, bound what it shares with one of them. All its
+    # mixed lists count, also those that its own component leads: there the groups apart from it are those outside that component.
     sizes = right.select("shingle", "hn").distinct()
-    sized = left.join(sizes, "shingle").groupBy("g", "gn", "hn").agg(F.count("*").alias("common"))
+    fits = (F.col("gn") * threshold[1] >= F.col("hn") * threshold[0]) & (F.col("hn") * threshold[1] >= F.col("gn") * threshold[0])
+    outside = left.select("shingle", F.col("gn").alias("hn")).distinct()
+    leading = mixed_lists.where(F.col("component") == F.col("main")).select("shingle", F.col("gid").alias("g"), F.col("n").alias("gn"))
+    leading = leading.join(left.select("g").distinct(), "g", "left_semi")
+    sized = left.join(sizes, "shingle").where(fits).select("g", "gn", "hn").unionByName(
+        leading.join(outside, "shingle").where(fits).select("g", "gn", "hn"))
+    sized = sized.groupBy("g", "gn", "hn").agg(F.count("*").alias("common"))
     sized = stored(sized.where(_enough(F.col("common"), F.col("gn"), F.col("hn"), threshold)).select("g", "hn"))
     # The first shingle that a pair has in common stands where both prefixes have as many left as it needs.
     need = _needed(F.col("gn"), F.col("hn"), threshold)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -66,6 +67,21 @@ def test_near_copies_and_a_shared_passage(spark, near_rows):
     assert result(ngram_join.similar_groups(frame(spark, near_rows))) == plain_components(near_rows)
 
 
+def test_a_bridge_whose_lists_both_components_lead(spark):
+    rows = []
+    for seed in range(60):
+        def words(name, n, seed=seed):
+            return [f"{name}{seed}x{i}" for i in range(n)]
+
+        common, a, b = words("c", 93), words("a", 11), words("b", 11)
+        four = [common + a, words("v", 11) + common[11:] + a, b + common, b + common[:-11] + words("w", 11)]
+        order = random.Random(seed).sample(range(4), 4)
+        rows += [(seed * 10 + i, " ".join(four[k]), "en", "a", 1) for i, k in enumerate(order)]  # 89 of 111 shingles link them in a row
+    want = plain_components(rows)
+    assert {c for *_, c in want} == {seed * 10 for seed in range(60)}
+    assert result(ngram_join.similar_groups(frame(spark, rows))) == want
+
+
 def test_a_coarse_order_gives_the_same_links(spark, near_rows, monkeypatch):
     rows = near_rows[:140] + near_rows[-40:]
     import zstandard
