@@ -16,6 +16,8 @@ Texts do not enter the expressions; for every slot of a host it is aggregated ho
 pages fill it, how much with, how much of that in links, and whether
 all pages say the same. From that and the tags the wrapper's slots are told
 apart: the article, and the rest. A page's text is what its blocks in the article's slots hold.
+That is done for each template of a host: pages whose strongest element named as an article is of one
+rank, and among pages without one, those that the article found first leaves without text, again.
 
 Defined results: a null or empty html, or a page without an article, gives an empty
 text; pages without a host belong to one host of their own; repeated rows get equal results;
@@ -55,7 +57,7 @@ ASIDE_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising b
     consent cookie cookies disqus footer form gdpr header login masthead menu message modal nav navbar navigation newsletter notice
     notices notification overlay pagination popup promo promoted promotion recommended related reply replies respond rss search share
     sharing sidebar signup skip social sponsor sponsored sponsors subscribe subscription tags toolbar widget widgets""".split())
-ARTICLE_TAGS, ARTICLE_NAMES = ("article", "main"), frozenset("article main content post entry story body text".split())
+ARTICLE_NAMES = frozenset("article main content post entry story body text".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|svg|textarea|iframe|select)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*>|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S | re.I)
@@ -219,12 +221,28 @@ def _aside(key: str) -> bool:
     return tag in ASIDE_TAGS or any(n in ASIDE_NAMES for n in names)
 
 
-def article_slots(wrapper: list, slots: dict[int, tuple[int, int, int, bool]]) -> list[int]:
-    """Paths of the wrapper's slots that make the article.
+def _rank(key: str) -> int:
+    """3, 2 or 1 for an element named as an article, 0 for others."""
+    tag, *names = key.split(".")
+    return 3 if tag == "article" else 2 if tag == "main" else 1 if ARTICLE_NAMES & set(names) else 0
+
+
+def strongest(tree: list) -> int:
+    """The highest rank of a page's elements that do not stand aside."""
+    rank, todo = 0, [tree]
+    while todo:
+        key, children = todo.pop()
+        rank = max(rank, _rank(key))
+        todo += [c for c in children if c[0] != "#" and not _aside(c[0])]
+    return rank
+
+
+def article_slots(wrapper: list, slots: dict[int, tuple[int, int, int, bool]]) -> tuple[bool, list[int]]:
+    """Whether the article is named, and the paths of the wrapper's slots that make it.
 
-    ``slots`` holds (pages, characters, characters in links, whether all say the same) by path. The article is under the
-    element named as one that holds most text; without such an element, under the
-    deepest element that holds at least two thirds of the text that is no link and not the same on all pages.
+    ``slots`` holds (pages, characters, characters in links, whether all say the same) by path, of the pages of one
+    template. The article is under the elements of the highest rank that hold a quarter of the text; without such elements,
+    under the deepest element that holds at least two thirds of the text that is no link and not the same on all pages.
     """
     numbers: dict[tuple[int, str], int] = {}
     path_of = Page("", numbers)._path
@@ -233,9 +251,8 @@ def article_slots(wrapper: list, slots: dict[int, tuple[int, int, int, bool]]) -
     todo = [(wrapper, 0, (0,), False)]
     while todo:
         (key, _, children), path, chain, aside = todo.pop()
-        tag, *names = key.split(".") if key else ("",)
-        if not aside and (tag in ARTICLE_TAGS or ARTICLE_NAMES & set(names)):
-            named[path] = 3 if tag == "article" else 2 if tag == "main" else 1
+        if not aside and _rank(key):
+            named[path] = _rank(key)
         for child in children:
             number = path_of(path, child[0])
             if child[0] == "#":
@@ -253,14 +270,14 @@ def article_slots(wrapper: list, slots: dict[int, tuple[int, int, int, bool]]) -
             for element in chain:
                 inside[element] = inside.get(element, 0.0) + weight(slot)
     whole = inside.get(0, 0.0)
-    roots = {e for e, rank in named.items() if rank == max(named.values()) and inside.get(e, 0.0) > 0}
-    if not roots or sum(inside[e] for e in roots) < whole / 4:
-        enough = [chain for slot, chain, aside in found if not aside]
-        best = max(((len(c[: i + 1]), e) for c in enough for i, e in enumerate(c) if inside[e] >= whole * 2 / 3), default=(0, 0))[1]
-        roots = {best}
-        return [s for s, chain, aside in found if not aside and roots & set(chain) and not (
-            slots.get(s, (0, 0, 0, False))[3] and slots[s][0] >= CONSTANT_PAGES)]
-    return [s for s, chain, aside in found if not aside and roots & set(chain)]
+    for rank in sorted(set(named.values()), reverse=True):
+        roots = {e for e, r in named.items() if r == rank and inside.get(e, 0.0) > 0}
+        if roots and sum(inside[e] for e in roots) >= whole / 4:
+            return True, [s for s, chain, aside in found if not aside and roots & set(chain)]
+    enough = [chain for slot, chain, aside in found if not aside]
+    best = max(((len(c[: i + 1]), e) for c in enough for i, e in enumerate(c) if inside[e] >= whole * 2 / 3), default=(0, 0))[1]
+    return False, [s for s, chain, aside in found if not aside and best in chain and not (
+        slots.get(s, (0, 0, 0, False))[3] and slots[s][0] >= CONSTANT_PAGES)]
 
 
 def _rows(columns: list[tuple[list, pa.DataType, str]]) -> pa.RecordBatch:
@@ -268,15 +285,16 @@ def _rows(columns: list[tuple[list, pa.DataType, str]]) -> pa.RecordBatch:
 
 
 def described(pages: DataFrame) -> DataFrame:
-    """Per page: host, expression, slots (path, hash of what it says, chars, linked). Written once."""
+    """Per page: host, rank of its strongest named element, expression, slots (path, hash of what it says, chars, linked). Written once."""
     slot = pa.list_(pa.struct([("path", pa.int64()), ("said", pa.int64()), ("chars", pa.int64()), ("linked", pa.int64())]))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths: dict[tuple[int, str], int] = {}
         for batch in batches:
-            expressions, slots = [], []
+            ranks, expressions, slots = [], [], []
             for source in batch.column("html"):
                 page = Page(source.as_py() or "", paths)
+                ranks.append(strongest(page.tree))
                 expressions.append(json.dumps(expression(page.tree), ensure_ascii=False, separators=(",", ":")))
                 said: dict[int, list] = {}
                 for path, text, linked in page.blocks:
@@ -286,10 +304,10 @@ def described(pages: DataFrame) -> DataFrame:
                     entry[2] += linked
                 slots.append([{"path": p, "said": int.from_bytes(h.digest(), "big", signed=True), "chars": c, "linked": k}
                               for p, (h, c, k) in said.items()])
-            yield _rows([(batch.column("host"), pa.string(), "host"), (expressions, pa.string(), "expression"), (slots, slot, "slots")])
+            yield _rows([(batch.column("host"), pa.string(), "host"), (ranks, pa.int32(), "rank"), (expressions, pa.string(), "expression"), (slots, slot, "slots")])
 
     rows = pages.select(host().alias("host"), "html").mapInArrow(
-        describe, "host string, expression string, slots array<struct<path: long, said: long, chars: long, linked: long>>")
+        describe, "host string, rank int, expression string, slots array<struct<path: long, said: long, chars: long, linked: long>>")
     return stored(rows)
 
 
@@ -298,7 +316,11 @@ def host():
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """Per host: its wrapper (serialized) and the paths of the article's slots. Written once."""
+    """Per host: its wrapper (serialized) and the articles of its templates in the order they were found. Written once.
+
+    An article is (round, rank, whether it is named, paths of its slots). Pages of a rank without a named article that have
+    no text in the article of one round are a template of their own in the next; each round takes two thirds of the text.
+    """
     rows = described(pages)
 
     def folded(table: pa.Table) -> pa.Table:
@@ -308,34 +330,64 @@ def wrappers(pages: DataFrame) -> DataFrame:
     parts = distinct.withColumn("part", F.pmod(F.xxhash64("expression"), F.lit(PARTS)))
     parts = parts.groupBy("host", "part").applyInArrow(folded, "host string, expression string")
     whole = parts.groupBy("host").applyInArrow(folded, "host string, expression string")
-    slots = rows.select("host", F.explode("slots").alias("s")).groupBy("host", "s.path").agg(
-        F.count("*").alias("pages"), F.sum("s.chars").alias("chars"), F.sum("s.linked").alias("linked"),
-        (F.min("s.said") == F.max("s.said")).alias("same"))
-
-    def marked(wrapper: pa.Table, table: pa.Table) -> pa.Table:
-        known = {r["path"]: (r["pages"], r["chars"], r["linked"], r["same"]) for r in table.to_pylist()}
-        text = wrapper.column("expression")[0].as_py()
-        return pa.table({"host": wrapper.column("host").slice(0, 1), "wrapper": [text],
-                         "article": pa.array([article_slots(json.loads(text), known)], pa.list_(pa.int64()))})
-
-    return stored(whole.groupBy("host").cogroup(slots.groupBy("host")).applyInArrow(
-        marked, "host string, wrapper string, article array<long>"))
+    whole = stored(whole)
+
+    def articles(rows: DataFrame, turn: int) -> DataFrame:
+        slots = rows.select("host", "rank", F.explode("slots").alias("s")).groupBy("host", "rank", "s.path").agg(
+            F.count("*").alias("pages"), F.sum("s.chars").alias("chars"), F.sum("s.linked").alias("linked"),
+            (F.min("s.said") == F.max("s.said")).alias("same"))
+
+        def marked(wrapper: pa.Table, table: pa.Table) -> pa.Table:
+            known: dict[int, dict] = {}
+            for r in table.to_pylist():
+                known.setdefault(r["rank"], {})[r["path"]] = (r["pages"], r["chars"], r["linked"], r["same"])
+            tree = json.loads(wrapper.column("expression")[0].as_py())
+            found = [(rank, *article_slots(tree, k)) for rank, k in sorted(known.items())]
+            return pa.table({
+                "host": pa.array([wrapper.column("host")[0].as_py()] * len(found), pa.string()), "round": pa.array([turn] * len(found), pa.int32()),
+                "rank": pa.array([f[0] for f in found], pa.int32()), "named": pa.array([f[1] for f in found], pa.bool_()),
+                "article": pa.array([f[2] for f in found], pa.list_(pa.int64()))})
+
+        return stored(whole.groupBy("host").cogroup(slots.groupBy("host")).applyInArrow(
+            marked, "host string, round int, rank int, named boolean, article array<long>"))
+
+    found, rest, left = [articles(rows, 0)], rows, None
+    while True:
+        rest = rest.join(found[-1].where("not named"), ["host", "rank"]).where(
+            (F.size("slots") > 0) & ~F.arrays_overlap("slots.path", "article")).select(*rows.columns)
+        rest = stored(rest)
+        before, left = left, rest.count()
+        if left == 0 or left == before:
+            break
+        found.append(articles(rest, len(found)))
+    templates = found[0]
+    for more in found[1:]:
+        templates = templates.unionByName(more)
+    templates = templates.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("round", "rank", "named", "article"))).alias("articles"))
+    return stored(whole.withColumnRenamed("expression", "wrapper").join(templates, "host", "left"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) of every page: the blocks of its article, joined by empty lines."""
     ship(pages.sparkSession)
-    known = wrappers(pages).select("host", "article")
+    known = wrappers(pages).select("host", "articles")
     rows = pages.select("page_id", "url", "html", host().alias("host")).join(known, "host", "left")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths: dict[tuple[int, str], int] = {}
         for batch in batches:
             texts = []
-            for source, article in zip(batch.column("html"), batch.column("article"), strict=True):
-                wanted = set(article.as_py() or ())
-                texts.append("\n\n".join(text for path, text, _ in Page(source.as_py() or "", paths).blocks if path in wanted))
+            for source, articles in zip(batch.column("html"), batch.column("articles"), strict=True):
+                page = Page(source.as_py() or "", paths)
+                rank, text = strongest(page.tree), ""
+                for article in articles.as_py() or ():
+                    if article["rank"] == rank and not text:
+                        wanted = set(article["article"])
+                        text = "\n\n".join(said for path, said, _ in page.blocks if path in wanted)
+                        if article["named"]:
+                            break
+                texts.append(text)
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     schema = pages.select("page_id", "url").schema.add("text", "string")
-    return rows.select("page_id", "url", "html", "article").mapInArrow(read, schema)
+    return rows.select("page_id", "url", "html", "articles").mapInArrow(read, schema)

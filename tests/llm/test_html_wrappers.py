@@ -54,6 +54,18 @@ def test_hosts_of_different_make(spark):
         assert got[n] == "\n\n".join(re.sub(r"\s+", " ", w).strip() for w in want), n
 
 
+def test_templates_of_one_host(spark):
+    rows = []
+    for i in range(40):
+        text = prose(400 + i, 30).replace("\n", " ")
+        inner = (f"<article><p>{text}</p></article>", f"<main><p>{text}</p></main>", f"<div class=content><p>{text}</p></div>",
+                 f"<section><p>{text} {text}</p></section>", f"<div class=z><table><tr><td>{text}</table></div>")[max(i % 8 - 3, 0)]
+        want = f"{text} {text}" if i % 8 == 6 else text
+        rows.append((i, f"https://mixed/{i}", page(f"<nav>Menu</nav>{inner}<footer>f {i}</footer>"), want))
+    got = extracted(spark, rows)
+    assert got == {n: want for n, _, _, want in rows}
+
+
 def test_given_pages_hold_their_article(spark, sf_dir):
     got = {r.page_id: r for r in op3_html_text(spark, sf_dir).collect()}
     pages = read(spark, sf_dir, "pages").collect()
