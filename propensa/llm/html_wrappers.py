@@ -14,7 +14,7 @@ repeated, or both, with slots where texts stand. It is inferred by alignment:
 
 Texts do not enter the expressions; for every slot of a host it is aggregated how many
 pages fill it, how much with, how much of that in links, and whether
-all pages say the same. From that and the tags the wrapper's slots are told
+all pages say the same; copies of a page count once. From that and the tags the wrapper's slots are told
 apart: the article, and the rest. A page's text is what its blocks in the article's slots hold.
 That is done for each template of a host: pages whose strongest element named as an article is of one
 rank, and among pages without one, those that the article found first leaves without text, again.
@@ -41,7 +41,7 @@ from propensa.session import stored
 
 PARTS = 32  # salted parts of a host's expressions
 DEEPEST = 60  # deeper nodes count as children of the last level; their text stays
-CONSTANT_PAGES = 5  # as many pages must say the same before it is a host's notice
+CONSTANT_PAGES = 5  # as many different pages must say the same before it is a host's notice
 # Kinds of HTML elements, as the standard names them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp
@@ -50,6 +50,9 @@ CLOSES = {  # an opening tag ends these open elements
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}, "body": {"head"},
 }
+# Kinds of elements that running text is made of; what holds them is the article.
+RUNNING = frozenset("""address blockquote caption dd dl dt figcaption figure h1 h2 h3 h4 h5 h6 li ol p pre table tbody td tfoot th thead
+    tr ul""".split())
 # Elements and names that do not belong to an article.
 ASIDE_TAGS = frozenset("""nav header footer aside form button select option input textarea menu dialog noscript template svg canvas
     iframe object head title figure-credit""".split())
@@ -240,14 +243,17 @@ def strongest(tree: list) -> int:
 def article_slots(wrapper: list, slots: dict[int, tuple[int, int, int, bool]]) -> tuple[bool, list[int]]:
     """Whether the article is named, and the paths of the wrapper's slots that make it.
 
-    ``slots`` holds (pages, characters, characters in links, whether all say the same) by path, of the pages of one
-    template. The article is under the elements of the highest rank that hold a quarter of the text; without such elements,
+    ``slots`` holds (pages, characters, characters in links, whether all say the same) by path, of the different pages of
+    one template. The article is under the elements of the highest rank that hold a quarter of the text; without such elements,
     under the deepest element that holds at least two thirds of the text that is no link and not the same on all pages.
+    What stands under a named element, or where all of a template's text is the same, is no notice. If the deepest element is
+    itself running text, such as a paragraph, the other running text beside it belongs to the article, unless it is mostly links.
     """
     numbers: dict[tuple[int, str], int] = {}
     path_of = Page("", numbers)._path
     found: list[tuple[int, tuple[int, ...], bool]] = []  # slot, chain of elements, whether it stands aside
     named: dict[int, int] = {}  # elements named as an article, with their rank
+    tags = {0: ""}
     todo = [(wrapper, 0, (0,), False)]
     while todo:
         (key, _, children), path, chain, aside = todo.pop()
@@ -255,14 +261,19 @@ def article_slots(wrapper: list, slots: dict[int, tuple[int, int, int, bool]]) -
             named[path] = _rank(key)
         for child in children:
             number = path_of(path, child[0])
+            tags[number] = child[0].split(".")[0]
             if child[0] == "#":
                 found.append((number, chain, aside))
             else:
                 todo.append((child, number, (*chain, number), aside or _aside(child[0])))
 
+    notices = {s for s, chain, _ in found if s in slots and slots[s][3] and slots[s][0] >= CONSTANT_PAGES and not named.keys() & set(chain)}
+    if all(s in notices for s, _, aside in found if s in slots and not aside):
+        notices = set()
+
     def weight(slot: int) -> float:
-        pages, chars, linked, same = slots.get(slot, (0, 0, 0, False))
-        return 0.0 if same and pages >= CONSTANT_PAGES else max(0, chars - 2 * linked)
+        _, chars, linked, _ = slots.get(slot, (0, 0, 0, False))
+        return 0.0 if slot in notices else max(0, chars - 2 * linked)
 
     inside: dict[int, float] = {}
     for slot, chain, aside in found:
@@ -276,8 +287,13 @@ def article_slots(wrapper: list, slots: dict[int, tuple[int, int, int, bool]]) -
             return True, [s for s, chain, aside in found if not aside and roots & set(chain)]
     enough = [chain for slot, chain, aside in found if not aside]
     best = max(((len(c[: i + 1]), e) for c in enough for i, e in enumerate(c) if inside[e] >= whole * 2 / 3), default=(0, 0))[1]
-    return False, [s for s, chain, aside in found if not aside and best in chain and not (
-        slots.get(s, (0, 0, 0, False))[3] and slots[s][0] >= CONSTANT_PAGES)]
+    trunk = next((c[: c.index(best) + 1] for c in enough if best in c), (0,))
+    depth = next((i for i, e in enumerate(trunk) if tags[e] in RUNNING), None)
+
+    def beside(slot: int, chain: tuple[int, ...]) -> bool:
+        return depth is not None and chain[:depth] == trunk[:depth] and len(chain) > depth and tags[chain[depth]] in RUNNING and weight(slot) > 0
+
+    return False, [s for s, chain, aside in found if not aside and s not in notices and (best in chain or beside(s, chain))]
 
 
 def _rows(columns: list[tuple[list, pa.DataType, str]]) -> pa.RecordBatch:
@@ -285,13 +301,13 @@ def _rows(columns: list[tuple[list, pa.DataType, str]]) -> pa.RecordBatch:
 
 
 def described(pages: DataFrame) -> DataFrame:
-    """Per page: host, rank of its strongest named element, expression, slots (path, hash of what it says, chars, linked). Written once."""
+    """Per page: host, rank of its strongest named element, expression, slots (path, hash of what it says, chars, linked) and their hash. Written once."""
     slot = pa.list_(pa.struct([("path", pa.int64()), ("said", pa.int64()), ("chars", pa.int64()), ("linked", pa.int64())]))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths: dict[tuple[int, str], int] = {}
         for batch in batches:
-            ranks, expressions, slots = [], [], []
+            ranks, expressions, slots, wholes = [], [], [], []
             for source in batch.column("html"):
                 page = Page(source.as_py() or "", paths)
                 ranks.append(strongest(page.tree))
@@ -304,10 +320,13 @@ def described(pages: DataFrame) -> DataFrame:
                     entry[2] += linked
                 slots.append([{"path": p, "said": int.from_bytes(h.digest(), "big", signed=True), "chars": c, "linked": k}
                               for p, (h, c, k) in said.items()])
-            yield _rows([(batch.column("host"), pa.string(), "host"), (ranks, pa.int32(), "rank"), (expressions, pa.string(), "expression"), (slots, slot, "slots")])
+                whole = repr([tuple(s.values()) for s in slots[-1]]).encode()
+                wholes.append(int.from_bytes(blake2b(whole, digest_size=8).digest(), "big", signed=True))
+            yield _rows([(batch.column("host"), pa.string(), "host"), (ranks, pa.int32(), "rank"), (expressions, pa.string(), "expression"), (slots, slot, "slots"),
+                         (wholes, pa.int64(), "whole")])
 
     rows = pages.select(host().alias("host"), "html").mapInArrow(
-        describe, "host string, rank int, expression string, slots array<struct<path: long, said: long, chars: long, linked: long>>")
+        describe, "host string, rank int, expression string, slots array<struct<path: long, said: long, chars: long, linked: long>>, whole long")
     return stored(rows)
 
 
@@ -333,7 +352,8 @@ def wrappers(pages: DataFrame) -> DataFrame:
     whole = stored(whole)
 
     def articles(rows: DataFrame, turn: int) -> DataFrame:
-        slots = rows.select("host", "rank", F.explode("slots").alias("s")).groupBy("host", "rank", "s.path").agg(
+        different = rows.where(F.size("slots") > 0).dropDuplicates(["host", "rank", "whole"])
+        slots = different.select("host", "rank", F.explode("slots").alias("s")).groupBy("host", "rank", "s.path").agg(
             F.count("*").alias("pages"), F.sum("s.chars").alias("chars"), F.sum("s.linked").alias("linked"),
             (F.min("s.said") == F.max("s.said")).alias("same"))
 

@@ -66,6 +66,21 @@ def test_templates_of_one_host(spark):
     assert got == {n: want for n, _, _, want in rows}
 
 
+def test_copies_and_near_copies_keep_their_text(spark):
+    def text(seed):
+        return prose(seed, 30).replace("\n", " ")
+
+    rows = []
+    for i in range(8):
+        rows.append((i, f"https://copies/{i}", page(f"<article><p>{text(500)}</p></article>"), text(500)))
+        rows.append((10 + i, f"https://bare/{i}", page(f"<div><p>{text(501)}</p></div>"), text(501)))
+        rows.append((20 + i, f"https://near/{i}", page(f"<article><p>{text(502)}</p></article><p>{i} views</p>"), text(502)))
+        quoted = page(f"<div><p>{text(503)}</p><blockquote>{text(504)}</blockquote></div>")
+        rows.append((30 + i, f"https://quote/{i}", quoted, f"{text(503)}\n\n{text(504)}"))
+        rows.append((40 + i, f"https://quote/o{i}", page(f"<div><p>{text(510 + i)}</p></div>"), text(510 + i)))
+    assert extracted(spark, [r[:4] for r in rows]) == {n: want for n, _, _, want in rows}
+
+
 def test_given_pages_hold_their_article(spark, sf_dir):
     got = {r.page_id: r for r in op3_html_text(spark, sf_dir).collect()}
     pages = read(spark, sf_dir, "pages").collect()
