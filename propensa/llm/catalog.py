@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensa.llm import chat, decontamination, divergence, html_wrappers, language, licenses, mixing, ngram_join, token_files, toxicity
+from propensa.llm import chat, decontamination, divergence, html_wrappers, language, licenses, merkle, mixing, ngram_join, pieces, token_files, toxicity
 from propensa.llm.tables import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 # Both of its turns consist of another template's control strings.
@@ -157,17 +158,20 @@ OP8_SQL = r"""
 with doc as (
   select row_number() over () as r, doc_id, coalesce(text, '') as text, coalesce(lang, '') as lang from documents
 ), worded as (
-  select *, regexp_extract_all(text, '[^ 	-]+') as words from doc
+  select *, regexp_extract_all(text, '[^ 	-
+]+') as words from doc
 ), base as (
   select *, len(words)::bigint as n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::bigint as word_chars,
     (length(text) - length(translate(text, '#*$%&|<>', '')))::bigint as n_symbols,
     length(text) as n, length(regexp_replace(text, '\P{Lu}+', '', 'g')) as up, length(regexp_replace(text, '\P{L}+', '', 'g')) as letter,
     length(regexp_replace(text, '\P{N}+', '', 'g')) as digit, length(regexp_replace(text, '\P{P}+', '', 'g')) as mark,
-    length(regexp_replace(text, '[^ 	-]+', '', 'g')) as space
+    length(regexp_replace(text, '[^ 	-
+]+', '', 'g')) as space
   from worded
 ), line as (
   select r, count(*) - count(distinct line) as n_dup_lines from (select r, unnest(string_split(text, chr(10))) as line from doc)
-  where regexp_matches(line, '[^ 	-]') group by r
+  where regexp_matches(line, '[^ 	-
+]') group by r
 ), part as (
   select r, unnest(range(len(words) - 2)) as i, unnest(list_transform(range(1, len(words) - 1), lambda i: words[i:i + 2])) as three from worded where len(words) > 2
 ), twice as (
@@ -265,6 +269,17 @@ from row left join (select r, max(best) as top, count(*) as n from matched group
 """.replace("@VALUES@", _values())
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = pieces.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), PIECES)
+    coded = ids.withColumn("ids_sha256", F.sha2("ids", 256))
+    decoded = pieces.decode(coded, PIECES)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(merkle.manifest(read(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_token_files": op2_token_files,
@@ -276,6 +291,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_divergence": op8_quality_divergence,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_license_scan": op10_license_scan,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 SQL: dict[str, str] = {
     "op1_chat_format": OP1_SQL,
