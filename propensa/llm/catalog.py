@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensa.llm import chat, decontamination, divergence, html_wrappers, language, licenses, merkle, mixing, ngram_join, pieces, token_files, toxicity
+from propensa.llm import chat, decontamination, divergence, html_wrappers, language, licenses, merkle, mixing, ngram_join, periodic, pieces, token_files, toxicity
 from propensa.llm.tables import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -280,6 +280,100 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(merkle.manifest(read(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
 
 
+# The unsigned CRC-32 of a decimal number, a bit at a time.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(@ID@::varchar, ''), lambda c: ascii(c)::bigint)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+def _merkle_sql(levels: int = 6, top_levels: int = 3) -> str:
+    """Levels one by one: enough for 8 ** 6 rows of a language and 8 ** 3 languages."""
+    written = lambda text: "||".join(
+        f"coalesce(strlen({v}::varchar) || ':' || {v}::varchar, '-')" for v in ("doc_id", "source", "lang", "n_chars", text))
+    parts = [f"""doc as (
+  select *, sha256({written("text")}) as leaf, sha256({written("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) as changed,
+    {_CRC32.replace("@ID@", "doc_id")} as crc, dense_rank() over (order by lang nulls first) - 1 as t from documents
+), path0 as (
+  select row_number() over () as r, doc_id, leaf, t, row_number() over (partition by t order by doc_id nulls first, leaf) - 1 as idx,
+    case when crc % 3 = 0 then changed else leaf end as node, '' as proof from doc
+), n0 as (select t, idx, leaf as h from path0)"""]
+
+    def climb(name: str, count: int) -> None:
+        for k in range(count):
+            parts.append(f"""{name}{k}_many as (select t from {name}{k} group by t having count(*) > 1
+), {name}{k + 1} as (
+  select t, idx // 8 as idx, sha256(string_agg(h, '' order by idx)) as h from {name}{k} where t in (from {name}{k}_many) group by t, idx // 8
+)""")
+
+    def fold(path: str, name: str, count: int) -> None:
+        for k in range(count):
+            parts.append(f"""{path}{k + 1} as (
+  select p.r, any_value(p.doc_id) as doc_id, any_value(p.leaf) as leaf, p.t, p.idx // 8 as idx,
+    sha256(string_agg(case when s.idx = p.idx then p.node else s.h end, '' order by s.idx)) as node,
+    any_value(p.proof) || coalesce(string_agg(s.h, '' order by s.idx) filter (s.idx != p.idx), '') as proof
+  from {path}{k} p join {name}{k} s on s.t = p.t and s.idx // 8 = p.idx // 8 where p.t in (from {name}{k}_many) group by p.r, p.t, p.idx
+  union all select r, doc_id, leaf, t, idx, node, proof from {path}{k} where t not in (from {name}{k}_many)
+)""")
+
+    climb("n", levels)
+    fold("path", "n", levels)
+    every = " union all ".join(f"select {k} as k, t, h from n{k}" for k in range(levels + 1))
+    parts.append(f"""sub as (select t, arg_max(h, k) as h from ({every}) group by t
+), m0 as (select 0 as t, t as idx, h from sub), up0 as (select r, doc_id, leaf, 0 as t, t as idx, node, proof from path{levels})""")
+    climb("m", top_levels)
+    fold("up", "m", top_levels)
+    every = " union all ".join(f"select {k} as k, h from m{k}" for k in range(top_levels + 1))
+    return "with " + ", ".join(parts) + f""", top as (select arg_max(h, k) as h from ({every}))
+select u.doc_id, u.leaf, sub.h as subroot, top.h as root, sha256(u.proof) as proof_sha256, u.node as folded_root, u.node = top.h as verified
+from up{top_levels} u join path0 using (r) join sub on sub.t = path0.t cross join top"""
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse(periodic.find(read(spark, sf_dir, "documents"), plant=True))
+    longest = F.array_sort("runs", lambda a, b: F.when(a["length"] != b["length"], F.signum(b["length"] - a["length"]))
+                           .when(a["start"] != b["start"], F.signum(a["start"] - b["start"])).otherwise(F.signum(a["period"] - b["period"])).cast("int"))
+    line = lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))
+    best = F.get(longest, F.lit(0))
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"), "collapsed_sha256")
+    return rows.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                       F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+# Every pair of equal words no further apart than a fourth of the text; stretches of pairs of one distance.
+OP13_SQL = r"""
+with doc as (
+  select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words, @CRC@ as h from documents
+), cut as (
+  select *, len(words) as n, (h // 10) % greatest(len(words), 1) as a, 3 + (h // 10) % 8 as parts from doc
+), long as (
+  select *, 1 + (n - a) // parts as period from cut
+), changed as (
+  select r, doc_id, n, case when h % 10 = 0 and n > 0
+    then list_concat(words[:a], list_transform(range(n - a), lambda i: words[a + i % period + 1])) else words end as words from long
+), word as (
+  select r, n, unnest(words) as w, unnest(range(n)) as i from changed
+), pair as (
+  select x.r, x.i, x.i - y.i as p from word x join word y on x.r = y.r and x.w = y.w and x.i > y.i and 4 * (x.i - y.i) <= x.n
+), placed as (
+  select r, p, i, i - row_number() over (partition by r, p order by i) as stretch from pair
+), whole as (
+  select r, p, min(i) - p as start, count(*) + p as length from placed group by r, p, stretch having count(*) >= greatest(3 * p, 6 - p)
+), run as (
+  select r, start, length, min(p) as period from whole group by r, start, length
+), listed as (
+  select r, count(*) as n_runs, arg_min({'start': start, 'length': length, 'period': period}, (-length, start, period)) as best,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as runs from run group by r
+), dropped as (
+  select distinct r, unnest(range(start + period, start + length)) as i from run
+), kept as (
+  select r, string_agg(w, ' ' order by i) as words from word anti join dropped using (r, i) group by r
+)
+select doc_id, coalesce(n_runs, 0) as n_runs, best.start as start, best.length as length, best.period as period,
+  1000 * best.length // best.period as exponent_milli, sha256(coalesce(runs, '')) as runs_sha256, sha256(coalesce(k.words, '')) as collapsed_sha256
+from changed left join listed using (r) left join kept k using (r)
+""".replace("@CRC@", _CRC32.replace("@ID@", "doc_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_token_files": op2_token_files,
@@ -293,6 +387,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_license_scan": op10_license_scan,
     "op11_sentencepiece": op11_sentencepiece,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 SQL: dict[str, str] = {
     "op1_chat_format": OP1_SQL,
@@ -300,6 +395,8 @@ SQL: dict[str, str] = {
     "op6_decontaminate": OP6_SQL,
     "op8_quality_divergence": OP8_SQL,
     "op10_license_scan": OP10_SQL,
+    "op12_merkle_manifest": _merkle_sql(),
+    "op13_periodic_runs": OP13_SQL,
 }
 
 
