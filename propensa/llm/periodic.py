@@ -5,9 +5,10 @@ long. Word ``i`` matches at distance ``p`` if it equals word ``i - p``; a run of
 ``3 * p`` matches in a row, and the ``p`` words before it.
 
 * Explode: periods are taken by octaves (from ``2**k`` to twice that). An octave has a boundary every
-  ``2**(k + 1)`` words, and a tile around each: as many words to both sides as to reach the next
+  ``2**(k + 1)`` words, and a tile around each (or some neighbours): as many words to both sides as to reach the next
   boundaries, and one period more. Tiles overlap. Every run of the octave has a boundary well inside its
-  matches, so a tile where no period of the octave matches next to the boundary is left out.
+  matches, so a tile where no period of the octave matches next to the boundary is left out, and so is one
+  where all that match are multiples of a smaller period.
 * Solve: tiles are dealt over the cluster and solved alone. Two Z-functions give, for all periods of
   the octave at once, how far matches reach from the boundary: one of the words right of it against those
   from a period before, one of the words left of it, read backwards.
@@ -39,11 +40,12 @@ from propensa.llm.tables import ship
 from propensa.session import stored
 
 LEAST_LENGTH, LEAST_TIMES = 6, 4  # of a run, in words and in periods
+SPAN = 1024  # words between the first and the last boundary of a tile
 CHUNK_WORDS = 200_000  # of documents exploded at a time, exceeded by one document at most
 PAIRS = 2_000_000  # boundaries and periods compared at a time
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 EXPLODED = ("row long, doc_id long, n_words long, words string, words_sha256 string, "
-            "octave int, boundary long, first long, tile binary")
+            "octave int, boundary long, boundaries int, first long, tile binary")
 FRAGMENTS = "row long, period long, first long, upto long"
 COLLAPSED = "doc_id long, n_words long, runs array<struct<start:long,length:long,period:long>>, collapsed string, collapsed_sha256 string"
 
@@ -80,47 +82,73 @@ def octaves(n: int) -> range:
     return range((n // LEAST_TIMES).bit_length()) if n >= LEAST_LENGTH else range(0)
 
 
-def boundaries(codes: np.ndarray, octave: int) -> np.ndarray:
-    """Boundaries of the octave with a period that matches on all of the margin around them."""
+def candidates(codes: np.ndarray, octave: int, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Boundaries among ``places`` and periods of the octave that match on all of the margin around them, in order of place."""
     least, m = 2**octave, margin(octave)
-    all_of = np.arange(2 * least, len(codes) - m + 1, 2 * least)
-    periods = np.arange(least, 2 * least)
-    found = [np.empty(0, np.int64)]
+    found = []
     step = max(1, PAIRS // least)
-    for at in range(0, len(all_of), step):
-        places = all_of[at:at + step]
+    for at in range(0, len(places), step):
+        some = places[at:at + step]
         # The words one period before a boundary, for all periods of the octave, lie side by side.
-        before = np.lib.stride_tricks.sliding_window_view(codes, least)[places - 2 * least + 1]
-        where, nth = np.nonzero(before == codes[places][:, None])
-        where, period = places[where], periods[least - 1 - nth]
-        for step_off in [*range(-1, -m - 1, -1), *range(1, m)]:
-            i = where + step_off
+        before = np.lib.stride_tricks.sliding_window_view(codes, least)[some - 2 * least + 1]
+        where, nth = np.nonzero(before == codes[some][:, None])
+        where, period = some[where], 2 * least - 1 - nth
+        for aside in [*range(-1, -m - 1, -1), *range(1, m)]:
+            i = where + aside
             same = (i - period >= 0) & (codes[i] == codes[np.maximum(i - period, 0)])
             where, period = where[same], period[same]
-        found.append(np.unique(where))
-    return np.concatenate(found)
+        found.append((where, period))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return tuple(np.concatenate(parts) for parts in zip(*found, strict=True))
 
 
-def explode(documents: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
-    """Tiles (document, octave, boundary, first word, words' codes) of some documents.
+def matches_before(codes: np.ndarray, period: int) -> np.ndarray:
+    """For each word, how many words up to it match at the distance in a row."""
+    place = np.arange(len(codes))
+    differs = np.ones(len(codes), bool)
+    differs[period:] = codes[period:] != codes[:-period]
+    return place - np.maximum.accumulate(np.where(differs, place, -1))
+
+
+def explode(documents: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, int, np.ndarray]]:
+    """Tiles (document, octave, boundary, number of boundaries, first word, words' codes) of some documents.
 
     The documents lie one after another, longest first, with codes of their own, so that
-    one comparison serves all and a longer octave takes a shorter stretch.
+    one comparison serves all and a longer octave takes a shorter stretch. Boundaries of an octave are
+    boundaries of all lower ones, so a period that only repeats a known smaller one is known where it stands and left out.
+    Neighbouring boundaries share a tile of at most ``SPAN`` words between the first and the last.
     """
     order = sorted(range(len(documents)), key=lambda i: -len(documents[i]))
     sizes = np.array([len(documents[i]) for i in order], np.int64)
     starts = np.cumsum(sizes) - sizes
     width = 1 + max((int(d.max()) for d in documents if len(d)), default=0)
     flat = np.concatenate([documents[i].astype(np.int64) + width * nth for nth, i in enumerate(order)]) if order else np.empty(0, np.int64)
+    smaller: dict[int, list[tuple[int, np.ndarray]]] = {}
     for octave in octaves(int(sizes[0]) if len(sizes) else 0):
-        long = int(np.searchsorted(-sizes, -LEAST_TIMES * 2**octave, side="right"))
+        least = 2**octave
+        long = int(np.searchsorted(-sizes, -LEAST_TIMES * least, side="right"))
         end = int(starts[long - 1] + sizes[long - 1])
-        at = boundaries(flat[:end], octave)
+        at, period = candidates(flat[:end], octave, np.arange(2 * least, end - margin(octave) + 1, 2 * least))
         owner = np.searchsorted(starts[:long], at, side="right") - 1
-        for boundary, nth in zip(at.tolist(), owner.tolist(), strict=True):
-            doc, own = documents[order[nth]], boundary - int(starts[nth])
-            first = max(0, own - reach(octave) - 2 ** (octave + 1) + 1)
-            yield order[nth], octave, own, first, doc[first:own + reach(octave)]
+        cuts = np.flatnonzero(np.diff(owner)) + 1
+        for part in np.split(np.arange(len(at)), cuts):
+            if not len(part):
+                continue
+            nth = int(owner[part[0]])
+            doc, own, periods = documents[order[nth]], at[part] - starts[nth], period[part]
+            for q, matched in smaller.get(nth, ()):
+                new = (periods % q != 0) | (matched[own - 1] < periods - q)
+                own, periods = own[new], periods[new]
+            for q in np.unique(periods[2 * LEAST_TIMES * periods <= len(doc)]).tolist():
+                smaller.setdefault(nth, []).append((q, matches_before(doc, q)))
+            own = np.unique(own)
+            while len(own):
+                near = np.concatenate(([0], np.cumsum(np.diff(own) > 4 * least)))
+                share = own[(near == 0) & (own - own[0] <= SPAN)]
+                own = own[len(share):]
+                first = max(0, int(share[0]) - reach(octave) - 2 * least + 1)
+                yield order[nth], octave, int(share[0]), 1 + int(share[-1] - share[0]) // (2 * least), first, doc[first:int(share[-1]) + reach(octave)]
 
 
 def _common(s: np.ndarray, a: int, b: int) -> int:
@@ -138,8 +166,8 @@ def _common(s: np.ndarray, a: int, b: int) -> int:
 def z_function(s: np.ndarray) -> np.ndarray:
     """For each place, the length of the common beginning of ``s`` and of what follows the place.
 
-    Only places that hold the first value are visited; inside a known match, lengths are copied in one step
-    up to the first place whose length may reach beyond it.
+    Only places that hold the first value are visited; inside a known match, lengths are copied in steps
+    up to the first place whose match ends with the known one and may go on.
     """
     n = len(s)
     z = np.zeros(n, np.int64)
@@ -154,39 +182,61 @@ def z_function(s: np.ndarray) -> np.ndarray:
             if nth >= len(heads):
                 return z
             at = int(heads[nth])
-        elif at >= n:
-            return z
         length = known + _common(s, known, at + known)
         z[at] = length
-        span = min(length - 1, at)
-        inner = z[1:span + 1]
-        beyond = inner >= length - np.arange(1, span + 1)
-        if beyond.any():
-            j = 1 + int(beyond.argmax())
-            z[at + 1:at + j] = z[1:j]
-            known, at = length - j, at + j
-        else:
-            z[at + 1:at + span + 1] = inner
-            known, at = 0, at + max(1, length)
-
-
-def solve(octave: int, boundary: int, first: int, tile: np.ndarray) -> list[tuple[int, int, int]]:
-    """Stretches of matches around a tile's boundary: (period, first match, end), for periods of the octave.
-
-    A stretch that ends within the tile on both sides is whole and is given only if it is long enough.
+        known, filled = 0, 0
+        while filled < length - 1:
+            upto = min(length - 1, at + filled)  # lengths known so far
+            inner, limit = z[filled + 1:upto + 1], length - np.arange(filled + 1, upto + 1)
+            # A length that ends with the match may go on; a longer one was cut by the same word.
+            goes_on = np.flatnonzero(inner == limit) if at + length < n else ()
+            stop = int(goes_on[0]) if len(goes_on) else upto - filled
+            z[at + filled + 1:at + filled + 1 + stop] = np.minimum(inner[:stop], limit[:stop])
+            filled += stop
+            if len(goes_on):
+                known = length - filled - 1
+                break
+        at += filled + 1
+
+
+def solve(octave: int, boundary: int, count: int, first: int, tile: np.ndarray) -> list[tuple[int, int, int]]:
+    """Stretches of matches around a tile's boundaries: (period, first match, end), for periods of the octave.
+
+    A stretch that ends within the tile on both sides is whole and is given only if it is long enough. A
+    period whose words are a smaller one repeated is left to that one.
     """
-    own, far, m = boundary - first, reach(octave), margin(octave)
-    periods = np.arange(2**octave, min(2 ** (octave + 1), own + 1))
-    if not len(periods):
-        return []
-    left = z_function(tile[:own][::-1])
-    left = np.append(left, 0)[periods]
-    back = int(periods[-1])
-    right = z_function(np.concatenate((tile[own:], [-1], tile[own - back:])))[len(tile) - own + 1 + back - periods]
-    whole = (left < far) & (right < far)
-    need = np.maximum((LEAST_TIMES - 1) * periods, LEAST_LENGTH - periods)
-    good = (left >= m) & (right >= m) & (~whole | (left + right >= need))
-    return [(int(p), boundary - int(a), boundary + int(b)) for p, a, b in zip(periods[good], left[good], right[good], strict=True)]
+    m, least = margin(octave), 2**octave
+    places = boundary - first + 2 * least * np.arange(count)
+    where, period = candidates(tile, octave, places[(places >= 2 * least) & (places + m <= len(tile))])
+    early = places[places < 2 * least]  # too near to the beginning of the text for the longest periods
+    for own in early.tolist():
+        some = np.arange(least, own - m + 1)
+        fits = np.array([(tile[own - m:own + m] == tile[own - m - p:own + m - p]).all() for p in some.tolist()], bool)
+        where, period = np.append(np.full(int(fits.sum()), own), where), np.append(some[fits], period)
+    found = []
+    while len(where):
+        own = int(where[0])
+        periods = np.arange(least, min(2 * least, own + 1))
+        back = int(periods[-1])
+        before = np.append(z_function(tile[:own][::-1]), 0)
+        left = before[periods]
+        right = z_function(np.concatenate((tile[own:], [-1], tile[own - back:])))[len(tile) - own + 1 + back - periods]
+        from_, upto = own - left, own + right
+        seen = (left >= m) & (right >= m)
+        nth = np.minimum(period - least, len(periods) - 1)
+        held = (where == own) | ((period <= back) & seen[nth] & (where > from_[nth]) & (where < upto[nth]))
+        where, period = where[~held], period[~held]
+        whole = (from_ > periods) & (upto < len(tile))
+        need = np.maximum((LEAST_TIMES - 1) * periods, LEAST_LENGTH - periods)
+        good = np.flatnonzero(seen & (~whole | (left + right >= need)))
+        for q in range(1, back // 2 + 1):
+            if not len(good):
+                break
+            if before[q] >= q:
+                p = periods[good]
+                good = good[(p % q != 0) | (before[q] < p - q)]
+        found += [(int(periods[g]), first + int(from_[g]), first + int(upto[g])) for g in good]
+    return found
 
 
 # --- on tables ----------------------------------------------------------------------------------------------------
@@ -205,9 +255,9 @@ def _exploder(plant: bool):
         ends = np.cumsum([len(words) for _, _, words in held])
         documents = np.split(codes, ends[:-1])
         out, size, tiled = [], 0, set()
-        for nth, octave, boundary, first, tile in explode(documents):
+        for nth, octave, boundary, count, first, tile in explode(documents):
             tiled.add(nth)
-            out.append((held[nth][0], None, None, None, None, octave, boundary, first, tile.astype("<i4").tobytes()))
+            out.append((held[nth][0], None, None, None, None, octave, boundary, count, first, tile.astype("<i4").tobytes()))
             size += len(tile)
             if size >= CHUNK_WORDS:
                 yield _table(EXPLODED, out)
@@ -215,7 +265,7 @@ def _exploder(plant: bool):
         for nth, (row, doc_id, words) in enumerate(held):
             text = " ".join(words)
             digest = hashlib.sha256(text.encode()).hexdigest()
-            out.append((row, doc_id, len(words), text if nth in tiled else None, digest, None, None, None, None))
+            out.append((row, doc_id, len(words), text if nth in tiled else None, digest, None, None, None, None, None))
         yield _table(EXPLODED, out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,10 +286,10 @@ def _exploder(plant: bool):
 
 def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns = (batch.column(c) for c in ("row", "octave", "boundary", "first", "tile"))
+        columns = (batch.column(c) for c in ("row", "octave", "boundary", "boundaries", "first", "tile"))
         out = []
-        for row, octave, boundary, first, tile in zip(*columns, strict=True):
-            found = solve(octave.as_py(), boundary.as_py(), first.as_py(), np.frombuffer(tile.as_py(), "<i4"))
+        for row, octave, boundary, count, first, tile in zip(*columns, strict=True):
+            found = solve(octave.as_py(), boundary.as_py(), count.as_py(), first.as_py(), np.frombuffer(tile.as_py(), "<i4"))
             out += [(row.as_py(), *piece) for piece in found]
         yield _table(FRAGMENTS, out)
 
@@ -270,7 +320,7 @@ def find(docs: DataFrame, plant: bool = False) -> Found:
     ship(docs.sparkSession)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
     exploded = stored(rows.mapInArrow(_exploder(plant), EXPLODED))  # written once, so row numbers stay
-    tiles = exploded.where("octave is not null").select("row", "octave", "boundary", "first", "tile")
+    tiles = exploded.where("octave is not null").select("row", "octave", "boundary", "boundaries", "first", "tile")
     fragments = tiles.repartition("row", "octave", "boundary").mapInArrow(_solved, FRAGMENTS)
     documents = exploded.where("octave is null").select("row", "doc_id", "n_words", "words", "words_sha256")
     return Found(documents, stitched(fragments))

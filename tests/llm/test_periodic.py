@@ -73,8 +73,8 @@ def found_alone(documents):
     """Tiles, solutions and stitching without Spark."""
     codes = [np.array([ord(w[0]) for w in words], np.int64) for words in documents]
     pieces = {}
-    for nth, octave, boundary, first, tile in periodic.explode(codes):
-        for p, a, b in periodic.solve(octave, boundary, first, tile.astype("<i4")):
+    for nth, octave, boundary, count, first, tile in periodic.explode(codes):
+        for p, a, b in periodic.solve(octave, boundary, count, first, tile.astype("<i4")):
             pieces.setdefault((nth, p), []).append((a, b))
     out = [{} for _ in documents]
     for (nth, p), parts in sorted(pieces.items()):
