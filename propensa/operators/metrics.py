@@ -7,6 +7,7 @@ common score nor many distinct scores end up in one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -233,3 +234,48 @@ def slice_metrics(df: DataFrame, by: str) -> DataFrame:
 def low_confidence(df: DataFrame, margin: float = 0.1) -> DataFrame:
     """Every row with its distance from the threshold and whether that is under the margin."""
     return _complete(df, SCORE).withColumn("distance", F.abs(F.col(SCORE) - 0.5)).withColumn("uncertain", F.col("distance") < margin)
+
+
+def _poisson(u: str, most: int = 12) -> str:
+    """SQL text: how often a row is drawn when the number of draws is Poisson with mean 1, from a number in [0, 1)."""
+    share, total, cuts = math.exp(-1), 0.0, []
+    for k in range(most):
+        total += share
+        cuts.append(total)
+        share /= k + 1
+    return " + ".join(f"if({u} >= {cut!r}D, 1, 0)" for cut in cuts)
+
+
+def group_gaps(df: DataFrame, by: str, key: str, replicates: int = 100, level: float = 0.95, seed: int = 7) -> DataFrame:
+    """Bias by group: how far a group's share of predicted 1, true positive rate and accuracy lie from all rows', with intervals.
+
+    The intervals are quantiles over bootstrap replicates. A row's draws in a replicate are Poisson numbers from a hash
+    of its key, so all replicates are sums of one pass, equal on every run, and no sample is ever drawn.
+    Per group: n, and for each measure its value, its gap, and ``_low`` and ``_high`` of the gap. A rate without rows is null.
+    """
+    columns = _complete(df, LABEL, PREDICTION)
+    blocks = -(-replicates // 4)  # a hash has 128 bits, each replicate takes 32
+    hashed = columns.select(by, key, LABEL, PREDICTION, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")).withColumn(
+        "h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), F.col("block").cast("string"))))
+    part = "conv(substring(h, 8 * i + 1, 8), 16, 10) / 4294967296D"
+    drawn = hashed.select(by, LABEL, PREDICTION, F.expr(
+        f"inline(transform(array(0, 1, 2, 3), i -> named_struct('replicate', 4 * block + i, 'u', {part})))"))
+    weighted = drawn.filter(F.col("replicate") < replicates).selectExpr(by, LABEL, PREDICTION, "replicate", f"cast({_poisson('u')} as bigint) as w")
+    whole = columns.selectExpr(by, LABEL, PREDICTION, "-1 as replicate", "1L as w")
+    sums = whole.unionByName(weighted).groupBy(by, "replicate").agg(
+        F.sum("w").alias("n"), F.expr(f"sum(w * {PREDICTION})").alias("chosen"), F.expr(f"sum(w * {LABEL})").alias("positive"),
+        F.expr(f"sum(w * {LABEL} * {PREDICTION})").alias("hit"), F.expr(f"sum(if({LABEL} = {PREDICTION}, w, 0))").alias("right"))
+    measures = {"selection": ("chosen", "n"), "recall": ("hit", "positive"), "accuracy": ("right", "n")}
+    own = [f"{a} / nullif({b}, 0) as {m}" for m, (a, b) in measures.items()]
+    # One row per group and replicate from here on.
+    total = sums.groupBy(F.col("replicate").alias("of")).agg(*[F.sum(c).alias(c) for c in ("n", "chosen", "positive", "hit", "right")])
+    total = total.selectExpr("of", *[f"{a} / nullif({b}, 0) as all_{m}" for m, (a, b) in measures.items()])
+    gaps = sums.selectExpr(by, "replicate", "n", *own).join(total, F.col("replicate") == F.col("of")).selectExpr(
+        by, "replicate", "n", *measures, *[f"{m} - all_{m} as {m}_gap" for m in measures])
+    low, high = (1 - level) / 2, (1 + level) / 2
+    point, sampled = "replicate < 0", "replicate >= 0"
+    return gaps.groupBy(by).agg(
+        F.expr(f"max(n) filter (where {point})").alias("n"),
+        *[F.expr(f"max({c}) filter (where {point})").alias(c) for m in measures for c in (m, f"{m}_gap")],
+        *[F.expr(f"percentile({m}_gap, {q!r}D) filter (where {sampled})").alias(f"{m}_{side}")
+          for m in measures for side, q in (("low", low), ("high", high))])

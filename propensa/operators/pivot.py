@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from propensa.functions.names import tag_columns
 from propensa.operators.joins import look_up
+from propensa.operators.running import Running, running_totals
 
 MAX_TAGS_CONF = "spark.sql.pivotMaxValues"
 
@@ -56,6 +57,37 @@ def tag_pivot(
     return wide.toDF(key, *names.values()).fillna(0, subset=list(names.values()))
 
 
+def ranked_vocabulary(tags: DataFrame) -> DataFrame:
+    """Distinct tags with their place in sorted order, as a table: there may be more than fit a list on the driver.
+
+    Columns: tag, place (from 0), size (number of tags).
+    """
+    distinct = tags.select("tag").filter(F.col("tag").isNotNull()).distinct().withColumn("__one", F.lit(1).cast("long"))
+    ranked = running_totals(distinct, ["tag"], Running(sums={"__upto": "__one"}, totals={"size": "__one"}))
+    return ranked.select("tag", (F.col("__upto") - 1).alias("place"), "size")
+
+
+def tag_vectors(
+    tags: DataFrame, vocabulary: DataFrame | None = None, key: str = "mailchimp_id", strict: bool = True
+) -> DataFrame:
+    """One sparse 0/1 vector per subscriber that has tags, for vocabularies of any size.
+
+    Columns: the key, size (of the vocabulary), indices (ascending) and values. A place in the vector is a column of
+    ``tag_pivot`` over the same tags. Tags outside a given vocabulary are left out. ``strict`` raises on a
+    repeated (subscriber, tag) pair; otherwise repeats collapse.
+    """
+    vocabulary = ranked_vocabulary(tags) if vocabulary is None else vocabulary
+    pairs = tags.select(key, "tag").filter(F.col("tag").isNotNull()).groupBy(key, "tag").agg(F.count("*").alias("__times"))
+    if strict:
+        repeated = F.concat(F.lit("repeated tag for "), F.col(key).cast("string"))
+        pairs = pairs.withColumn("__times", F.when(F.col("__times") > 1, F.raise_error(repeated).cast("long")).otherwise(F.col("__times")))
+    placed = pairs.join(vocabulary, "tag")
+    rows = placed.groupBy(key).agg(
+        F.max("size").alias("size"), F.array_sort(F.collect_list("place")).alias("indices"), F.max("__times").alias("__times"))
+    # The count is read, so that the check of repeats is not pruned away.
+    return rows.filter(F.col("__times") > 0).select(key, "size", "indices", F.transform("indices", lambda _: F.lit(1.0)).alias("values"))
+
+
 def with_tags(leads: DataFrame, wide_tags: DataFrame, key: str = "mailchimp_id") -> DataFrame:
     """Left join of the wide tags by the key alone; subscribers without tags keep nulls."""
     return look_up(leads, wide_tags, key, key)

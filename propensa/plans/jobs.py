@@ -128,16 +128,15 @@ def train(
 ) -> str:
     """Split, search, refit the best parameters and register the model. Returns its id.
 
-    The test leads are written untouched, so that evaluation runs the whole saved model.
+    The test leads are written untouched, so that evaluation runs the whole saved model. ``trials_path`` is the
+    log of the search; started again with it, the search goes on where it stopped.
     """
     folded = stored(split_exact(leads, TARGET, KEY))
     write_table(fold_rows(folded, TEST), test_path)
     featurizer = learning.fit_featurizer(folded)
     table = learning.training_table(folded, featurizer)
     params = learning.sample_trials(num_trials, space=space)
-    trials = stored(learning.run_trials(table, params, num_workers))
-    if trials_path:
-        trials.write.mode("append").parquet(trials_path)
+    trials = stored(learning.run_trials(table, params, num_workers, log=trials_path))
     chosen = learning.best_params(trials, metric)
     model = learning.refit(table, chosen)
     best = trials.orderBy(F.desc(metric), "trial_id").first()

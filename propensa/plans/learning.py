@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -22,7 +24,8 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensa.functions import features as fx
@@ -32,6 +35,7 @@ from propensa.operators.columns import MISSING
 from propensa.operators.encode import ordinal
 from propensa.operators.running import Running, running_totals
 from propensa.operators.split import TRAIN, VALIDATION, fold_rows
+from propensa.plans.classifiers import BoostedStumps, Discriminant
 from propensa.session import ensure_checkpoint_dir, stored
 
 TARGET = "made_purchase"
@@ -211,17 +215,54 @@ def sample_trials(n: int = TRIALS, seed: int = SEARCH_SEED, space: dict | None =
     return [{name: draw[kind](low, high) for name, (kind, low, high) in space.items()} for _ in range(n)]
 
 
+TRIAL_SCHEMA = (
+    "trial_id int, max_depth int, learning_rate double, n_estimators int, subsample double, "
+    "colsample_bytree double, f1 double, recall double, roc_auc double, seconds double"
+)
+
+
+def table_mark(table: DataFrame) -> str:
+    """Text that changes when the rows of a training table do: their number and a sum of their hashes."""
+    columns = [vector_to_array(F.col(c)) if c == "features" else F.col(c) for c in sorted(table.columns)]
+    row = table.select(F.xxhash64(*columns).alias("h")).agg(F.count("*").alias("n"), F.expr("bit_xor(h)").alias("x")).first()
+    return f"{row['n']}:{row['x']}"
+
+
+def trial_key(number: int, chosen: dict[str, Any], seed: int, mark: str) -> str:
+    """Name of a trial in the log: equal for the same parameters, place, seed and rows, and for nothing else."""
+    return hashlib.sha256(json.dumps([number, sorted(chosen.items()), seed, mark]).encode()).hexdigest()[:32]
+
+
+def logged_trials(spark: SparkSession, log: str) -> DataFrame:
+    """The trials of a log (with their ``key``) that were committed; none if there is no log yet."""
+    schema = f"{TRIAL_SCHEMA}, key string"
+    try:
+        return spark.read.schema(schema).parquet(log)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def run_trials(
-    table: DataFrame, params: Sequence[dict[str, Any]], workers: int = WORKERS, seed: int = MODEL_SEED
+    table: DataFrame, params: Sequence[dict[str, Any]], workers: int = WORKERS, seed: int = MODEL_SEED, log: str | None = None
 ) -> DataFrame:
     """Fit every parameter set on the train fold and measure it on the validation fold.
 
     Trials run side by side from driver threads, each in its own scheduler pool, so that
-    they share the executors evenly; the rows stay on the executors.
+    they share the executors evenly; the rows stay on the executors. With ``log``, a trial is written
+    there as it ends, under its key: a search that is started again on the same rows fits only what is missing,
+    and a trial that is written twice is the same row.
     """
     spark = table.sparkSession
     ensure_checkpoint_dir(spark)
     train, val = fold_rows(table, TRAIN), fold_rows(table, VALIDATION)
+    keys, known = {}, {}
+    if log is not None:
+        mark = table_mark(table)
+        keys = {n: trial_key(n, chosen, seed, mark) for n, chosen in enumerate(params)}
+        wanted = logged_trials(spark, log).filter(F.col("key").isin(list(keys.values())))
+        known = {r["trial_id"]: tuple(r)[:-1] for r in wanted.collect()}
 
     @inheritable_thread_target(spark)
     def trial(job: tuple[int, dict[str, Any]]) -> tuple:
@@ -231,19 +272,20 @@ def run_trials(
         model = boosted_trees(chosen, seed).fit(train)
         found = evaluate_scores(scored(model, val))
         auc = None if found["roc_auc"] is None else float(found["roc_auc"])
-        return (
+        row = (
             number, chosen["max_depth"], chosen["learning_rate"], chosen["n_estimators"], chosen["subsample"],
             chosen["colsample_bytree"], float(found["f1_score"]), float(found["recall"]), auc,
             time.monotonic() - started,
         )
+        if log is not None:
+            one = spark.createDataFrame([row], TRIAL_SCHEMA).coalesce(1)
+            one.write.mode("overwrite").parquet(f"{log}/key={keys[number]}")
+        return row
 
+    missing = [job for job in enumerate(params) if job[0] not in known]
     with ThreadPool(workers) as pool:
-        rows = pool.map(trial, list(enumerate(params)), chunksize=1)
-    return spark.createDataFrame(
-        rows,
-        "trial_id int, max_depth int, learning_rate double, n_estimators int, subsample double, "
-        "colsample_bytree double, f1 double, recall double, roc_auc double, seconds double",
-    )
+        rows = pool.map(trial, missing, chunksize=1)
+    return spark.createDataFrame(sorted([*known.values(), *rows]), TRIAL_SCHEMA)
 
 
 def trial_summary(trials: DataFrame, metric: str = "roc_auc") -> DataFrame:
@@ -318,7 +360,7 @@ def permutation_importance(
 # Comparison of classifiers
 
 
-def _classifiers(seed: int, iterations: int) -> dict[str, Estimator]:
+def _classifiers(seed: int, iterations: int) -> dict[str, Estimator | BoostedStumps | Discriminant]:
     common = {"featuresCol": "features", "labelCol": "label"}
     return {
         "lr": LogisticRegression(**common, maxIter=iterations * 5),
@@ -327,11 +369,17 @@ def _classifiers(seed: int, iterations: int) -> dict[str, Estimator]:
         "dt": DecisionTreeClassifier(**common, seed=seed),
         "rf": RandomForestClassifier(**common, seed=seed, numTrees=iterations),
         "gbc": GBTClassifier(**common, seed=seed, maxIter=iterations),
+        "lda": Discriminant(),
+        "qda": Discriminant(quadratic=True),
+        "ada": BoostedStumps(iterations),
     }
 
 
 HOLDOUT = -1
-FAMILIES = {"tree": ["dt", "rf", "gbc"], "linear": ["lr", "svm"], "all": ["lr", "nb", "svm", "dt", "rf", "gbc"]}
+FAMILIES = {
+    "tree": ["dt", "rf", "gbc"], "linear": ["lr", "svm", "lda"], "discriminant": ["lda", "qda"],
+    "all": ["lr", "nb", "svm", "dt", "rf", "gbc", "lda", "qda", "ada"],
+}
 
 
 @dataclass(frozen=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensa.operators.columns import MissingColumns
@@ -34,6 +34,31 @@ def score_leads(model: ScoringModel, leads: DataFrame) -> DataFrame:
     return score(model, leads).select("user_email", "prediction_proba")
 
 
+# Row groups of this size: a lookup reads few of them, a scan still reads large stretches.
+LOOKUP_GROUP_BYTES = 4 * 1024**2
+LOOKUP_GROUP_ROWS = 20_000
+
+
+def write_lookup(
+    leads: DataFrame, path: str, key: str = "mailchimp_id", email: str = "user_email", group_bytes: int = LOOKUP_GROUP_BYTES,
+    group_rows: int = LOOKUP_GROUP_ROWS,
+) -> None:
+    """Leads laid out for finding one: in ranges of the key, sorted by it, with bloom filters on key and email.
+
+    A key is in the bounds of one or two row groups; an email is in the bounds of most, and the filters rule out all but
+    its own and about one in a hundred of the others.
+    """
+    bloom = {f"parquet.bloom.filter.{what}#{column}": value for column in (key, email)
+             for what, value in (("enabled", "true"), ("expected.ndv", str(group_rows)))}
+    ranged = leads.repartitionByRange(key).sortWithinPartitions(key)
+    ranged.write.options(**bloom, **{"parquet.block.size": str(group_bytes), "parquet.block.row.count.limit": str(group_rows)}).parquet(path)
+
+
+def lookup(spark: SparkSession, path: str, column: str, value: int | str) -> DataFrame:
+    """The leads with this value. The comparison is pushed to the reader, which skips row groups by bounds and bloom filters."""
+    return spark.read.parquet(path).filter(F.col(column) == F.lit(value))
+
+
 def score_by_email(model: ScoringModel, leads: DataFrame, email: str) -> DataFrame:
     """Score of one email. The filter comes before the features, so it reaches the scan."""
     low, high = EMAIL_LENGTH

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from propensa.queries import crm, evaluation, leads, models, quality, summaries
+from propensa.queries import classifiers, crm, evaluation, leads, models, quality, reasons, summaries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = [crm, summaries, leads, quality, evaluation, models]
+MODULES = [crm, summaries, leads, quality, evaluation, models, reasons, classifiers]
 
 
 def queries() -> dict[str, Query]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from itertools import accumulate
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +31,7 @@ def rounded(df: DataFrame) -> DataFrame:
     ])
 
 
+REPLICATES = 40
 THRESHOLDS = [i / 20 for i in range(1, 20)]
 
 
@@ -51,6 +55,7 @@ QUERIES = {
     "threshold_sweep": lambda s, d: rounded(mx.threshold_sweep(scores(s, d), THRESHOLDS)),
     "calibration_bins": lambda s, d: rounded(mx.calibration_bins(scores(s, d))),
     "slice_metrics": lambda s, d: rounded(mx.slice_metrics(by_provider(s, d), "domain")),
+    "group_gaps": lambda s, d: rounded(mx.group_gaps(by_provider(s, d), "domain", "mailchimp_id", REPLICATES)),
     "low_confidence": lambda s, d: rounded(mx.low_confidence(scores(s, d))),
 }
 
@@ -64,6 +69,11 @@ _COUNTS = with_tables("scored") + """,
 """
 
 
+def _poisson_cuts(most: int = 12) -> list[float]:
+    """The shares of at most 0, 1, 2 ... draws when their number is Poisson with mean 1."""
+    return list(accumulate(math.exp(-1) / math.factorial(k) for k in range(most)))
+
+
 def _class(label: int) -> str:
     hits, wrong, missed = ("tp", "fp", "fn") if label else ("tn", "fn", "fp")
     return f"""
@@ -147,6 +157,33 @@ SQL = {
                round(coalesce(tp / nullif(tp + fn, 0), 0), {DIGITS}) as recall,
                round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), {DIGITS}) as f1_score
         from cells""",
+    "group_gaps": with_tables("scored") + f""",
+        rows_of as (select split_part(user_email, '@', 2) as domain, mailchimp_id, label, prediction from scored join joined using (mailchimp_id)),
+        hashed as (
+            select *, md5('7:' || mailchimp_id || ':' || block) as h
+            from rows_of, (select unnest(range({-(-REPLICATES // 4)})) as block)),
+        unit as (
+            select domain, label, prediction, 4 * block + i as replicate, ('0x' || substr(h, 8 * i::int + 1, 8))::bigint / 4294967296.0::double as u
+            from hashed, (select unnest(range(4)) as i)),
+        drawn as (
+            select domain, label, prediction, replicate,
+                   list_sum(list_transform({_poisson_cuts()}, lambda c: (u >= c)::int)) as w from unit where replicate < {REPLICATES}
+            union all select domain, label, prediction, -1, 1 from rows_of),
+        sums as (
+            select domain, replicate, sum(w)::double as n, sum(w * prediction)::double as chosen, sum(w * label)::double as positive,
+                   sum(w * label * prediction)::double as hit, (sum(w) filter (where label = prediction))::double as correct from drawn group by all),
+        total as (
+            select replicate, sum(chosen) / nullif(sum(n), 0) as s, sum(hit) / nullif(sum(positive), 0) as r, sum(correct) / nullif(sum(n), 0) as a
+            from sums group by replicate),
+        gaps as (
+            select domain, replicate, n, chosen / nullif(n, 0) as selection, hit / nullif(positive, 0) as recall, coalesce(correct, 0) / nullif(n, 0) as accuracy,
+                   selection - s as selection_gap, recall - r as recall_gap, accuracy - a as accuracy_gap
+            from sums join total using (replicate))
+        select domain, cast(max(n) filter (where replicate < 0) as bigint) as n,
+               {', '.join(f"round(max({c}) filter (where replicate < 0), {DIGITS}) as {c}" for m in ("selection", "recall", "accuracy") for c in (m, m + "_gap"))},
+               {', '.join(f"round(quantile_cont({m}_gap, {q!r}) filter (where replicate >= 0), {DIGITS}) as {m}_{side}"
+                          for m in ("selection", "recall", "accuracy") for side, q in (("low", (1 - 0.95) / 2), ("high", (1 + 0.95) / 2)))}
+        from gaps group by domain""",
     "low_confidence": with_tables("scored") + f"""
         select mailchimp_id, label, prediction, round(score, {DIGITS}) as score, round(abs(score - 0.5), {DIGITS}) as distance,
                abs(score - 0.5) < 0.1 as uncertain

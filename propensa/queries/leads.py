@@ -81,7 +81,19 @@ def kept_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.fold_rows(spark.read.parquet(path), split.TEST)
 
 
+def tag_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot.tag_vectors(standins.tags(spark, sf_dir))
+
+
+def order_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tag per order beside the event tags: more tags than a pivot has columns."""
+    orders = standins.source(spark, sf_dir, "orders").selectExpr("o_custkey as mailchimp_id", "concat('order-', o_orderkey) as tag")
+    return pivot.tag_vectors(standins.tags(spark, sf_dir).unionByName(orders))
+
+
 QUERIES = {
+    "tag_vectors": tag_vectors,
+    "order_vectors": order_vectors,
     "tag_pivot": lambda s, d: pivot.tag_pivot(standins.tags(s, d)),
     "leads_raw": raw,
     "date_features": lambda s, d: prepare.add_dates(joined_table(s, d)).select(KEY, *DATES),
@@ -146,7 +158,15 @@ def exact_folds(*tables: str) -> str:
     return with_tables("joined", *tables) + _FOLDED
 
 
+_VECTORS = """
+        vocabulary as (select tag, row_number() over (order by tag) - 1 as place, count(*) over () as size from (select distinct tag from pairs))
+        select mailchimp_id, any_value(size) as size, list(place order by place) as indices, list(1.0::double) as values
+        from pairs join vocabulary using (tag) group by mailchimp_id"""
+
 SQL = {
+    "tag_vectors": with_tables("tags") + ", pairs as (select * from tags)," + _VECTORS,
+    "order_vectors": with_tables("tags") + """,
+        pairs as (select * from tags union all select o_custkey, 'order-' || o_orderkey from orders),""" + _VECTORS,
     "tag_pivot": with_tables("wide_tags") + "select * from wide_tags",
     "leads_raw": with_tables("leads_raw") + "select * from leads_raw",
     "date_features": with_tables("joined") + f"select {KEY}, {DATE_COLUMNS} from joined",

@@ -22,12 +22,14 @@ from propensa.sources.registry import ModelRegistry, ScoringModel
 from propensa.sources.schemas import lead_schema
 from propensa.sources.standins import source
 from propensa.sources.tables import read_table
+from propensa.streaming import records
 from propensa.streaming.scoring import lead_stream, start_features, start_scoring
 
 # Parameters of the published best trial.
 PARAMS = {"max_depth": 3, "learning_rate": 0.11281, "n_estimators": 163, "subsample": 0.9912, "colsample_bytree": 0.9679}
 COMPARE = ln.CompareSetup()
 LOOKED_UP_ID = 5
+GIVEN_WEIGHTS = {"member_rating": 0.375, "tag_count": -0.125}
 REFERENCE_DATE = datetime(2020, 1, 1)
 
 
@@ -148,6 +150,16 @@ def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All leads as requests, by id, in micro-batches of the published size: the batch of each and how many it holds."""
+    leads = lead_queries.raw_table(spark, sf_dir).select("mailchimp_id", "user_email")
+    source, sink, marks = scratch_path(spark, "requests"), scratch_path(spark, "batches"), scratch_path(spark, "marks")
+    # Files of ranges, named in the order of their ranges.
+    leads.repartitionByRange("mailchimp_id").sortWithinPartitions("mailchimp_id").write.option("maxRecordsPerFile", 500).parquet(source)
+    records.run_batches(records.record_stream(spark, source, leads.schema), sink, marks)
+    return records.batches(spark, sink, leads.schema).select("mailchimp_id", "batch", "batch_size")
+
+
 def request_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leads as JSON records, one object a line, read back under the scoring schema."""
     leads = lead_queries.raw_table(spark, sf_dir)
@@ -163,6 +175,30 @@ def score_by_email(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score_by_email(_model(spark, sf_dir), leads, email)
 
 
+@cache
+def _lookup(spark: SparkSession, sf_dir: str) -> str:
+    """The leads laid out for lookups, written once."""
+    path = scratch_path(spark, "lookup")
+    scoring.write_lookup(lead_queries.raw_table(spark, sf_dir), path)
+    return path
+
+
+def _given_score(found: DataFrame) -> DataFrame:
+    """A given linear score, which SQL can repeat."""
+    odds = " + ".join(f"{weight}D * {name}" for name, weight in GIVEN_WEIGHTS.items())
+    return found.selectExpr("mailchimp_id", "user_email", f"round(1 / (1 + exp(-({odds}))), 12) as prediction_proba")
+
+
+def given_score_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _given_score(scoring.lookup(spark, _lookup(spark, sf_dir), "mailchimp_id", LOOKED_UP_ID))
+
+
+def given_score_by_email(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leads = lead_queries.raw_table(spark, sf_dir)
+    email = leads.where(F.col("mailchimp_id") == LOOKED_UP_ID).select("user_email").first()["user_email"]
+    return _given_score(scoring.lookup(spark, _lookup(spark, sf_dir), "user_email", email))
+
+
 def scores_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What must hold for any fitted model: every lead has one score from 0 to 1, and its class is the likelier one."""
     return class_scores(spark, sf_dir).agg(
@@ -210,6 +246,9 @@ QUERIES = {
     "assembled_matrix": assembled_matrix,
     "stream_features": stream_features,
     "stream_scoring": stream_scoring,
+    "stream_batches": stream_batches,
+    "given_score_by_key": given_score_by_key,
+    "given_score_by_email": given_score_by_email,
 }
 
 _DAYS = (
@@ -229,7 +268,16 @@ _BOARD = """
                  o_orderkey % 512 / 512.0::double as recall from orders)
     group by model order by avg({sort}) desc nulls last, model"""
 
+_GIVEN_SCORE = with_tables("leads_raw") + f"""
+        select mailchimp_id, user_email, round(1 / (1 + exp(-({' + '.join(f'{w}::double * {n}' for n, w in GIVEN_WEIGHTS.items())}))), 12) as prediction_proba
+        from leads_raw where """
+
 SQL = {
+    "given_score_by_key": _GIVEN_SCORE + f"mailchimp_id = {LOOKED_UP_ID}",
+    "given_score_by_email": _GIVEN_SCORE + f"user_email = (select any_value(user_email) from leads_raw where mailchimp_id = {LOOKED_UP_ID})",
+    "stream_batches": with_tables("leads_raw") + f"""
+        select mailchimp_id, batch, count(*) over (partition by batch) as batch_size
+        from (select mailchimp_id, (row_number() over (order by mailchimp_id) - 1) // {records.BATCH} as batch from leads_raw)""",
     "request_records": with_tables("leads_raw") + f"""
         select user_email, cast(optin_time as varchar) as optin_time, country_code, member_rating, cast(tag_count as int) as tag_count,
                {', '.join(TAG_COLUMNS)}

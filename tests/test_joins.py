@@ -165,3 +165,29 @@ def test_hot_key_is_split(spark, tmp_path, case):
     assert len(rows) == n
     assert {r[column] for r in rows} == {2 if column == "tag_count" else 1}
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_tag_vectors_are_the_pivot(spark):
+    rows = [(i, f"t{(i * 7 + j * 3) % 23:02d}") for i in range(40) for j in range(i % 5)]
+    tags = spark.createDataFrame([*rows, (90, None)], "mailchimp_id long, tag string")
+    wide = {r[0]: list(r)[1:] for r in pivot.tag_pivot(tags.filter("tag is not null")).collect()}
+    vectors = pivot.tag_vectors(tags).collect()
+    assert len(vectors) == len(wide)
+    for r in vectors:
+        dense = [0] * r["size"]
+        for place, value in zip(r["indices"], r["values"], strict=True):
+            dense[place] = int(value)
+        assert dense == wide[r["mailchimp_id"]]
+
+
+def test_repeated_tags_in_vectors(spark):
+    tags = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b")], "mailchimp_id long, tag string")
+    with pytest.raises(Exception, match="repeated tag for 1"):
+        pivot.tag_vectors(tags).collect()
+    assert [list(r["indices"]) for r in pivot.tag_vectors(tags, strict=False).collect()] == [[0, 1]]
+
+
+def test_a_given_vocabulary_fixes_the_places(spark):
+    tags = spark.createDataFrame([(1, "a"), (1, "z"), (2, "b")], "mailchimp_id long, tag string")
+    known = pivot.ranked_vocabulary(spark.createDataFrame([("b",), ("a",), ("c",)], "tag string"))
+    assert sorted((r["mailchimp_id"], r["size"], r["indices"]) for r in pivot.tag_vectors(tags, known).collect()) == [(1, 3, [0]), (2, 3, [1])]

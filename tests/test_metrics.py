@@ -140,3 +140,27 @@ def test_reports_on_edges(spark):
     assert sweep == {0.0: (2, 1, 0, 1), 0.5: (1, 1, 1, 1), 1.0: (0, 0, 2, 2)}
     assert sorted((r.bin, r.n) for r in mx.calibration_bins(df).collect()) == [(0, 1), (5, 2), (9, 1)]
     assert sum(r.uncertain for r in mx.low_confidence(df).collect()) == 2
+
+
+def test_group_gaps_hold_the_true_gap(spark):
+    """Two groups with a known difference in selection: the intervals hold it, and equal groups' intervals hold 0."""
+    rng = np.random.default_rng(4)
+    group = rng.integers(0, 3, 3000)
+    chosen = (rng.random(3000) < np.where(group == 2, 0.7, 0.4)).astype(int)
+    rows = [(i, f"g{g}", int(rng.integers(0, 2)), int(c)) for i, (g, c) in enumerate(zip(group.tolist(), chosen.tolist()))]
+    df = spark.createDataFrame(rows, "id long, grp string, label int, prediction int")
+    found = {r["grp"]: r for r in mx.group_gaps(df, "grp", "id", replicates=60).collect()}
+    whole = chosen.mean()
+    for g in range(3):
+        row = found[f"g{g}"]
+        assert row["n"] == (group == g).sum() and abs(row["selection"] - chosen[group == g].mean()) < 1e-12
+        assert abs(row["selection_gap"] - (row["selection"] - whole)) < 1e-12
+        assert row["selection_low"] < row["selection_gap"] < row["selection_high"] < row["selection_low"] + 0.12
+    assert found["g2"]["selection_low"] > 0.1
+    assert found["g0"]["recall_low"] < found["g0"]["recall_high"]
+
+
+def test_group_gaps_without_positives(spark):
+    df = spark.createDataFrame([(1, "a", 0, 1), (2, "b", 1, 1), (3, "b", 0, 0)], "id long, grp string, label int, prediction int")
+    found = {r["grp"]: r for r in mx.group_gaps(df, "grp", "id", replicates=8).collect()}
+    assert found["a"]["recall"] is None and found["b"]["recall"] == 1.0

@@ -245,3 +245,33 @@ def test_jobs_end_to_end(spark, sf_dir, tmp_path):
     scores = spark.read.json(str(tmp_path / "scores"))
     assert scores.columns == ["prediction_proba", "user_email"] and scores.count() == total
     main(["health", "--registry", str(tmp_path / "models")], spark)
+
+
+def test_a_search_goes_on_where_it_stopped(spark, fitted, tmp_path, monkeypatch):
+    _, table, _ = fitted
+    space = {**ln.SEARCH_SPACE, "n_estimators": ("integer", 1, 3), "max_depth": ("integer", 1, 3)}
+    params, log = ln.sample_trials(12, space=space), str(tmp_path / "log")
+    fits, build = [], ln.boosted_trees
+
+    def counted(chosen, seed):
+        if len(fits) == limit:
+            raise RuntimeError("driver lost")
+        fits.append(chosen)
+        return build(chosen, seed)
+
+    monkeypatch.setattr(ln, "boosted_trees", counted)
+    limit = 5
+    with pytest.raises(RuntimeError, match="driver lost"):
+        ln.run_trials(table, params, workers=1, log=log)
+    assert ln.logged_trials(spark, log).count() == 5
+    limit = 100
+    resumed = ln.run_trials(table, params, workers=3, log=log)
+    assert len(fits) == 12
+    whole = ln.run_trials(table, params, workers=3)
+    kept = [c for c in whole.columns if c != "seconds"]
+    assert resumed.select(kept).collect() == whole.select(kept).collect() and len(fits) == 24
+    assert ln.run_trials(table, params, log=log).select(kept).collect() == whole.select(kept).collect() and len(fits) == 24
+    # Other rows, or another seed, are another search.
+    ln.run_trials(table.filter("mailchimp_id % 10 > 0"), params[:1], log=log)
+    ln.run_trials(table, params[:1], seed=1, log=log)
+    assert len(fits) == 26
