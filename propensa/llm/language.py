@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from propensa.llm.tables import ship
+from propensa.llm.tables import releasing, ship
 
 HIDDEN = 8
 STRETCH = 128
@@ -253,4 +253,4 @@ def predict(df: DataFrame, network: Network, text: str = "text") -> DataFrame:
     ship(df.sparkSession)
     df = df.drop("lang_pred", "score")
     fields = [*df.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    return df.mapInArrow(_scores(network, text), T.StructType(fields))
+    return df.mapInArrow(releasing(_scores(network, text)), T.StructType(fields))

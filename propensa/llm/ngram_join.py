@@ -29,6 +29,7 @@ null component; columns besides ``doc_id`` and ``text`` are not read.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from propensa.llm.components import components
-from propensa.llm.tables import ship
+from propensa.llm.tables import releasing, ship
 from propensa.session import stored
 
 WIDTH = 5
@@ -47,7 +48,8 @@ THRESHOLD = (4, 5)  # similarity as a fraction
 SLOT_BITS = 25
 LONG_WORDS = 200_000  # a longer text is hashed piece by piece
 SLICE_CHARS = 1_000_000
-FLUSH_KEYS = 4_000_000
+FLUSH_KEYS = 1_000_000  # of heads counted at a time, 4 MB
+SEEN_BYTES = 32 * 1024**2  # of sets kept while pairs are compared
 BROADCAST_IDS = 1_000_000  # ids up to this number (8 MB) are sent to all executors
 _BASE = 0xD1342543DE82EF95
 
@@ -177,7 +179,7 @@ def frequency_order(docs: DataFrame, width: int = WIDTH) -> bytes:
         return pa.table({"slots": pa.array([_packed(np.diff(slots[at], prepend=np.uint32(0)))], pa.binary()),
                          "classes": pa.array([_packed(most)], pa.binary())})
 
-    heads = docs.select("text").mapInArrow(count, "range int, heads binary, counts binary")
+    heads = docs.select("text").mapInArrow(releasing(count), "range int, heads binary, counts binary")
     table = np.zeros(1 << SLOT_BITS, np.uint8)
     for row in heads.groupBy("range").applyInArrow(total, "slots binary, classes binary").toLocalIterator():
         slots = np.cumsum(_unpacked(bytes(row.slots)), dtype=np.uint32)
@@ -216,7 +218,7 @@ def prefixes(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = T
                 names=["doc_id", "n", "set1", "set2", "head", "prefix"])
 
     return stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        describe, "doc_id long, n long, set1 long, set2 long, head long, prefix array<long>"))
+        releasing(describe), "doc_id long, n long, set1 long, set2 long, head long, prefix array<long>"))
 
 
 def _needed(n: Column, m: Column, threshold: tuple[int, int]) -> Column:
@@ -253,15 +255,20 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int = WIDTH, threshold: t
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(data, pa.binary())], names=["doc_id", "data"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, np.ndarray] = {}
+        seen: dict[bytes, np.ndarray] = {}
+        held = 0
 
         def known(key: bytes) -> np.ndarray:
-            tag = hash(key)
+            nonlocal held
+            tag = hashlib.blake2b(key, digest_size=16).digest()
             if tag not in seen:
-                if len(seen) > 2_000:
-                    seen.clear()
                 text = zstandard.decompress(key, max_output_size=1 << 31).decode()
-                seen[tag] = shingle_sets([text], width)[0]
+                found = shingle_sets([text], width)[0]
+                if held + found.nbytes > SEEN_BYTES:
+                    seen.clear()
+                    held = 0
+                seen[tag] = found
+                held += found.nbytes
             return seen[tag]
 
         for batch in batches:
@@ -272,11 +279,11 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int = WIDTH, threshold: t
                 keep.append(both * whole >= part * (len(one) + len(two) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id").mapInArrow(packed, "doc_id long, data binary")
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id").mapInArrow(releasing(packed), "doc_id long, data binary")
     texts = stored(texts)
     sides = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("data").alias("x")), "a")
     sides = sides.join(texts.select(F.col("doc_id").alias("b"), F.col("data").alias("y")), "b").select("a", "b", "x", "y")
-    return stored(sides.mapInArrow(compare, "a long, b long"))
+    return stored(sides.mapInArrow(releasing(compare), "a long, b long"))
 
 
 def _postings(rows: DataFrame) -> DataFrame:
@@ -393,5 +400,6 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int]
     ids = similar_groups(docs, width, threshold).where("component_id = doc_id").select("doc_id").distinct()
     kept = named.join(ids, "doc_id").select(*docs.columns)
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    kept = kept.withColumn("_row", first).where("_row = 1").select(*docs.columns)
+    # The rows travel as one value, so that no column of theirs can clash with the number.
+    kept = kept.select(F.struct(*docs.columns).alias("kept"), first.alias("nth")).where("nth = 1").select("kept.*")
     return kept.unionByName(docs.where("doc_id is null"))

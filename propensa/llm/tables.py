@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +31,20 @@ def ship(spark: SparkSession) -> None:
         for file in sorted(PACKAGE.rglob("*.py")):
             archive.write(file, file.relative_to(PACKAGE.parent))
     spark.sparkContext.addPyFile(str(place))
+
+
+def releasing(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``work``, after which the Python worker gives freed memory back to the system.
+
+    Workers stay alive between tasks, and what the allocators keep of one stage would count against the next.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
