@@ -35,7 +35,9 @@ from propensa.operators.columns import MISSING
 from propensa.operators.encode import ordinal
 from propensa.operators.running import Running, running_totals
 from propensa.operators.split import TRAIN, VALIDATION, fold_rows
-from propensa.plans.classifiers import BoostedStumps, Discriminant
+from propensa.plans.boosting import as_forest, grow, trial_metrics
+from propensa.plans.classifiers import BoostedStumps, Discriminant, binned, cut_points
+from propensa.plans.reasons import Forest
 from propensa.session import ensure_checkpoint_dir, stored
 
 TARGET = "made_purchase"
@@ -457,3 +459,30 @@ def fit_best(
     name = board.orderBy(F.desc(sort), "model").first()["model"]
     model = _classifiers(setup.seed, setup.iterations)[name].fit(table.filter(F.col(PART) != HOLDOUT))
     return name, model, scored(model, table.filter(F.col(PART) == HOLDOUT))
+
+
+# Search with all trials grown together
+
+
+def run_trials_together(
+    table: DataFrame, params: Sequence[dict[str, Any]], names: Sequence[str], seed: int = MODEL_SEED, key: str = "mailchimp_id"
+) -> tuple[DataFrame, list[Forest]]:
+    """The trials of a search with histogram trees that share every pass, and their ensembles.
+
+    Values are cut between quantiles of the train fold. A level of all trials' trees is one grouped sum, so a search takes about
+    as many jobs as its longest trial has levels. The metrics are those of the validation fold.
+    """
+    spark = table.sparkSession
+    started = time.monotonic()
+    rows = fold_rows(table, TRAIN, VALIDATION).select(
+        key, F.col("label").cast("int").alias("label"), vector_to_array("features").alias("x"), (F.col(FOLD) == TRAIN).alias("learn"))
+    cuts = cut_points(rows.filter("learn"))
+    grown, state = grow(binned(rows, cuts), params, len(cuts), key, seed)
+    forests = [as_forest(spark, trees, chosen, cuts, names) for trees, chosen in zip(grown, params, strict=True)]
+    found = {r["trial_id"]: r for r in trial_metrics(state, len(params)).collect()}
+    seconds = (time.monotonic() - started) / max(1, len(params))
+    measured = [
+        (n, p["max_depth"], p["learning_rate"], p["n_estimators"], p["subsample"], p["colsample_bytree"],
+         *[None if n not in found or found[n][m] is None else float(found[n][m]) for m in ("f1", "recall", "roc_auc")], seconds)
+        for n, p in enumerate(params)]
+    return spark.createDataFrame(measured, TRIAL_SCHEMA), forests

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from propensa.plans import boosting as bo
 from propensa.plans import classifiers as cl
 from propensa.queries import leads
 from propensa.queries.twins import with_tables
@@ -14,6 +15,10 @@ DIGITS = 8
 PAIR = ["member_rating", "optin_month"]
 STUMP_INPUTS = ["member_rating", "optin_month", "is_free_email"]
 ROUNDS = 4
+GIVEN_TRIALS = [
+    {"max_depth": 2, "learning_rate": 0.5, "n_estimators": 3, "subsample": 1.0, "colsample_bytree": 1.0},
+    {"max_depth": 3, "learning_rate": 0.25, "n_estimators": 2, "subsample": 1.0, "colsample_bytree": 1.0},
+]
 
 
 def given_rows(spark: SparkSession, sf_dir: str, inputs: list[str]) -> DataFrame:
@@ -53,7 +58,19 @@ def stump_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("mailchimp_id", F.round(model.votes(F.col("x")), DIGITS).alias("votes"))
 
 
+def boosted_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The splits of all trees of two given trials that are grown together."""
+    rows = given_rows(spark, sf_dir, STUMP_INPUTS)
+    cuts = cl.cut_points(rows)
+    grown, _ = bo.grow(cl.binned(rows, cuts).withColumn("learn", F.lit(True)), GIVEN_TRIALS, len(STUMP_INPUTS), "mailchimp_id")
+    found = [(t, r, node, STUMP_INPUTS[f], cuts[f][b], gain) for t, trees in enumerate(grown) for r, tree in enumerate(trees)
+             for node, (f, b, gain) in tree.splits.items()]
+    splits = spark.createDataFrame(found, "trial int, tree int, node int, feature string, cut double, gain double")
+    return splits.withColumn("gain", F.round("gain", 6))
+
+
 QUERIES = {
+    "boosted_splits": boosted_splits,
     "class_moments": class_moments,
     "lda_scores": lambda s, d: _discriminant_scores(s, d, False),
     "qda_scores": lambda s, d: _discriminant_scores(s, d, True),
@@ -118,7 +135,45 @@ def _stump_sql() -> str:
     return ", ".join(parts)
 
 
+def _split_sql() -> str:
+    """Tree after tree and level after level of each trial: derivatives, cells, gains, best splits, new margins."""
+    parts, found = [], []
+    for t, trial in enumerate(GIVEN_TRIALS):
+        parts.append(f"rows{t}_0 as (select *, 0.0::double as margin from given)")
+        for r in range(trial["n_estimators"]):
+            name = f"{t}_{r}"
+            parts.append(f"""in{name}_0 as (
+                select *, 1 as node, round((p - label) / {bo.UNIT!r})::bigint as g, round(p * (1 - p) / {bo.UNIT!r})::bigint as h
+                from (select *, 1 / (1 + exp(-margin)) as p from rows{name}))""")
+            for level in range(trial["max_depth"]):
+                here = f"in{name}_{level}"
+                cells = " union all ".join(
+                    f"select node, {i} as place, '{c}' as feature, {c} as cut, sum(g)::bigint as g, sum(h)::bigint as h from {here} "
+                    f"where node >= {1 << level} group by node, {c}" for i, c in enumerate(STUMP_INPUTS))
+                side = lambda g, h: f"({g} * {bo.UNIT!r}) * ({g} * {bo.UNIT!r}) / ({h} * {bo.UNIT!r} + {bo.SHRINK})"
+                parts.append(f"""best{name}_{level} as (
+                    select * from (
+                        select node, place, feature, cut, round({side('gl', 'hl')} + {side('(g - gl)', '(h - hl)')} - {side('g', 'h')}, {bo.DIGITS}) as gain
+                        from (select node, place, feature, cut, (sum(g) over w)::double as gl, (sum(h) over w)::double as hl,
+                                     (sum(g) over (partition by node, place))::double as g, (sum(h) over (partition by node, place))::double as h
+                              from ({cells}) window w as (partition by node, place order by cut))
+                        where hl >= {int(bo.LEAST_CHILD / bo.UNIT)} and h - hl >= {int(bo.LEAST_CHILD / bo.UNIT)})
+                    where gain > 0 qualify row_number() over (partition by node order by gain desc, place, cut) = 1),
+                in{name}_{level + 1} as (
+                    select a.* replace (case when b.node is null then a.node else 2 * a.node + (case when {_ABOVE} then 1 else 0 end) end as node)
+                    from {here} a left join best{name}_{level} b on a.node = b.node)""")
+                found.append(f"select {t} as trial, {r} as tree, node, feature, cut, round(gain, 6) as gain from best{name}_{level}")
+            last = f"in{name}_{trial['max_depth']}"
+            parts.append(f"""leaf{name} as (
+                select node, -(sum(g)::double * {bo.UNIT!r}) / (sum(h)::double * {bo.UNIT!r} + {bo.SHRINK}) as value from {last} group by node),
+            rows{t}_{r + 1} as (
+                select mailchimp_id, label, {', '.join(STUMP_INPUTS)}, margin + {trial['learning_rate']} * value as margin
+                from {last} join leaf{name} using (node))""")
+    return _ROWS + ", " + ", ".join(parts) + " " + " union all ".join(found)
+
+
 SQL = {
+    "boosted_splits": _split_sql(),
     "class_moments": _ROWS + """,
         values_of as (select label, unnest([0, 1, 2]) as i, unnest([1.0::double, member_rating, optin_month]) as v, mailchimp_id from given)
         select a.label::bigint as label, a.i, b.i as j, sum(a.v * b.v) as total
