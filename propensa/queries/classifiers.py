@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from propensa.plans import boosting as bo
 from propensa.plans import classifiers as cl
+from propensa.plans import neighbours as nb
 from propensa.queries import leads
 from propensa.queries.twins import with_tables
 
@@ -15,6 +16,8 @@ DIGITS = 8
 PAIR = ["member_rating", "optin_month"]
 STUMP_INPUTS = ["member_rating", "optin_month", "is_free_email"]
 ROUNDS = 4
+NEAR_INPUTS = ["member_rating", "optin_month", "tag_count", "is_free_email", "optin_day_of_week"]
+NEIGHBOURS = 5
 GIVEN_TRIALS = [
     {"max_depth": 2, "learning_rate": 0.5, "n_estimators": 3, "subsample": 1.0, "colsample_bytree": 1.0},
     {"max_depth": 3, "learning_rate": 0.25, "n_estimators": 2, "subsample": 1.0, "colsample_bytree": 1.0},
@@ -69,7 +72,24 @@ def boosted_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.withColumn("gain", F.round("gain", 6))
 
 
+def _nearest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows = given_rows(spark, sf_dir, NEAR_INPUTS)
+    return rows, nb.nearest(rows, rows.filter("mailchimp_id % 50 = 0"), NEIGHBOURS)
+
+
+def nearest_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest other leads of every fiftieth, among all."""
+    return _nearest(spark, sf_dir)[1].select("query", F.col("key").alias("mailchimp_id"), "rank", "distance")
+
+
+def neighbour_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, found = _nearest(spark, sf_dir)
+    return nb.neighbour_scores(found, rows)
+
+
 QUERIES = {
+    "nearest_leads": nearest_leads,
+    "neighbour_scores": neighbour_scores,
     "boosted_splits": boosted_splits,
     "class_moments": class_moments,
     "lda_scores": lambda s, d: _discriminant_scores(s, d, False),
@@ -172,7 +192,20 @@ def _split_sql() -> str:
     return _ROWS + ", " + ", ".join(parts) + " " + " union all ".join(found)
 
 
+_PAIRS = with_tables("engineered") + f""",
+        given as (
+            select mailchimp_id, cast(member_rating * 3 + optin_month + mailchimp_id * 7919 % 11 > 20 as int) as label,
+                   [{', '.join(f'{c}::double' for c in NEAR_INPUTS)}] as x from engineered),
+        near as (
+            select q.mailchimp_id as query, r.mailchimp_id, r.label, list_sum(list_transform(list_zip(q.x, r.x), lambda p: (p[1] - p[2]) ** 2)) as distance
+            from given q join given r on q.mailchimp_id % 50 = 0 and q.mailchimp_id <> r.mailchimp_id),
+        ranked as (
+            select *, row_number() over (partition by query order by distance, mailchimp_id) as rank
+            from near qualify rank <= {NEIGHBOURS})"""
+
 SQL = {
+    "nearest_leads": _PAIRS + " select query, mailchimp_id, rank, distance from ranked",
+    "neighbour_scores": _PAIRS + " select query, avg(label) as score from ranked group by query",
     "boosted_splits": _split_sql(),
     "class_moments": _ROWS + """,
         values_of as (select label, unnest([0, 1, 2]) as i, unnest([1.0::double, member_rating, optin_month]) as v, mailchimp_id from given)
