@@ -60,7 +60,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.sized(read(spark, sf_dir, "documents")).drop("text", "lang", "n_chars")
-    return mixing.taken(mixing.assign(rows)).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.trained(mixing.assign(rows)).select(
+        "doc_id", "size", "source_size", "target", "taken", "first_position", "last_position", "first_word")
 
 
 OP5_SQL = r"""
@@ -69,7 +70,8 @@ with docs as (
   from documents
 ), sums as (
   select source, sum(size)::bigint as source_size,
-    [5.0, 2.0, 1.0][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int]::double as weight
+    ((row_number() over (order by source nulls last) - 1) % 3 + 1)::int as turn,
+    [5.0, 2.0, 1.0][turn]::double as weight, [1.0, 0.5, 1.5][turn]::double as start, [1.0, 1.5, 0.5][turn]::double as "end"
   from docs group by source
 ), running as (
   select *, coalesce(source, '') as tie, source is null as last,
@@ -85,20 +87,30 @@ with docs as (
   select (list(level order by source_size / weight, source nulls first)
     filter (where level * weight <= source_size * 2))[1] as level from levels
 ), targets as (
-  select s.source, s.source_size,
+  select s.source, s.source_size, s.start, s."end",
     least(s.source_size * 2.0::double, coalesce(l.level * s.weight, s.source_size * 2.0::double)) as target
   from sums s cross join level l
 ), placed as (
-  select d.doc_id, d.size, t.source_size, t.target,
+  select row_number() over () as r, d.doc_id, d.source, d.size, t.source_size, t.target, t.start, t."end",
     case when t.source_size > 0 then floor(t.target / t.source_size)::bigint else 0 end as passes,
     coalesce(sum(d.size) over (partition by d.source order by md5(coalesce(d.doc_id::varchar, '')), d.doc_id nulls first, d.size
       rows between unbounded preceding and 1 preceding), 0)::bigint as before
   from docs d join targets t on d.source is not distinct from t.source
+), copy as (
+  select *, unnest(range(passes + case when before + size / 2.0::double <= target - passes * source_size then 1 else 0 end)) as nth
+  from placed where size > 0
+), share as (
+  select *, least(1.0::double, (before + nth * source_size + size / 2.0::double) / target) as share, "end" - start as slope from copy
+), positioned as (
+  select *, case when slope = 0 then share / start else (sqrt(start * start + 2 * slope * share) - start) / slope end as position from share
+), streamed as (
+  select *, sum(size) over (order by position, doc_id nulls first, source nulls first, before) - size as ahead from positioned
+), mixed as (
+  select r, sum(size)::bigint as taken, min(position) as first_position, max(position) as last_position, min(ahead)::bigint as first_word
+  from streamed group by r
 )
-select doc_id, size, source_size, target,
-  (size * (passes + case when size > 0 and before + size / 2.0::double <= target - passes * source_size
-    then 1 else 0 end))::bigint as taken
-from placed
+select doc_id, size, source_size, target, coalesce(taken, 0)::bigint as taken, first_position, last_position, first_word
+from placed left join mixed using (r)
 """
 
 

@@ -14,8 +14,8 @@ tasks as there are buckets; the rows are never gathered by source.
 Defined results: a null text has size 0; a null source is a source of its own,
 last in the order; a document of size 0 is never taken; an empty table gives an
 empty result; repeated rows are documents of their own, ordered by id, then size,
-then text. Columns of the input keep their names; the added ones are listed in
-``ADDED`` and replace columns of the same name.
+then text; copies at one position are ordered by id and source. Columns of the input keep their names; the added ones are
+listed in ``ADDED`` and ``_TRAINED`` and replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from propensa.operators.running import Running, running_totals
 from propensa.session import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,6 +32,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SCHEDULES = ((1.0, 1.0), (0.5, 1.5), (1.5, 0.5))
 SHARE, REPEATS = 1.5, 2
 ADDED = ["size", "source_size", "weight", "start", "end", "target", "before", "passes", "extra", "taken", "position"]
+_TRAINED = ["taken", "first_position", "last_position", "first_word"]
 _OWN = ["_source", "_hash", "_bucket"]
 
 
@@ -48,7 +50,7 @@ def _bits(df: DataFrame) -> int:
 def sized(docs: DataFrame, size: Column | None = None) -> DataFrame:
     """``docs`` with the size, a source key that is never null, and the place in the seeded order."""
     order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    docs = docs.drop(*ADDED, *_OWN)
+    docs = docs.drop(*ADDED, *_TRAINED, *_OWN)
     return (
         docs.withColumn("size", words(F.col("text")) if size is None else size)
         .withColumn("_source", F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("source"))))
@@ -118,7 +120,7 @@ def assign(rows: DataFrame, **shares) -> DataFrame:
 
 
 def taken(rows: DataFrame) -> DataFrame:
-    """``rows`` of :func:`assign` with the words that the mix takes of each document."""
+    """``rows`` of :func:`assign` with the words that the mix takes of each document, by its shares alone."""
     return rows.withColumn("taken", F.col("size") * (F.col("passes") + F.col("extra").cast("long")))
 
 
@@ -132,3 +134,22 @@ def curriculum(rows: DataFrame) -> DataFrame:
     at = F.when(slope == 0, share / F.col("start")).otherwise(
         (F.sqrt(F.col("start") * F.col("start") + 2 * slope * share) - F.col("start")) / slope)
     return every.withColumn("position", at).repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
+
+
+def trained(rows: DataFrame) -> DataFrame:
+    """``rows`` of :func:`assign` with what the curriculum's copies make of each document.
+
+    ``taken`` is the words of its copies, ``first_position`` and ``last_position`` their least and greatest
+    position, ``first_word`` the words of the whole training stream before the first one; a document
+    without a copy has 0 and nulls. Copies are numbered in ranges of the position. Within a source, ``before``
+    tells documents that have a word apart.
+    """
+    rows = stored(rows.drop(*_TRAINED, "_ends", "_from", "_at"))
+    copies = curriculum(rows).select("position", "doc_id", "_source", "before", "size")
+    numbered = running_totals(copies, ["position", "doc_id", "_source", "before"], Running(sums={"_ends": "size"}))
+    placed = numbered.groupBy(F.col("_source").alias("_from"), F.col("before").alias("_at")).agg(
+        F.sum("size").alias("taken"), F.min("position").alias("first_position"), F.max("position").alias("last_position"),
+        F.min(F.col("_ends") - F.col("size")).alias("first_word"))
+    same = (F.col("_source") == F.col("_from")) & (F.when(F.col("size") > 0, F.col("before")) == F.col("_at"))
+    met = rows.join(placed, same, "left").drop("_from", "_at")
+    return met.withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))

@@ -63,9 +63,27 @@ def test_curriculum(spark):
     assert len(middle) == pytest.approx(sum(r.taken / r.size for r in mixing.taken(assigned).where("source = 'b'").collect()))
 
 
+def test_trained_follows_the_copies(spark, docs):
+    assigned = mixing.assign(mixing.sized(docs))
+    got = mixing.trained(assigned)
+    assert python_free(got)
+    got = got.collect()
+    assert len(got) == len(odd_rows())
+    shares = {(r._source, r.before, r.size): r.taken for r in mixing.taken(assigned).collect()}
+    places, words = defaultdict(list), 0
+    for c in sorted(mixing.curriculum(assigned).collect(), key=lambda c: (c.position, c.doc_id is not None, c.doc_id or 0, c._source, c.before)):
+        places[c._source, c.before].append((c.position, words))
+        words += c.size
+    for r in got:
+        own = places[r._source, r.before] if r.size else []
+        assert r.taken == shares[r._source, r.before, r.size] == r.size * len(own)
+        first = own[0] if own else (None, None)
+        assert (r.first_position, r.first_word, r.last_position) == (*first, own[-1][0] if own else None)
+
+
 def test_mixing_empty(docs):
     assigned = mixing.assign(mixing.sized(docs.limit(0)))
-    assert mixing.taken(assigned).count() == 0 and mixing.curriculum(assigned).count() == 0
+    assert mixing.taken(assigned).count() == 0 and mixing.curriculum(assigned).count() == 0 and mixing.trained(assigned).count() == 0
 
 
 ITEM = prose(700, 33)
