@@ -34,9 +34,8 @@ from propensa.llm.tables import releasing, ship
 
 HIDDEN = 8
 STRETCH = 128
-SAMPLE_PER_LANGUAGE = 400  # bound of the rows that the network learns from
+SAMPLE_PER_LANGUAGE, SAMPLE_ROWS = 400, 25_600  # bounds of the rows that the network learns from, of one language and of all
 SAMPLE_BYTES = 512  # bytes of a sampled row that are learned from, from a seeded place in it
-LANGUAGES = 64  # bound of the languages told apart, the most frequent ones
 STEPS, BATCH, RATE = 300, 64, 0.02
 WIDE = 2048  # stretches that run side by side
 UNKNOWN = "und"
@@ -194,27 +193,30 @@ def stretches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def fit(rows: DataFrame) -> Network:
     """Network learned from ``rows`` (doc_id, text, lang) that are not held out and have a language.
 
-    ``SAMPLE_PER_LANGUAGE`` rows of each of the ``LANGUAGES`` most frequent languages at most, those with the
-    smallest hash of their id; ``SAMPLE_BYTES`` of each.
+    Every language is learned: ``SAMPLE_PER_LANGUAGE`` rows of each at most, fewer (at least one) where there are so many
+    languages that these were more than ``SAMPLE_ROWS``; those with the smallest hash of their id; ``SAMPLE_BYTES`` of each.
     """
     known = rows.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = known.groupBy("lang").count().collect()  # a row per language
     languages = sorted(r["lang"] for r in counts)
     network = Network(languages)
     if not languages:
         return network
     # A hash threshold leaves some hundreds of rows per language before any row is ranked.
-    share = {r["lang"]: 2 * SAMPLE_PER_LANGUAGE / r["count"] for r in counts if r["count"] > 4 * SAMPLE_PER_LANGUAGE}
+    each = max(1, min(SAMPLE_PER_LANGUAGE, SAMPLE_ROWS // len(languages)))
+    share = {r["lang"]: (2 * each + 60) / r["count"] for r in counts if r["count"] > 4 * each + 120}
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    cut = F.lit(float(1 << 30))
-    for lang, part in share.items():
-        cut = F.when(F.col("lang") == lang, F.lit(part * (1 << 30))).otherwise(cut)
+    every = F.lit(float(1 << 30))
+    cut = every
+    if share:
+        cuts = F.create_map(*[F.lit(v) for lang, part in share.items() for v in (lang, part * (1 << 30))])
+        cut = F.coalesce(F.element_at(cuts, F.col("lang")), every)
     chars = F.length("text")
     start = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.lit(1), chars - SAMPLE_BYTES + 1)) + 1
     part = F.col("text").substr(start.cast("int"), F.lit(SAMPLE_BYTES))
-    picked = known.where(F.col("lang").isin(languages) & (draw < cut)).select("lang", draw.alias("d"), part.alias("t"))
+    picked = known.where(draw < cut).select("lang", draw.alias("d"), part.alias("t"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("d", "t"))
-    sample = picked.withColumn("n", rank).where(F.col("n") <= SAMPLE_PER_LANGUAGE).orderBy("lang", "n").collect()
+    sample = picked.withColumn("n", rank).where(F.col("n") <= each).orderBy("lang", "n").collect()
     texts = [r.t.encode()[:SAMPLE_BYTES] for r in sample]
     return network.start().train(texts, [languages.index(r.lang) for r in sample])
 

@@ -72,3 +72,10 @@ def test_nothing_to_learn_from(spark):
     empty = language.fit(docs.limit(0))
     assert {r.lang_pred for r in language.predict(docs, empty).collect()} == {"und"}
     assert language.predict(docs.limit(0), empty).count() == 0
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "STEPS", 3)
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 50)
+    rows = [(k * 1000 + i, prose(k * 1000 + i, 5), f"l{k:02}", "a", 1) for k in range(70) for i in range(4 if k else 400)]
+    assert language.fit(frame(spark, rows)).languages == [f"l{k:02}" for k in range(70)]
