@@ -12,12 +12,17 @@ repeated, or both, with slots where texts stand. It is inferred by alignment:
   parts, then over the parts' wrappers), and a host with a third of all pages is no
   larger than its templates.
 
-Texts do not enter the expressions; for every slot of a host it is aggregated how many
-pages fill it, how much with, how much of that in links, and whether
-all pages say the same; copies of a page count once. From that and the tags the wrapper's slots are told
-apart: the article, and the rest. A page's text is what its blocks in the article's slots hold.
-That is done for each template of a host: pages whose strongest element named as an article is of one
-rank, and among pages without one, those that the article found first leaves without text, again.
+Every node of a host's wrapper has a number. Pages are then matched against the wrapper from the left: neighbours with one key
+go together to the next child of the wrapper with that key. Alignment only puts children in or joins equal neighbours, so every
+page of the host has such a match, and elements with equal tags and names are told apart by their position.
+For every slot, a place where text stands, it is aggregated how many different pages fill it, how much with, how much of that
+in links, and whether all say the same. From that and the tags the article's slots are told from the rest, and a page's text
+is what its blocks in the article's slots hold. That is done for each template of a host: pages whose strongest element named
+as an article is of one rank, and among pages without one, those that the article found first leaves without text, again.
+
+Names are whole tokens of class, id and role. A token such as ``no-sidebar`` or ``with-comments`` says what an element
+holds, not what it is. Names of layout above an article, such as ``sidebar-left``, are overlooked on pages that have
+more text in articles below such names than outside of them.
 
 Defined results: a null or empty html, or a page without an article, gives an empty
 text; pages without a host belong to one host of their own; repeated rows get equal results;
@@ -35,13 +40,15 @@ from hashlib import blake2b
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from propensa.llm.tables import ship
 from propensa.session import stored
 
 PARTS = 32  # salted parts of a host's expressions
 DEEPEST = 60  # deeper nodes count as children of the last level; their text stays
-CONSTANT_PAGES = 5  # as many different pages must say the same before it is a host's notice
+RELIEVED = 10  # added to the rank of a page whose article stands below names of layout
+BATCH_CHARS = 8_000_000  # of text that a task holds before it hands rows on
 # Kinds of HTML elements, as the standard names them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp
@@ -66,27 +73,27 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*>|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S | re.I)
 _NAMES = re.compile(r"(?:\s|^)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
+HOLDING = frozenset("has have hide is no not show with without".split())  # a name that begins so is none of the element itself
 _SPACE = re.compile(r"\s+")
 
 
 def _names(rest: str) -> tuple[str, ...]:
-    """Words of an element's class, id and role; words with digits are of one page and left out."""
+    """Tokens of an element's class, id and role; tokens with digits are of one page and left out."""
     found = " ".join(next(filter(None, m), "") for m in _NAMES.findall(rest)).lower() if "=" in rest else ""
-    return tuple(sorted({w for token in found.split() if not any(map(str.isdigit, token)) for w in _NAME.findall(token)}))
+    return tuple(sorted({"-".join(_NAME.findall(token)) for token in found.split() if not any(map(str.isdigit, token))} - {""}))
 
 
 class Page:
     """A page's block elements and texts.
 
-    ``blocks`` are (path, text, characters in links) in page order; a path is the
-    number of a chain of keys from the root, and ``tree`` the keys as nested [key, children].
+    ``tree`` is nested [key, children, number in the wrapper]; ``blocks`` are (leaf of the tree, text, characters in
+    links) in page order. Leaves have the key ``#``.
     """
 
-    def __init__(self, source: str, paths: dict[tuple[int, str], int]):
-        self.blocks: list[tuple[int, str, int]] = []
-        self.tree: list = ["", []]
-        self.paths = paths
-        open_: list[tuple[str, list, int]] = [("", self.tree, 0)]  # tag, node, path
+    def __init__(self, source: str):
+        self.blocks: list[tuple[list, str, int]] = []
+        self.tree: list = ["", [], 0]
+        open_: list[tuple[str, list]] = [("", self.tree)]  # tag, node
         self.pieces: list[str] = []
         links = 0
         self.linked = 0
@@ -106,7 +113,7 @@ class Page:
                     self.pieces.append(" ")
                 continue
             if m["close"]:
-                if any(t == tag for t, _, _ in open_):
+                if any(t == tag for t, _ in open_):
                     self._flush(open_[-1])
                     while open_.pop()[0] != tag:
                         pass
@@ -119,42 +126,68 @@ class Page:
                 open_.pop()
             if tag in VOID:
                 continue
-            key = ".".join((tag, *_names(m["rest"])))
-            _, parent, path = open_[-1]
+            key = tag if tag in ("html", "body") else ".".join((tag, *_names(m["rest"])))
+            parent = open_[-1][1]
+            node = parent
             if len(open_) <= DEEPEST:
-                node = [key, []]
+                node = [key, [], -1]
                 parent[1].append(node)
-                open_.append((tag, node, self._path(path, key)))
-            else:
-                open_.append((tag, parent, path))
+            open_.append((tag, node))
         self._say(source[end:], links > 0)
         self._flush(open_[-1])
 
-    def _path(self, parent: int, key: str) -> int:
-        number = self.paths.get((parent, key))
-        if number is None:
-            if len(self.paths) > 200_000:
-                self.paths.clear()
-            number = int.from_bytes(blake2b(f"{parent} {key}".encode(), digest_size=8).digest(), "big", signed=True)
-            self.paths[parent, key] = number
-        return number
-
     def _say(self, text: str, linked: bool) -> None:
         self.pieces.append(text)
         if linked:
             self.linked += len(text.strip())
 
-    def _flush(self, element: tuple[str, list, int]) -> None:
+    def _flush(self, element: tuple[str, list]) -> None:
         """Close the block of text that stands in ``element``."""
         if self.pieces:
             text = _SPACE.sub(" ", html.unescape("".join(self.pieces))).strip()
             if text:
-                _, node, path = element
-                self.blocks.append((self._path(path, "#"), text, self.linked))
-                if not node[1] or node[1][-1][0] != "#":
-                    node[1].append(["#", []])
+                children = element[1][1]
+                if not children or children[-1][0] != "#":
+                    children.append(["#", [], -1])
+                self.blocks.append((children[-1], text, self.linked))
         self.pieces, self.linked = [], 0
 
+    def match(self, wrapper: Wrapper) -> None:
+        """Number the nodes by their places in the wrapper; what has no place keeps -1."""
+        todo = [self.tree]
+        while todo:
+            _, children, number = todo.pop()
+            places = wrapper.children[number]
+            key, place, at = None, -1, 0
+            for child in children:
+                if child[0] != key:
+                    key = child[0]
+                    found = next((k for k in range(at, len(places)) if wrapper.keys[places[k]] == key), None)
+                    place = -1 if found is None else places[found]
+                    at = at if found is None else found + 1
+                child[2] = place
+                if place >= 0 and child[1]:
+                    todo.append(child)
+
+
+class Wrapper:
+    """A wrapper's nodes by number, from the root down and from the left: keys, parents, children."""
+
+    def __init__(self, expression: list):
+        self.keys: list[str] = []
+        self.parents: list[int] = []
+        self.children: list[list[int]] = []
+        todo = [(expression, -1)]
+        while todo:
+            (key, _, children), parent = todo.pop()
+            number = len(self.keys)
+            self.keys.append(key)
+            self.parents.append(parent)
+            self.children.append([])
+            if parent >= 0:
+                self.children[parent].append(number)
+            todo += [(child, number) for child in reversed(children)]
+
 
 # An expression is [key, quantifier, children]; the quantifier is "" (once), "?" (optional), "+" (repeated) or "*" (both).
 
@@ -219,56 +252,96 @@ def fold(expressions: list[str]) -> str:
     return json.dumps(wrapper, ensure_ascii=False, separators=(",", ":"))
 
 
+def _parts(key: str) -> list[list[str]]:
+    """The words of each name of an element that tells what the element is."""
+    names = (name.split("-") for name in key.split(".")[1:])
+    return [words for words in names if words[0] not in HOLDING]
+
+
+def _aside_tag(key: str) -> bool:
+    return key.split(".")[0] in ASIDE_TAGS
+
+
 def _aside(key: str) -> bool:
-    tag, *names = key.split(".")
-    return tag in ASIDE_TAGS or any(n in ASIDE_NAMES for n in names)
+    return _aside_tag(key) or any(w in ASIDE_NAMES for words in _parts(key) for w in words)
 
 
 def _rank(key: str) -> int:
     """3, 2 or 1 for an element named as an article, 0 for others."""
-    tag, *names = key.split(".")
-    return 3 if tag == "article" else 2 if tag == "main" else 1 if ARTICLE_NAMES & set(names) else 0
+    tag = key.split(".")[0]
+    return 3 if tag == "article" else 2 if tag == "main" else 1 if any(w in ARTICLE_NAMES for words in _parts(key) for w in words) else 0
 
 
-def strongest(tree: list) -> int:
-    """The highest rank of a page's elements that do not stand aside."""
-    rank, todo = 0, [tree]
+def strongest(page: Page) -> int:
+    """The highest rank of a page's elements that do not stand aside.
+
+    If none of them is an article by its tag and there is more text in such articles below elements that stand aside by name,
+    the highest rank of those, and ``RELIEVED`` more.
+    """
+    size: dict[int, int] = {}
+    for leaf, text, _ in page.blocks:
+        size[id(leaf)] = size.get(id(leaf), 0) + len(text)
+    rank = below = free = held = 0
+    todo = [(page.tree, False, False)]  # node, below a name that stands aside, in an article there
     while todo:
-        key, children = todo.pop()
-        rank = max(rank, _rank(key))
-        todo += [c for c in children if c[0] != "#" and not _aside(c[0])]
-    return rank
+        (key, children, _), named, inside = todo.pop()
+        if not named:
+            rank = max(rank, _rank(key))
+        elif inside:
+            below = max(below, _rank(key))
+        for child in children:
+            if child[0] == "#":
+                free += 0 if named else size.get(id(child), 0)
+                held += size.get(id(child), 0) if inside else 0
+            elif not _aside(child[0]):
+                todo.append((child, named, inside or named and _rank(child[0]) > 1))
+            elif not _aside_tag(child[0]) and not inside:
+                todo.append((child, True, False))
+    return RELIEVED + below if rank < 2 and held > free else rank
 
 
-def article_slots(wrapper: list, slots: dict[int, tuple[int, int, int, bool]]) -> tuple[bool, list[int]]:
-    """Whether the article is named, and the paths of the wrapper's slots that make it.
+def article_slots(wrapper: Wrapper, slots: dict[int, tuple[int, int, int, bool]], relieved: bool = False) -> tuple[bool, list[int]]:
+    """Whether the article is named, and the numbers of the wrapper's slots that make it.
 
-    ``slots`` holds (pages, characters, characters in links, whether all say the same) by path, of the different pages of
+    ``slots`` holds (pages, characters, characters in links, whether all say the same) by number, of the different pages of
     one template. The article is under the elements of the highest rank that hold a quarter of the text; without such elements,
-    under the deepest element that holds at least two thirds of the text that is no link and not the same on all pages.
-    What stands under a named element, or where all of a template's text is the same, is no notice. If the deepest element is
+    under the deepest element that holds at least two thirds of the text that is no link and no notice. A notice is what says
+    the same on all pages that have it, at least half of the different ones and more than one, if the notices together
+    hold less text than the rest. What stands under a named element is no notice. If the deepest element is
     itself running text, such as a paragraph, the other running text beside it belongs to the article, unless it is mostly links.
+    ``relieved``: names do not put an element aside that holds the article with the most text.
     """
-    numbers: dict[tuple[int, str], int] = {}
-    path_of = Page("", numbers)._path
+    holding: set[int] = set()
+    if relieved:
+        held = [slots.get(n, (0, 0))[1] for n in range(len(wrapper.keys))]
+        for number in range(len(held) - 1, 0, -1):
+            held[wrapper.parents[number]] += held[number]
+        bare = [n for n, key in enumerate(wrapper.keys) if _rank(key) > 1 and not _aside(key)]
+        above = wrapper.parents[max(bare, key=lambda n: held[n])] if bare else -1
+        while above > 0:
+            holding.add(above)
+            above = wrapper.parents[above]
     found: list[tuple[int, tuple[int, ...], bool]] = []  # slot, chain of elements, whether it stands aside
     named: dict[int, int] = {}  # elements named as an article, with their rank
-    tags = {0: ""}
-    todo = [(wrapper, 0, (0,), False)]
+    tags = [key.split(".")[0] for key in wrapper.keys]
+    todo = [(0, (0,), False)]
     while todo:
-        (key, _, children), path, chain, aside = todo.pop()
+        number, chain, aside = todo.pop()
+        key = wrapper.keys[number]
         if not aside and _rank(key):
-            named[path] = _rank(key)
-        for child in children:
-            number = path_of(path, child[0])
-            tags[number] = child[0].split(".")[0]
-            if child[0] == "#":
-                found.append((number, chain, aside))
+            named[number] = _rank(key)
+        for child in wrapper.children[number]:
+            key = wrapper.keys[child]
+            if key == "#":
+                found.append((child, chain, aside))
             else:
-                todo.append((child, number, (*chain, number), aside or _aside(child[0])))
+                own = _aside_tag(key) if child in holding else _aside(key)
+                todo.append((child, (*chain, child), aside or own))
 
-    notices = {s for s, chain, _ in found if s in slots and slots[s][3] and slots[s][0] >= CONSTANT_PAGES and not named.keys() & set(chain)}
-    if all(s in notices for s, _, aside in found if s in slots and not aside):
+    most = max((pages for pages, *_ in slots.values()), default=0)
+    loose = [s for s, chain, aside in found if s in slots and not aside and not named.keys() & set(chain)]
+    notices = {s for s in loose if slots[s][3] and slots[s][0] > 1 and 2 * slots[s][0] >= most}
+    if 2 * sum(slots[s][1] for s in notices) >= sum(slots[s][1] for s, _, aside in found if s in slots and not aside):
         notices = set()
 
     def weight(slot: int) -> float:
@@ -300,34 +373,69 @@ def _rows(columns: list[tuple[list, pa.DataType, str]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t, _ in columns], names=[n for _, _, n in columns])
 
 
-def described(pages: DataFrame) -> DataFrame:
-    """Per page: host, rank of its strongest named element, expression, slots (path, hash of what it says, chars, linked) and their hash. Written once."""
-    slot = pa.list_(pa.struct([("path", pa.int64()), ("said", pa.int64()), ("chars", pa.int64()), ("linked", pa.int64())]))
-
+def expressions(pages: DataFrame) -> DataFrame:
+    """The distinct (host, expression) of all pages."""
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        paths: dict[tuple[int, str], int] = {}
         for batch in batches:
-            ranks, expressions, slots, wholes = [], [], [], []
-            for source in batch.column("html"):
-                page = Page(source.as_py() or "", paths)
-                ranks.append(strongest(page.tree))
-                expressions.append(json.dumps(expression(page.tree), ensure_ascii=False, separators=(",", ":")))
+            made = [json.dumps(expression(Page(source.as_py() or "").tree), ensure_ascii=False, separators=(",", ":"))
+                    for source in batch.column("html")]
+            yield _rows([(batch.column("host"), pa.string(), "host"), (made, pa.string(), "expression")])
+
+    return pages.select(host().alias("host"), "html").mapInArrow(describe, "host string, expression string").distinct()
+
+
+_SLOT = pa.list_(pa.struct([("slot", pa.int32()), ("said", pa.int64()), ("chars", pa.int64()), ("linked", pa.int64())]))
+_BLOCK = pa.list_(pa.struct([("slot", pa.int32()), ("text", pa.string())]))
+
+
+def _hash(value: bytes) -> int:
+    return int.from_bytes(blake2b(value, digest_size=8).digest(), "big", signed=True)
+
+
+def matched(pages: DataFrame, whole: DataFrame) -> DataFrame:
+    """Pages matched against their hosts' wrappers, written once.
+
+    Per page: page_id, url, host, rank of its strongest named element, blocks (slot, text), slots (number, hash of what it says,
+    characters, those in links) and their hash.
+    """
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, Wrapper] = {}
+        for batch in batches:
+            start, held, ranks, blocks, slots, hashes = 0, 0, [], [], [], []
+            for n, (source, serialized) in enumerate(zip(batch.column("html"), batch.column("expression"), strict=True)):
+                serialized = serialized.as_py()
+                if serialized not in known:
+                    if len(known) >= 100:
+                        known.clear()
+                    known[serialized] = Wrapper(json.loads(serialized))
+                page = Page(source.as_py() or "")
+                page.match(known[serialized])
+                ranks.append(strongest(page))
                 said: dict[int, list] = {}
-                for path, text, linked in page.blocks:
-                    entry = said.setdefault(path, [blake2b(digest_size=8), 0, 0])
+                for (_, _, slot), text, linked in page.blocks:
+                    entry = said.setdefault(slot, [blake2b(digest_size=8), 0, 0])
                     entry[0].update(text.encode("utf-8", "replace"))
                     entry[1] += len(text)
                     entry[2] += linked
-                slots.append([{"path": p, "said": int.from_bytes(h.digest(), "big", signed=True), "chars": c, "linked": k}
-                              for p, (h, c, k) in said.items()])
-                whole = repr([tuple(s.values()) for s in slots[-1]]).encode()
-                wholes.append(int.from_bytes(blake2b(whole, digest_size=8).digest(), "big", signed=True))
-            yield _rows([(batch.column("host"), pa.string(), "host"), (ranks, pa.int32(), "rank"), (expressions, pa.string(), "expression"), (slots, slot, "slots"),
-                         (wholes, pa.int64(), "whole")])
-
-    rows = pages.select(host().alias("host"), "html").mapInArrow(
-        describe, "host string, rank int, expression string, slots array<struct<path: long, said: long, chars: long, linked: long>>, whole long")
-    return stored(rows)
+                    held += len(text)
+                blocks.append([{"slot": leaf[2], "text": text} for leaf, text, _ in page.blocks])
+                slots.append([{"slot": s, "said": int.from_bytes(h.digest(), "big", signed=True), "chars": c, "linked": k}
+                              for s, (h, c, k) in said.items()])
+                hashes.append(_hash(repr([tuple(s.values()) for s in slots[-1]]).encode()))
+                if held >= BATCH_CHARS or n + 1 == len(batch):
+                    part = batch.slice(start, n + 1 - start)
+                    own = pa.RecordBatch.from_arrays([
+                        part.column("page_id"), part.column("url"), part.column("host"), pa.array(ranks, pa.int32()),
+                        pa.array(blocks, _BLOCK), pa.array(slots, _SLOT), pa.array(hashes, pa.int64())],
+                        names=["page_id", "url", "host", "rank", "blocks", "slots", "whole"])
+                    yield own
+                    start, held, ranks, blocks, slots, hashes = n + 1, 0, [], [], [], []
+
+    added = T.StructType.fromDDL("host string, rank int, blocks array<struct<slot: int, text: string>>, "
+                                 "slots array<struct<slot: int, said: long, chars: long, linked: long>>, whole long")
+    schema = T.StructType([*pages.select("page_id", "url").schema.fields, *added.fields])
+    rows = pages.select("page_id", "url", "html", host().alias("host")).join(whole, "host")
+    return stored(rows.select("page_id", "url", "host", "html", "expression").mapInArrow(place, schema))
 
 
 def host():
@@ -335,46 +443,48 @@ def host():
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """Per host: its wrapper (serialized) and the articles of its templates in the order they were found. Written once.
-
-    An article is (round, rank, whether it is named, paths of its slots). Pages of a rank without a named article that have
-    no text in the article of one round are a template of their own in the next; each round takes two thirds of the text.
-    """
-    rows = described(pages)
-
+    """Per host: its wrapper, serialized as ``expression``. Written once."""
     def folded(table: pa.Table) -> pa.Table:
         return pa.table({"host": table.column("host").slice(0, 1), "expression": [fold(table.column("expression").to_pylist())]})
 
-    distinct = rows.select("host", "expression").distinct()
-    parts = distinct.withColumn("part", F.pmod(F.xxhash64("expression"), F.lit(PARTS)))
+    parts = expressions(pages).withColumn("part", F.pmod(F.xxhash64("expression"), F.lit(PARTS)))
     parts = parts.groupBy("host", "part").applyInArrow(folded, "host string, expression string")
-    whole = parts.groupBy("host").applyInArrow(folded, "host string, expression string")
-    whole = stored(whole)
+    return stored(parts.groupBy("host").applyInArrow(folded, "host string, expression string"))
+
+
+def articles_of(rows: DataFrame, whole: DataFrame) -> DataFrame:
+    """Per host, the articles of its templates in the order they were found. Written once.
+
+    ``rows`` are those of :func:`matched`. An article is (round, rank, whether it is named, numbers of its slots). Pages of a
+    rank without a named article that have no text in the article of one round are a template of their own in the next;
+    each round takes two thirds of the text.
+    """
+    rows = rows.select("host", "rank", "slots", "whole")
 
     def articles(rows: DataFrame, turn: int) -> DataFrame:
         different = rows.where(F.size("slots") > 0).dropDuplicates(["host", "rank", "whole"])
-        slots = different.select("host", "rank", F.explode("slots").alias("s")).groupBy("host", "rank", "s.path").agg(
+        slots = different.select("host", "rank", F.explode("slots").alias("s")).groupBy("host", "rank", "s.slot").agg(
             F.count("*").alias("pages"), F.sum("s.chars").alias("chars"), F.sum("s.linked").alias("linked"),
             (F.min("s.said") == F.max("s.said")).alias("same"))
 
         def marked(wrapper: pa.Table, table: pa.Table) -> pa.Table:
             known: dict[int, dict] = {}
             for r in table.to_pylist():
-                known.setdefault(r["rank"], {})[r["path"]] = (r["pages"], r["chars"], r["linked"], r["same"])
-            tree = json.loads(wrapper.column("expression")[0].as_py())
-            found = [(rank, *article_slots(tree, k)) for rank, k in sorted(known.items())]
+                known.setdefault(r["rank"], {})[r["slot"]] = (r["pages"], r["chars"], r["linked"], r["same"])
+            nodes = Wrapper(json.loads(wrapper.column("expression")[0].as_py()))
+            found = [(rank, *article_slots(nodes, k, rank >= RELIEVED)) for rank, k in sorted(known.items())]
             return pa.table({
                 "host": pa.array([wrapper.column("host")[0].as_py()] * len(found), pa.string()), "round": pa.array([turn] * len(found), pa.int32()),
                 "rank": pa.array([f[0] for f in found], pa.int32()), "named": pa.array([f[1] for f in found], pa.bool_()),
-                "article": pa.array([f[2] for f in found], pa.list_(pa.int64()))})
+                "article": pa.array([f[2] for f in found], pa.list_(pa.int32()))})
 
         return stored(whole.groupBy("host").cogroup(slots.groupBy("host")).applyInArrow(
-            marked, "host string, round int, rank int, named boolean, article array<long>"))
+            marked, "host string, round int, rank int, named boolean, article array<int>"))
 
     found, rest, left = [articles(rows, 0)], rows, None
     while True:
         rest = rest.join(found[-1].where("not named"), ["host", "rank"]).where(
-            (F.size("slots") > 0) & ~F.arrays_overlap("slots.path", "article")).select(*rows.columns)
+            (F.size("slots") > 0) & ~F.arrays_overlap("slots.slot", "article")).select(*rows.columns)
         rest = stored(rest)
         before, left = left, rest.count()
         if left == 0 or left == before:
@@ -383,31 +493,19 @@ def wrappers(pages: DataFrame) -> DataFrame:
     templates = found[0]
     for more in found[1:]:
         templates = templates.unionByName(more)
-    templates = templates.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("round", "rank", "named", "article"))).alias("articles"))
-    return stored(whole.withColumnRenamed("expression", "wrapper").join(templates, "host", "left"))
+    return stored(templates.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("round", "rank", "named", "article"))).alias("articles")))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) of every page: the blocks of its article, joined by empty lines."""
     ship(pages.sparkSession)
-    known = wrappers(pages).select("host", "articles")
-    rows = pages.select("page_id", "url", "html", host().alias("host")).join(known, "host", "left")
+    whole = wrappers(pages)
+    rows = matched(pages, whole)
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        paths: dict[tuple[int, str], int] = {}
-        for batch in batches:
-            texts = []
-            for source, articles in zip(batch.column("html"), batch.column("articles"), strict=True):
-                page = Page(source.as_py() or "", paths)
-                rank, text = strongest(page.tree), ""
-                for article in articles.as_py() or ():
-                    if article["rank"] == rank and not text:
-                        wanted = set(article["article"])
-                        text = "\n\n".join(said for path, said, _ in page.blocks if path in wanted)
-                        if article["named"]:
-                            break
-                texts.append(text)
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
-
-    schema = pages.select("page_id", "url").schema.add("text", "string")
-    return rows.select("page_id", "url", "html", "articles").mapInArrow(read, schema)
+    def said(article):
+        blocks = F.filter("blocks", lambda b: F.array_contains(article["article"], b["slot"]))
+        return F.struct(F.array_join(F.transform(blocks, lambda b: b["text"]), "\n\n").alias("text"), article["named"].alias("named"))
+
+    own = F.transform(F.filter("articles", lambda a: a["rank"] == F.col("rank")), said)
+    first = F.get(F.filter(own, lambda t: t["named"] | (t["text"] != "")), F.lit(0))
+    return rows.join(articles_of(rows, whole), "host", "left").select("page_id", "url", F.coalesce(first["text"], F.lit("")).alias("text"))

@@ -125,7 +125,7 @@ def holds(expression, node):
 
 @pytest.mark.parametrize("host", ["a.example.com", "b.example.org", "c.example.net", "d.example.com"])
 def test_a_wrapper_holds_its_pages(host):
-    trees = [wrappers.Page(source, {}).tree for _, url, source, _ in sites() if host in url]
+    trees = [wrappers.Page(source).tree for _, url, source, _ in sites() if host in url]
     expressions = [json.dumps(wrappers.expression(t)) for t in trees]
     whole = json.loads(wrappers.fold(expressions))
     assert all(holds(whole, t) for t in trees)
@@ -138,3 +138,35 @@ def test_mismatches_become_optional_or_repeated():
     one = ["r", "", [["a", "", []], ["b", "", []]]]
     two = ["r", "", [["a", "", []], ["c", "", []], ["b", "+", []]]]
     assert wrappers.align(one, two) == ["r", "", [["a", "", []], ["c", "?", []], ["b", "+", []]]]
+
+
+@pytest.mark.parametrize("outer", [
+    "<body class='no-sidebar'><article>{}</article>", "<body><div class='content with-sidebar'><article>{}</article></div>",
+    "<body><article class='post has-comments'>{}</article>", "<body class='single post'><div><p>Buy now {n}</p></div><section><h2>x</h2></section><div>{}</div>",
+    "<body><div class='page sidebar-left'><nav>Menu</nav><article>{}</article></div><p>Up</p>"])
+def test_names_of_layout_empty_no_page(spark, outer):
+    rows = []
+    for i in range(12):
+        text = [prose(600 + 20 * i + k, 40).replace("\n", " ") for k in range(2 + i % 3)]
+        body = outer.replace("{n}", str(i)).replace("{}", "".join(f"<p>{t}</p>" for t in text))
+        rows.append((i, f"https://names/{i}", f"<html>{body}<div class=comments><article>Nice {i}</article></div></html>", "\n\n".join(text)))
+    assert extracted(spark, rows) == {n: want for n, _, _, want in rows}
+
+
+def test_siblings_of_one_key_are_told_apart_by_position(spark):
+    rows = []
+    for i in range(3):  # as few pages as may be: what is a notice does not depend on a count
+        text = prose(700 + i, 60).replace("\n", " ")
+        menu = f"<div>Offer {i}</div>" if i else ""
+        rows.append((i, f"https://place/{i}", page(f"{menu}<section>Chosen for you {i}</section><div>{text}</div><div class=z>All rights reserved</div>"), text))
+    assert extracted(spark, rows) == {n: want for n, _, _, want in rows}
+
+
+def test_every_page_has_a_place_in_its_wrapper():
+    for host in ("a.example.com", "b.example.org", "c.example.net", "d.example.com"):
+        pages = [wrappers.Page(source) for _, url, source, _ in sites() if host in url]
+        whole = wrappers.Wrapper(json.loads(wrappers.fold([json.dumps(wrappers.expression(p.tree)) for p in pages])))
+        for p in pages:
+            p.match(whole)
+            for leaf, _, _ in p.blocks:
+                assert whole.keys[leaf[2]] == "#"
