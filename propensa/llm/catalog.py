@@ -242,10 +242,9 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.scan(read(spark, sf_dir, "documents"))
-    best = F.get("matches", F.lit(0))
-    return found.select("doc_id", best["license"].alias("license"), F.coalesce(best["dice"], F.lit(0.0)).alias("dice"),
-                        F.size("matches").cast("long").alias("n_matches"))
+    found = licenses.best(licenses.scan(read(spark, sf_dir, "documents")))
+    return found.select("doc_id", "best.license", F.coalesce("best.dice", F.lit(0.0)).alias("dice"),
+                        F.size("matches").cast("long").alias("n_matches"), F.size("passages").cast("long").alias("n_passages"))
 
 
 def _values() -> str:
@@ -275,9 +274,31 @@ with template as (
   from counted c join bag b using (bigram) group by c.u, c.r, c.size, b.nth, b.license, b.size
 ), matched as (
   select r, u, max((dice, -nth, license)) as best from score where enough group by r, u
+), whole as (
+  select r, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as words from row where text is not null
+), gram as (
+  select r, len(words) - 1 as n, unnest(range(len(words) - 1)) as pos,
+    unnest(list_transform(list_zip(words[:-2], words[2:]), lambda p: p[1] || ' ' || p[2])) as bigram
+  from whole where len(words) > 1
+), hit as (
+  select r, nth, license, size, least(size, n) as held, n, pos, bigram, times from gram join bag using (bigram)
+), start as (
+  select distinct r, nth, held, least(pos, n - held) as start from hit
+), shared as (
+  select r, nth, license, start, held, size, bigram, least(count(*), any_value(times)) as shared
+  from start s join hit h using (r, nth, held) where h.pos between s.start and s.start + held - 1 group by all
+), window_score as (
+  select r, nth, license, sum(shared) * 2 / (held + size)::double as dice, sum(shared) * 2 * 20 >= (held + size) * 17 as enough
+  from shared group by r, nth, license, start, held, size
+), passage as (
+  select r, nth, max((dice, -nth, license)) as best from window_score where enough group by r, nth
+), top as (
+  select r, max(best) as top, count(*) filter (unit) as n_matches, count(*) filter (not unit) as n_passages
+  from (select r, best, true as unit from matched union all select r, best, false from passage) group by r
 )
-select doc_id, any_value(m.top[3]) as license, coalesce(any_value(m.top[1]), 0.0)::double as dice, coalesce(any_value(m.n), 0)::bigint as n_matches
-from row left join (select r, max(best) as top, count(*) as n from matched group by r) m using (r) group by r, doc_id
+select doc_id, any_value(m.top[3]) as license, coalesce(any_value(m.top[1]), 0.0)::double as dice,
+  coalesce(any_value(n_matches), 0)::bigint as n_matches, coalesce(any_value(n_passages), 0)::bigint as n_passages
+from row left join top m using (r) group by r, doc_id
 """.replace("@VALUES@", _values())
 
 

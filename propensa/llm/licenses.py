@@ -9,12 +9,17 @@ is compared with templates of such sizes only, and a unit that fits no size is d
 template's ``anchors`` are words that touch so many of its bigrams that a unit without any of
 them cannot reach t; other units are dropped before a bigram is made.
 
+Besides the units, every window of a text's words as long as a template is compared with it, so notices inside a
+paragraph, wrapped ones and those behind comment marks are found: among windows that end before the same bigram, the one
+that starts at a bigram of the template holds the most, so only these are looked at (and the one that ends with the text), and only
+those with enough bigrams of the template. Texts shorter than a template are one window.
+
 Only DataFrame functions are used; the templates are constants. Nothing is
 shuffled: all of a document's units stand in its row.
 
 Defined results: a null or empty text has no match; a text of one word has no
 bigram and no match; of templates with equal coefficients the first in
-``TEMPLATES`` wins; repeated rows get equal results; columns besides ``doc_id`` and ``text`` are not read.
+``TEMPLATES`` wins, of equal windows the first in the text; repeated rows get equal results; columns besides ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
@@ -41,21 +46,47 @@ TEMPLATES = {
         '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, '
         "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is "
         "furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES '
+        "OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE "
+        "LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+        "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     ],
     "BSD": [
         "Released under the BSD License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
         "conditions are met:",
+        "Licensed under the BSD License.",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+        "in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+        "from this software without specific prior written permission.",
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT '
+        "NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL "
+        "THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+        "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+        "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+        "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
         "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+        "that the above copyright notice and this permission notice appear in all copies.",
+    ],
     "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
     "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+                "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.",
                      "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.",
@@ -143,7 +174,64 @@ def _best(unit: Column, threshold: tuple[int, int]) -> Column:
                   lambda w: F.when(fits(w) & F.arrays_overlap(w, held), compare(w)))
 
 
+def _windows(text: Column, threshold: tuple[int, int]) -> Column:
+    """Per template the struct (dice, order, license, unit) of its best window in the text, or null; null without anchors."""
+    part, whole = threshold
+    own = [normal_words(t) for ts in TEMPLATES.values() for t in ts]
+    held = F.array(*map(F.lit, sorted(set().union(*(anchors(w, threshold) for w in own)))))
+    bigrams = sorted({f"{a} {b}" for w in own for a, b in zip(w, w[1:], strict=False)})
+
+    def search(words: Column) -> Column:
+        n = F.size(words) - 1  # bigrams of the text
+        at = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
+            i.alias("at"), F.concat_ws(" ", F.get(words, i), F.get(words, i + 1)).alias("bigram")))
+        return _bound(F.filter(at, lambda h: h["bigram"].isin(bigrams)),
+                      lambda hits: F.transform(_template_constants(threshold), lambda t: of_template(words, n, hits, t)))
+
+    def of_template(words: Column, n: Column, hits: Column, t: Column) -> Column:
+        length = F.least(t["size"], n)
+        need = F.ceil((length + t["size"]) * part / F.lit(2.0 * whole) - 1e-9).cast("int")
+        mine = F.filter(hits, lambda h: F.array_contains(t["bag"]["bigram"], h["bigram"]))
+        return F.when(F.size(hits) >= need, _bound(mine, lambda m: best_window(words, n, m, t, length, need)))
+
+    def best_window(words: Column, n: Column, mine: Column, t: Column, length: Column, need: Column) -> Column:
+        last = n - length
+        begun = F.transform(mine, lambda h, j: F.when(
+            (h["at"] <= last) & (F.get(mine, j + need - 1)["at"] < h["at"] + length), score(F.slice(mine, j + 1, length), h["at"], t, length)))
+        ending = score(F.filter(mine, lambda h: h["at"] >= last), last, t, length)
+        found = F.array_max(F.concat(begun, F.array(ending)))
+        both = t["size"] + length
+        return F.when(F.size(mine) >= need, _bound(found, lambda f: F.when(f["common"] * 2 * whole >= both * part, F.struct(
+            (f["common"] * 2 / both).alias("dice"), t["order"].alias("order"), t["license"].alias("license"),
+            F.array_join(F.slice(words, 1 - f["back"], length + 1), " ").alias("unit")))))
+
+    def score(near: Column, start: Column, t: Column, length: Column) -> Column:
+        """Bigrams in common with the window at ``start``, and the start, smaller ones first among equals."""
+        inside = F.transform(F.filter(near, lambda h: h["at"] < start + length), lambda h: h["bigram"])
+
+        def common(found: Column) -> Column:
+            again = F.filter(t["bag"], lambda b: b["times"] > 1)
+            more = F.aggregate(again, F.lit(0), lambda c, b: c + F.greatest(F.lit(0), F.least(
+                b["times"], F.size(F.filter(found, lambda g: g == b["bigram"]))) - 1))
+            return F.struct((F.size(F.array_intersect(t["bag"]["bigram"], found)) + more).alias("common"), (-start).alias("back"))
+
+        return _bound(inside, common)
+
+    return _bound(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)),
+                  lambda w: F.when((F.size(w) > 1) & F.arrays_overlap(w, held), search(w)))
+
+
 def scan(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """Per row: doc_id and matches, an array of (dice, order, license, unit), the best first."""
+    """Per row: doc_id; matches, an array of (dice, order, license, unit), one for each unit that fits a template; and passages,
+    the same with the words of the best window, one for each template that has one; the best first.
+    """
     found = F.filter(F.transform(_units(F.coalesce("text", F.lit(""))), lambda u: _best(u, threshold)), lambda m: m.isNotNull())
-    return docs.select("doc_id", F.sort_array(found, asc=False).alias("matches"))
+    passages = F.filter(_windows(F.coalesce("text", F.lit("")), threshold), lambda m: m.isNotNull())
+    return docs.select("doc_id", F.sort_array(found, asc=False).alias("matches"),
+                       F.sort_array(F.coalesce(passages, F.filter(found, lambda m: F.lit(False))), asc=False).alias("passages"))
+
+
+def best(scanned: DataFrame) -> DataFrame:
+    """Rows of :func:`scan` with ``best``, the (dice, order, license) of the best unit or passage, or null."""
+    short = lambda m: F.struct(m["dice"], m["order"], m["license"])
+    return scanned.withColumn("best", F.array_max(F.concat(F.transform("matches", short), F.transform("passages", short))))

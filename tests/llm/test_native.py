@@ -229,6 +229,48 @@ def test_licenses(spark):
     assert licenses.scan(frame(spark, rows).limit(0)).count() == 0
 
 
+def plain_passages(text):
+    """Per template the best window of its length, over all windows."""
+    words, found = licenses.normal_words(text or ""), {}
+    grams = list(zip(words, words[1:], strict=False))
+    for i, own in enumerate(t for ts in licenses.TEMPLATES.values() for t in ts):
+        own = licenses.normal_words(own)
+        other = Counter(zip(own, own[1:], strict=False))
+        held = min(other.total(), len(grams))
+        known = [0]
+        for g in grams:
+            known.append(known[-1] + (g in other))
+        for at in range(len(grams) - held + 1 if grams else 0):
+            if known[at + held] - known[at] == 0:
+                continue
+            dice = 2 * (Counter(grams[at:at + held]) & other).total() / (held + other.total())
+            if dice >= 0.85 and dice > found.get(-i, (0, ""))[0]:
+                found[-i] = (dice, " ".join(words[at:at + held + 1]))
+    return sorted(found.items())
+
+
+def test_notices_inside_other_text(spark):
+    gpl, mit, bsd = (licenses.TEMPLATES[n] for n in ("GPL-3.0", "MIT", "BSD"))
+    header = "\n".join("# " + " ".join(gpl[1].split()[i:i + 9]) for i in range(0, 60, 9))
+    whole = "\n\n".join(["MIT License", "Copyright (c) 2020 A. Person", *mit[2:]])
+    bare = ["#\n" + header + "\n#\nimport os", whole, "\n".join(" * " + line for line in whole.split("\n")),
+            prose(1, 30) + " This project is licensed under the MIT License. " + prose(2, 30),
+            "Licensed under the MIT License. See LICENSE for details.", "// Licensed under the Apache License, Version 2.0 (see LICENSE)",
+            prose(3, 9) + " " + " ".join(bsd[1:]) + " " + prose(4, 9), (mit[2] + " ") * 30, " ".join(mit[2].split()[3:]), mit[2].replace("free of charge", "at no cost")]
+    clean = ["The license of the driver was suspended under the new law.", "MIT is a school; GNU is a project; the public license fee was raised.",
+             "He was licensed under the state board in version 2.0 of the rules.", "Software is released to the public without any warranties, and the license is long.",
+             "Permission is hereby granted to nobody.", prose(5, 3000)]
+    rows = [(1000 + i, t, "en", "a", 1) for i, t in enumerate([*bare, *clean])] + odd_rows()
+    found = licenses.best(licenses.scan(frame(spark, rows, clashes=True)))
+    assert python_free(found)
+    got = found.collect()
+    assert sorted(((r.doc_id, sorted((m.order, (m.dice, m.unit)) for m in r.passages)) for r in got), key=str) == sorted(
+        ((r[0], plain_passages(r[1])) for r in rows), key=str)
+    names = {r.doc_id: r.best and r.best.license for r in got}
+    assert [names[1000 + i] for i in range(len(bare))] == ["GPL-3.0", "MIT", "MIT", "MIT", "MIT", "Apache-2.0", "BSD", "MIT", "MIT", "MIT"]
+    assert all(names[1000 + len(bare) + i] is None for i in range(len(clean)))
+
+
 def test_every_template_matches_itself(spark):
     texts = [(n, t) for n, ts in licenses.TEMPLATES.items() for t in ts]
     got = licenses.scan(frame(spark, [(i, t, "en", "a", 1) for i, (_, t) in enumerate(texts)])).collect()
