@@ -82,3 +82,29 @@ def test_empty_table(spark):
 def test_mask_is_the_prefix_sum(spark, turns):
     for r in turns.where("conv_id = 1").collect():
         assert np.any(r.loss) == ("assistant" in r.formatted)
+
+
+@pytest.mark.parametrize("held", [10, chat.HELD_CHARS])
+@pytest.mark.parametrize("spread", [False, True])
+def test_conversations_seen_in_pieces(spark, turns, monkeypatch, held, spread):
+    monkeypatch.setattr(chat, "HELD_CHARS", held)
+    rows = turns.repartition(7, "position") if spread else turns
+    got = chat.conversation_digests(chat.read_turns(rows, TOKENIZER)).collect()
+    assert len(got) == len(plain(ROWS))
+    assert {r.conv_id: tuple(r)[1:] for r in got} == plain(ROWS)
+
+
+def test_every_id_reads_as_in_the_library():
+    tokenizer, pieces = Tokenizer.from_file(TOKENIZER), chat._bytes_of(TOKENIZER)
+    assert len(pieces) == tokenizer.get_vocab_size()
+    for i in range(0, len(pieces), 7):
+        ids = list(range(i, min(i + 7, len(pieces))))
+        assert b"".join(pieces[j] for j in ids).decode("utf-8", "replace") == tokenizer.decode(ids, skip_special_tokens=False)
+
+
+def test_one_last_turn_in_each_conversation(spark, turns):
+    last = {r.conv_id: r.position for r in turns.where("last").collect()}
+    most = {}
+    for r in turns.collect():
+        most[r.conv_id] = max(most.get(r.conv_id, 0), r.position)
+    assert last == most and turns.where("last").count() == len(most)
