@@ -26,6 +26,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -65,13 +66,21 @@ class Template:
     def controls(self) -> tuple[str, ...]:
         return self.start, self.role, self.text, self.end
 
+    @cached_property
+    def _plain(self) -> re.Pattern:
+        return re.compile("|".join(re.escape(c[0]) + r"\\*" + re.escape(c[1:]) for c in self.controls))
+
+    @cached_property
+    def _escaped(self) -> re.Pattern:
+        return re.compile("|".join(re.escape(c[0]) + r"\\+" + re.escape(c[1:]) for c in self.controls))
+
     def escape(self, text: str) -> str:
-        return re.sub("|".join(re.escape(c[0]) + r"\\*" + re.escape(c[1:]) for c in self.controls),
-                      lambda m: m[0][0] + "\\" + m[0][1:], text)
+        return self._plain.sub(lambda m: m[0][0] + "\\" + m[0][1:], text)
 
     def unescape(self, text: str) -> str:
-        return re.sub("|".join(re.escape(c[0]) + r"\\+" + re.escape(c[1:]) for c in self.controls),
-                      lambda m: m[0][0] + m[0][2:], text)
+        if "\\" not in text:
+            return text
+        return self._escaped.sub(lambda m: m[0][0] + m[0][2:], text)
 
 
 def ordered(rows: DataFrame) -> DataFrame:
