@@ -70,3 +70,19 @@ def test_a_lead_that_nothing_splits_has_no_rows(spark):
     explained = rs.forest(spark.createDataFrame([(0, 1.0, 0, 2.0, -1, -1, -1, None, None)], rs.NODES), 1, ["a"])
     leads = spark.createDataFrame([(1, [0.0])], "mailchimp_id long, x array<double>")
     assert rs.reasons(leads, explained).count() == 0
+
+
+def test_what_is_missing_goes_right_and_a_repeated_lead_counts_twice(spark):
+    nodes = [(0, 0.5, 0, 0.0, 1, 2, 1, 2.0, None), (0, 0.5, 1, 6.0, -1, -1, -1, None, None), (0, 0.5, 2, -4.0, -1, -1, -1, None, None)]
+    explained = rs.forest(spark.createDataFrame(nodes, rs.NODES), 1, ["a", "b"])
+    leads = spark.createDataFrame([(1, [0.0, 1.0]), (1, [0.0, 1.0]), (2, [0.0, None]), (3, [0.0]), (4, None)], "mailchimp_id long, x array<double>")
+    found = {r["mailchimp_id"]: (r["feature"], r["value"], r["contribution"], r["margin"]) for r in rs.reasons(leads, explained).collect()}
+    assert found == {1: ("b", 1.0, 6.0, 6.0), 2: ("b", None, -2.0, -2.0), 3: ("b", None, -2.0, -2.0), 4: ("b", None, -2.0, -2.0)}
+    means = rs.partial_dependence(leads, explained, {"b": [1.0, 3.0]}).collect()
+    assert {r["value"]: r["mean_margin"] for r in means} == {1.0: (3 * 3.0 - 2 * 2.0) / 5, 3.0: -2.0}  # leads 3 and 4 have no such value to set
+
+
+def test_reasons_shuffle_one_row_a_lead(spark, table, model):
+    explained = rs.fitted_forest(model, NAMES, spark)
+    plan = rs.reasons(rs.with_values(table, "mailchimp_id"), explained)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange")  # dealt before a lead's features are rows
