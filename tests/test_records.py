@@ -75,3 +75,17 @@ def test_a_lookup_reads_few_row_groups(spark, tmp_path, column, value):
     assert [r["mailchimp_id"] for r in found.collect()] == [70_123]
     assert scanned(scoring.lookup(spark, path, column, value)) <= 3 * 2_000  # of 50 groups
     assert scanned(spark.read.parquet(path)) == 100_000
+
+
+def test_many_batches_are_taken_together(spark, tmp_path):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    source, out, marks = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "marks")
+    write_files(spark, source, [50, 1, 3, 200, 10])
+    records.run_batches(records.record_stream(spark, str(source), schema, batch=7, together=20), out, marks)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.name[0] != ".") == ["together=0", "together=1"]  # the engine's: 140 and 124 records
+    write_files(spark, source, [9], start=264)
+    records.run_batches(records.record_stream(spark, str(source), schema, batch=7, together=20), out, marks)
+    rows = records.batches(spark, out, schema).orderBy("id").collect()
+    # 264 = 37 * 7 + 5: what came later starts a new batch.
+    assert [(r["id"], r["name"], r["batch"]) for r in rows] == [(i, f"u{i}", i // 7 if i < 264 else 38 + (i - 264) // 7) for i in range(273)]
+    assert [r["batch_size"] for r in rows if r["id"] in (0, 263, 264, 272)] == [7, 5, 7, 2]
