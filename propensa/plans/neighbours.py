@@ -7,6 +7,9 @@ radius small; a poor one costs time, never a neighbour.
 
 A bucket or bin with many rows is dealt in parts by a hash of the row, and its queries meet every part, so a value
 that a third of the rows share is never one task. Each part keeps ``k`` rows a query before anything is shuffled.
+
+Equal rows are at equal distances, so of those with the same values only the ``k + 1`` smallest keys are met (one may be
+the query itself), and queries with the same values ask once. What is met grows with the number of different values.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ def _met(queries: DataFrame, rows: DataFrame, part_rows: int) -> DataFrame:
     parts = F.coalesce("parts", F.lit(1))
     dealt = rows.join(large, "cell", "left").select("key", "x", "cell", F.pmod(F.xxhash64("key"), parts).cast("int").alias("part"))
     spread = queries.join(large, "cell", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
-    return spread.join(dealt, ["cell", "part"]).filter(F.col("query") != F.col("key"))
+    return spread.join(dealt, ["cell", "part"])
 
 
 def _closest(pairs: DataFrame, k: int) -> DataFrame:
@@ -48,6 +51,12 @@ def _closest(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def _smallest(rows: DataFrame, k: int) -> DataFrame:
+    """Of the rows with the same values, those of the ``k`` smallest keys. Tasks leave out the others before the shuffle."""
+    order = Window.partitionBy("x").orderBy("key")
+    return rows.withColumn("nth", F.dense_rank().over(order)).filter(F.col("nth") <= k)
+
+
 def _bucketed(rows: DataFrame, x: str, width: float, dimensions: int) -> DataFrame:
     """One row per table with the bucket of its projections."""
     random = np.random.default_rng(SEED)
@@ -59,18 +68,23 @@ def _bucketed(rows: DataFrame, x: str, width: float, dimensions: int) -> DataFra
 
 
 def radius(queries: DataFrame, rows: DataFrame, k: int, width: float, dimensions: int, part_rows: int = PART_ROWS) -> DataFrame:
-    """(query, qx, reach): a squared distance within which at least ``k`` other rows lie, if there are as many.
+    """(query, qx, reach): a squared distance within which rows of at least ``k`` keys lie, if there are as many.
 
-    It comes from the query's buckets, or from the rows of the smallest keys where these give too few.
+    It is 0 where so many rows have the query's values. Else it comes from the query's buckets, or from the rows of the
+    smallest keys where these give too few.
     """
-    pairs = _met(_bucketed(queries, "qx", width, dimensions), _bucketed(rows, "x", width, dimensions), part_rows)
-    near = _closest(pairs.select("query", "key", _distance(F.col("qx"), F.col("x")).alias("distance")).distinct(), k)
-    found = near.groupBy("query").agg(F.count("*").alias("n"), F.max("distance").alias("held")).filter(F.col("n") == k)
-    anchors = rows.orderBy("key").limit(k + 1).agg(F.collect_list(F.struct("key", "x")).alias("rows"))  # a few rows for all queries
-    fixed = queries.select("query", "qx", anchors.scalar().alias("anchors"))
-    others = F.filter("anchors", lambda a: a["key"] != F.col("query"))
-    far = F.array_max(F.transform(others, lambda a: _distance(F.col("qx"), a["x"])))
-    return fixed.withColumn("far", far).join(found, "query", "left").select("query", "qx", F.coalesce(F.least("held", "far"), F.lit(0.0)).alias("reach"))
+    full = rows.filter(F.col("nth") == k).select(F.col("x").alias("qx")).distinct().withColumn("full", F.lit(True))
+    known = stored(queries.join(full, "qx", "left"))
+    open_ = known.filter("full is null").select("query", "qx")
+    pairs = _met(_bucketed(open_, "qx", width, dimensions), _bucketed(rows, "x", width, dimensions), part_rows)
+    near = pairs.groupBy("query", "key").agg(F.min(_distance(F.col("qx"), F.col("x"))).alias("distance"))
+    found = _closest(near, k).groupBy("query").agg(F.count("*").alias("n"), F.max("distance").alias("held")).filter(F.col("n") == k)
+    first = rows.groupBy("key").agg(F.first("x").alias("x")).orderBy("key").limit(k)  # a few rows for all queries
+    anchors = first.agg(F.collect_list("x").alias("rows"))
+    fixed = open_.select("query", "qx", anchors.scalar().alias("anchors"))
+    far = F.array_max(F.transform("anchors", lambda a: _distance(F.col("qx"), a)))
+    reached = fixed.withColumn("far", far).join(found, "query", "left").select("query", "qx", F.coalesce(F.least("held", "far"), F.lit(0.0)).alias("reach"))
+    return reached.unionByName(known.filter("full").select("query", "qx", F.lit(0.0).alias("reach")))
 
 
 def nearest(
@@ -78,26 +92,33 @@ def nearest(
 ) -> DataFrame:
     """(query, key, rank, distance) of the ``k`` nearest other rows of each query, squared distances.
 
-    ``table`` and ``queries`` hold a unique key and the values ``x`` (equally long, none null). ``width`` is that of a bucket,
-    in the units of the values.
+    ``table`` and ``queries`` hold a unique key and the values ``x`` (equally long, none null; rows with a null are not met).
+    ``width`` is that of a bucket, in the units of the values.
     """
-    rows = stored(table.select(F.col(key).alias("key"), "x"))
+    def whole(df: DataFrame) -> DataFrame:
+        return df.select(F.col(key).alias("key"), "x").filter(F.col("key").isNotNull() & F.forall("x", lambda v: v.isNotNull()))
+
+    rows = stored(_smallest(whole(table), k + 1))
     first = rows.select(F.size("x").alias("d")).first()
     dimensions = first["d"] if first else 0
-    asked = queries.select(F.col(key).alias("query"), F.col("x").alias("qx"))
-    reaching = stored(radius(asked, rows, k, width, dimensions, part_rows))
+    asked = whole(queries).select(F.col("key").alias("query"), F.col("x").alias("qx"))
+    values = stored(asked.select("qx").distinct().withColumn("query", F.monotonically_increasing_id()))
+    reaching = stored(radius(values, rows, k + 1, width, dimensions, part_rows))
     span = reaching.agg(F.percentile_approx(F.sqrt("reach"), 0.5).alias("typical"), F.sqrt(F.max("reach")).alias("largest")).first()
     bin_width = max(float(span["typical"] or 0.0), float(span["largest"] or 0.0) / MOST_PROBES, 1e-6)
     direction = np.random.default_rng(SEED + 1).normal(size=dimensions)
     direction = direction / max(float(np.linalg.norm(direction)), 1e-300)
     place = lambda c: F.floor(c / bin_width)
-    binned = rows.withColumn("cell", place(_dot(F.col("x"), direction)))
+    binned = rows.select("key", "x", place(_dot(F.col("x"), direction)).alias("cell"))
     # A little more than the radius, for the last digits of sums.
     slack = F.sqrt("reach") * (1 + 1e-9) + 1e-9
     on = _dot(F.col("qx"), direction)
     probes = reaching.withColumn("cell", F.explode(F.sequence(place(on - slack), place(on + slack))))
     pairs = _met(probes, binned, part_rows).withColumn("distance", _distance(F.col("qx"), F.col("x")))
-    return _closest(pairs.filter(F.col("distance") <= F.col("reach")).select("query", "key", "distance"), k)
+    order = Window.partitionBy("query").orderBy("distance", "key")
+    met = pairs.filter(F.col("distance") <= F.col("reach")).select("query", "qx", "key", "distance")
+    shared = met.withColumn("nth", F.dense_rank().over(order)).filter(F.col("nth") <= k + 1).select("qx", "key", "distance")
+    return _closest(asked.join(shared, "qx").filter(F.col("query") != F.col("key")).select("query", "key", "distance"), k)
 
 
 def neighbour_scores(found: DataFrame, labels: DataFrame, key: str = "mailchimp_id") -> DataFrame:

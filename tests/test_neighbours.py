@@ -40,3 +40,14 @@ def test_fewer_rows_than_neighbours(spark):
     rows = [(1, [0.0]), (2, [3.0]), (3, [1.0])]
     assert got(spark, rows, rows, 5) == plain(rows, rows, 5)
     assert got(spark, rows[:1], rows[:1], 5) == []
+
+
+def test_rows_of_equal_values_are_met_once(spark, monkeypatch):
+    """400 queries and 4,000 rows of 4 different values: a query met every row of its value."""
+    met = []
+    plain_met = nb._met
+    monkeypatch.setattr(nb, "_met", lambda *a: met.append(plain_met(*a)) or met[-1])
+    rows = [(i, [float(i % 4), 1.0]) for i in range(4000)] + [(5000, [9.0, 1.0])]
+    queries = [r for r in rows if r[0] % 10 == 0]
+    assert got(spark, rows, queries, 3) == plain(rows, queries, 3)
+    assert max(m.count() for m in met) <= 5 * 5 * 4 * nb.TABLES
