@@ -5,17 +5,20 @@ Both learn from a table with ``features`` (vector) and ``label`` (0 or 1) and gi
 
 * Discriminant analysis needs one pass. Count, sums and products of a class are one matrix; each batch of rows
   adds its own, each task hands on one, and a grouped sum merges them. Scores are column expressions.
-* Boosting takes one grouped sum of row weights over (feature, cut) a round and writes the new weights as a table.
+* Boosting takes one grouped sum of row weights over (feature, cut) a round. A row's weight follows from the stumps so far,
+  so the rows are written once; each task adds up its own cells and hands on one row a cell.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -165,6 +168,11 @@ def best_stump(rows: DataFrame, digits: int = 9) -> dict[str, Any] | None:
     one = F.sum(F.when(F.col("label") == 1, F.col("weight")).otherwise(0.0))
     cells = rows.select("label", "weight", F.posexplode("bins").alias("feature", "bin")).groupBy("feature", "bin").agg(
         one.alias("one"), (F.sum("weight") - one).alias("zero"))
+    return _best(cells, digits)
+
+
+def _best(cells: DataFrame, digits: int = 9) -> dict[str, Any] | None:
+    """The best split of cells (feature, bin, one, zero): the weights of both classes."""
     # As many rows as there are cuts, so one task ranks them whatever the number of rows.
     upto = Window.partitionBy("feature").orderBy("bin")
     whole = Window.partitionBy("feature")
@@ -179,28 +187,53 @@ def best_stump(rows: DataFrame, digits: int = 9) -> dict[str, Any] | None:
     return None if best is None else best.asDict()
 
 
-def _vote(bins: Column, stump: dict[str, Any]) -> Column:
-    above = F.get(bins, F.lit(stump["feature"])) > stump["bin"]
-    return F.when(above, stump["upper"]).otherwise(1 - stump["upper"])
+def _weighted_cells(stumps: list[dict[str, Any]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What a task adds up: the weights of its rows after the stumps so far, per (feature, bin) and class."""
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((0, 0, 3))  # class 1, all, rows
+        for batch in batches:
+            known = batch.filter(batch.column("bins").is_valid())
+            if not len(known):
+                continue
+            bins = known.column("bins").flatten().to_numpy(zero_copy_only=False).reshape(len(known), -1)
+            label = known.column("label").cast(pa.float64()).to_numpy(zero_copy_only=False)
+            weight = np.ones(len(known))
+            for s in stumps:
+                error = max(s["error"], 1e-10)
+                vote = np.where(bins[:, s["feature"]] > s["bin"], s["upper"], 1 - s["upper"])
+                weight[(vote != label) & ~np.isnan(label)] *= (1 - error) / error
+            high = max(int(bins.max(initial=0)) + 1, total.shape[1])
+            grown = np.zeros((bins.shape[1], high, 3))
+            grown[:total.shape[0], :total.shape[1]] = total
+            for feature, column in enumerate(bins.T):
+                for i, w in enumerate((np.where(label == 1, weight, 0.0), weight, None)):
+                    grown[feature, :, i] += np.bincount(column, w, high)
+            total = grown
+        feature, place = np.nonzero(total[:, :, 2])
+        one, every, _ = total[feature, place].T
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(feature.astype("i4")), pa.array(place.astype("i4")), pa.array(one), pa.array(every - one)], names=["feature", "bin", "one", "zero"])
+
+    return cells
 
 
 def boost(rows: DataFrame, rounds: int) -> list[dict[str, Any]]:
-    """Stumps with their weights in the vote. Rows carry ``bins`` and ``label``; each round writes them with new weights.
+    """Stumps with their weights in the vote. Rows carry ``bins`` (equally many) and ``label``.
 
     Weights start as 1; a wrongly classified row's grows by the odds of the stump being right. Learning ends early
     when a stump is always right, or no better than chance.
     """
-    weighted, stumps = stored(rows.select("bins", "label", F.lit(1.0).alias("weight"))), []
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not have this package
+    kept, stumps = stored(rows.select("bins", "label")), []
     for nth in range(rounds):
-        stump = best_stump(weighted)
+        sums = kept.mapInArrow(_weighted_cells(stumps), "feature int, bin int, one double, zero double")
+        stump = _best(sums.groupBy("feature", "bin").agg(F.sum("one").alias("one"), F.sum("zero").alias("zero")))
         if stump is None or stump["error"] >= 0.5:
             break
         error = max(stump["error"], 1e-10)
         stumps.append({**stump, "round": nth, "vote": float(np.log((1 - error) / error))})
-        if stump["error"] <= 0 or nth + 1 == rounds:
+        if stump["error"] <= 0:
             break
-        grown = F.when(_vote(F.col("bins"), stump) != F.col("label"), F.col("weight") * ((1 - error) / error)).otherwise(F.col("weight"))
-        weighted = stored(weighted.select("bins", "label", grown.alias("weight")))
     return stumps
 
 

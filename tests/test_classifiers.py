@@ -114,3 +114,17 @@ def test_they_stand_in_a_comparison(spark, table):
     parted = table.withColumn("part", F.expr("cast(mailchimp_id % 3 as int) - 1"))
     board = {r["model"]: r for r in ln.leaderboard(parted, setup, ["lda", "qda", "ada"]).collect()}
     assert set(board) == {"lda", "qda", "ada"} and all(r["accuracy"] > 0.7 and r["parts"] == 2 for r in board.values())
+
+
+def test_a_round_of_boosting_writes_no_rows(spark, monkeypatch):
+    rows = spark.createDataFrame([([i % 5, i % 3], int(i % 5 > 2 or i % 7 == 0)) for i in range(60)] + [(None, 1)], "bins array<int>, label int")
+    written, plain = [], cl.stored
+    monkeypatch.setattr(cl, "stored", lambda df: written.append(df) or plain(df))
+    stumps = cl.boost(rows, 4)
+    assert len(written) == 1 and len(stumps) == 4  # the weights were written anew in each round
+    weights = [1.0] * 60
+    for s in stumps:
+        votes = [s["upper"] if (i % 5, i % 3)[s["feature"]] > s["bin"] else 1 - s["upper"] for i in range(60)]
+        wrong = [v != int(i % 5 > 2 or i % 7 == 0) for i, v in enumerate(votes)]
+        assert abs(sum(w for w, bad in zip(weights, wrong) if bad) / sum(weights) - s["error"]) < 1e-9
+        weights = [w * (1 - s["error"]) / s["error"] if bad else w for w, bad in zip(weights, wrong)]
