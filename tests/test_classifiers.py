@@ -128,3 +128,22 @@ def test_a_round_of_boosting_writes_no_rows(spark, monkeypatch):
         wrong = [v != int(i % 5 > 2 or i % 7 == 0) for i, v in enumerate(votes)]
         assert abs(sum(w for w, bad in zip(weights, wrong) if bad) / sum(weights) - s["error"]) < 1e-9
         weights = [w * (1 - s["error"]) / s["error"] if bad else w for w, bad in zip(weights, wrong)]
+
+
+def test_linear_fits_of_few_rows_are_one_task(spark, monkeypatch):
+    rows = [(i, i % 4, float(i % 3 == 0), Vectors.dense([float(i % 3), float(i % 5)])) for i in range(80)]
+    table = spark.createDataFrame(rows, ["mailchimp_id", "part", "label", "features"])
+    tasks = []
+
+    class Fit:
+        def __init__(self, plain):
+            self.plain = plain
+
+        def fit(self, train):
+            tasks.append(train.rdd.getNumPartitions())
+            return self.plain.fit(train)
+
+    plain = ln._classifiers
+    monkeypatch.setattr(ln, "_classifiers", lambda *a: {k: Fit(v) for k, v in plain(*a).items()})
+    board = ln.leaderboard(table.repartition(6), ln.CompareSetup(folds=3, iterations=2), ["lr", "svm"]).collect()
+    assert tasks == [1] * 6 and sorted(r["model"] for r in board) == ["lr", "svm"]
