@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from propensa.llm.language import held_out
 from propensa.llm.ngram_join import text_slices
-from propensa.llm.tables import ship
+from propensa.llm.tables import releasing, ship
 from propensa.session import stored
 
 SAMPLE_TEXTS = 12_000  # bound of the rows that teach the lexicon
@@ -247,7 +247,7 @@ def learn_lexicon(docs: DataFrame, labelled: DataFrame) -> dict[str, float]:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(found)), *(pa.array([v[i] for v in found.values()], pa.int64()) for i in (0, 1))], names=["entry", "other", "toxic"])
 
-    table = rows.select("text", "toxic").mapInArrow(count, "entry string, other long, toxic long")
+    table = rows.select("text", "toxic").mapInArrow(releasing(count), "entry string, other long, toxic long")
     table = stored(table.groupBy("entry").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic")))
     whole = table.where(F.col("entry").endswith("$")).agg(F.sum("other"), F.sum("toxic")).first()
     others, toxics = (max(1, v or 0) for v in whole)
@@ -265,7 +265,7 @@ def feature_table(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
             rows = [features(t or "", weights) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.list_(pa.float64()))], names=["doc_id", "x"])
 
-    return stored(docs.select("doc_id", "text").mapInArrow(describe, docs.select("doc_id").schema.add("x", T.ArrayType(T.DoubleType()))))
+    return stored(docs.select("doc_id", "text").mapInArrow(releasing(describe), docs.select("doc_id").schema.add("x", T.ArrayType(T.DoubleType()))))
 
 
 def learn(table: DataFrame, labelled: DataFrame, lexicon: dict[str, float]) -> Model:
@@ -298,4 +298,4 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 x = np.array(batch.column("x").flatten()).reshape(len(batch), len(FEATURES))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.clip(model.scores(x), 0, 1))], names=["doc_id", "score"])
 
-    return table.mapInArrow(apply, table.select("doc_id").schema.add("score", T.DoubleType()))
+    return table.mapInArrow(releasing(apply), table.select("doc_id").schema.add("score", T.DoubleType()))
