@@ -13,6 +13,7 @@ from propensa.operators.split import TEST, fold_rows, split_exact
 from propensa.plans import evaluate as ev
 from propensa.plans import jobs, scoring
 from propensa.plans import learning as ln
+from propensa.session import stored
 from propensa.sources import standins, tables
 from propensa.sources.registry import ModelRegistry, latest_artifacts
 from propensa.sources.schemas import lead_schema
@@ -97,6 +98,54 @@ def test_trials_and_summary(spark, fitted):
     assert ln.best_params(trials)["learning_rate"] == best["learning_rate"]
 
 
+@pytest.fixture
+def fitted_on(monkeypatch):
+    """Partition sizes of the rows that each fit gets, and its parameters; the fit itself is Spark's."""
+    seen = []
+    trees = ln.boosted_trees
+
+    class Noted:
+        def __init__(self, params, seed):
+            self.params, self.estimator = params, trees(params, seed)
+
+        def fit(self, rows):
+            seen.append((self.params, sorted(rows.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()), sorted(map(str, rows.collect()))))
+            return self.estimator.fit(rows)
+
+    monkeypatch.setattr(ln, "boosted_trees", lambda params, seed=ln.MODEL_SEED: Noted(params, seed))
+    return seen
+
+
+def _uneven(fitted):
+    """A training table in two files of very unequal size, most of its keys missing and some rows twice."""
+    _, table, _ = fitted
+    rows = table.withColumn("mailchimp_id", F.expr("if(mailchimp_id % 3 = 0, mailchimp_id, null)"))
+    twice = rows.unionAll(rows.filter("mailchimp_id % 6 = 0"))
+    place = F.expr("if(mailchimp_id = 9, 1, 0)")
+    return stored(twice.repartitionByRange(2, place))
+
+
+def test_large_fits_pass_over_even_tasks(spark, fitted, fitted_on, monkeypatch):
+    table = _uneven(fitted)
+    kept = sorted(map(str, fold_rows(table, "train", "val").collect()))
+    monkeypatch.setattr(ln, "SPREAD_ROWS", 100, raising=False)
+    monkeypatch.setattr(ln, "LEAST_TASK_ROWS", 100, raising=False)
+    models = [ln.refit(table, {**PARAMS, "n_estimators": 2, "subsample": 0.8}).toDebugString.split("\n", 1)[1] for _ in range(2)]
+    (_, sizes, rows), (_, again, _) = fitted_on
+    assert rows == kept and sizes == again and sum(sizes) == len(kept)
+    assert len(sizes) == len(kept) // 100 and max(sizes) < 2 * min(sizes)
+    assert models[0] == models[1]
+    monkeypatch.setattr(ln, "MOST_TASK_ROWS", 10, raising=False)
+    monkeypatch.setattr(ln, "LEAST_TASK_ROWS", 1, raising=False)
+    cores = spark.sparkContext.defaultParallelism
+    assert ln.spread(fold_rows(table, "train", "val")).rdd.getNumPartitions() == cores * -(-len(kept) // (10 * cores))
+
+
+def test_small_fits_stay_as_they_lie(fitted):
+    rows = fold_rows(_uneven(fitted), "train", "val")
+    assert ln.spread(rows) is rows
+
+
 def test_save_and_load_give_equal_scores(leads, fitted, registry):
     featurizer, _, model = fitted
     loaded = registry.load()
