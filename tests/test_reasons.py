@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.ml.classification import GBTClassifier
@@ -9,6 +10,9 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from propensa.plans import reasons as rs
+from propensa.plans.learning import lead_features
+from propensa.queries import models
+from propensa.queries import reasons as queries
 
 NAMES = ["a", "b", "c"]
 
@@ -86,3 +90,42 @@ def test_reasons_shuffle_one_row_a_lead(spark, table, model):
     explained = rs.fitted_forest(model, NAMES, spark)
     plan = rs.reasons(rs.with_values(table, "mailchimp_id"), explained)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange")  # dealt before a lead's features are rows
+
+
+def test_the_models_dependence_is_told_for_every_numeric_input(spark, monkeypatch):
+    names = lead_features(["tag_a"])
+    rng = random.Random(5)
+    x = [[float(rng.randint(0, 3 + k % 4)) for k in range(len(names))] for _ in range(60)]
+    y = [float(v[0] + v[2] * v[3] + v[-1] > 5 + (v[1] == 2)) for v in x]
+    table = spark.createDataFrame([(i, label, Vectors.dense(v)) for i, (v, label) in enumerate(zip(x, y))], ["mailchimp_id", "label", "features"])
+    fitted = GBTClassifier(maxIter=4, maxDepth=3, stepSize=0.3, seed=1).fit(table)
+    monkeypatch.setattr(models, "_model", lambda *_: SimpleNamespace(pipeline=SimpleNamespace(stages=[fitted]), features=names))
+    monkeypatch.setattr(models, "_featurized", lambda *_: (None, table))
+    rows = queries.model_dependence(spark, "").collect()
+    assert len({(r["feature"], r["value"]) for r in rows}) == len(rows)
+    assert {r["feature"] for r in rows} == set(names) - {"country_code"}
+    for place, name in enumerate(names):
+        of_name = {r["value"]: r["mean_margin"] for r in rows if r["feature"] == name}
+        if name == "country_code":
+            continue
+        values = sorted(v[place] for v in x)
+        assert sorted(of_name) == sorted({values[max(0, -(-len(x) * i // 4) - 1)] for i in range(5)})
+        sets = [(value, Vectors.dense([*v[:place], value, *v[place + 1:]])) for value in of_name for v in x]
+        means = fitted.transform(spark.createDataFrame(sets, ["value", "features"])).groupBy("value").agg(
+            F.avg(vector_to_array("rawPrediction")[1]).alias("m")).collect()
+        assert all(abs(of_name[r["value"]] - r["m"]) < 1e-9 for r in means)
+
+
+def test_dependence_of_an_input_split_on_twice_and_by_category(spark):
+    # a <= 2: (a <= 0: 1, else (b in {1, 3}: 2, else 4)), else (a <= 5: 8, else 16)
+    nodes = [(0, 0.0, 1, 2, 0, 2.0, None), (1, 0.0, 3, 4, 0, 0.0, None), (2, 0.0, 5, 6, 0, 5.0, None), (3, 1.0, -1, -1, -1, None, None),
+             (4, 0.0, 7, 8, 1, None, [1.0, 3.0]), (5, 8.0, -1, -1, -1, None, None), (6, 16.0, -1, -1, -1, None, None),
+             (7, 2.0, -1, -1, -1, None, None), (8, 4.0, -1, -1, -1, None, None)]
+    trees = [(0, 1.0, *n) for n in nodes] + [(1, 0.5, 0, 32.0, -1, -1, -1, None, None)]
+    explained = rs.forest(spark.createDataFrame(trees, rs.NODES), 3, ["a", "b", "c"])
+    leads = spark.createDataFrame([(i, [a, b, 0.0]) for i, (a, b) in enumerate([(1.0, 1.0), (1.0, 2.0), (4.0, 3.0), (9.0, 1.0)])],
+                                  "mailchimp_id long, x array<double>")
+    found = rs.partial_dependence(leads, explained, {"a": [0.0, 1.0, 4.0, 9.0], "b": [1.0, 2.0], "c": [7.0]}).collect()
+    assert {(r["feature"], r["value"]): r["mean_margin"] - 16.0 for r in found} == {
+        ("a", 0.0): 1.0, ("a", 1.0): 2.5, ("a", 4.0): 8.0, ("a", 9.0): 16.0,
+        ("b", 1.0): (2 + 2 + 8 + 16) / 4, ("b", 2.0): (4 + 4 + 8 + 16) / 4, ("c", 7.0): (2 + 4 + 8 + 16) / 4}
